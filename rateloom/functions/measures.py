@@ -5,9 +5,6 @@ All of these return column expressions; none is a Python UDF.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,26 +19,11 @@ def strict_count(test: Column) -> Column:
     return strict_sum(F.when(test.isNull(), None).when(test, 1).otherwise(0))
 
 
-def sum_or_zero(value: Column) -> Column:
-    """Sum that skips NULL and is 0 where there is nothing to add."""
-    return F.coalesce(F.sum(value), F.lit(0))
-
-
 def distinct_with_null(value: Column) -> Column:
     """Number of distinct values, NULL being one of them."""
     return F.count_distinct(value) + F.max(value.isNull().cast("int"))
 
 
-def capped(value: Column, cap: int) -> Column:
-    """``value`` limited from above; NULL stays NULL (``least`` would return the cap)."""
-    return F.when(value > cap, F.lit(cap)).otherwise(value)
-
-
-def row_total(columns: list[Column]) -> Column:
-    """Sum across columns of a row, NULL if any of them is."""
-    return reduce(add, columns)
-
-
-def positive_flag(value: Column) -> Column:
-    """1 where the value is above 0, else 0 (also where it is missing)."""
-    return F.when(value > 0, 1).otherwise(0)
+def capped(value: str, cap: int) -> str:
+    """SQL for ``value`` limited from above; NULL stays NULL (``least`` would return the cap)."""
+    return f"IF({value} > {cap}, {cap}, {value})"

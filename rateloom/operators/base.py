@@ -49,7 +49,8 @@ def premium_loss_base(
     """
     present = [c for c in (*BASE_COLUMNS, *PREMIUM_COLUMNS, *keep) if c in premium.columns]
     return (
-        premium.select(*present)
+        premium.selectExpr(*present)
         .join(developed_losses(premium, losses, ibnr, orphan_losses), "VehicleTermKey", "left")
-        .select(*present, *LOSS_COLUMNS, channel(F.col("FinanceChannel_F")).alias("FinanceChannel"))
+        .withColumn("FinanceChannel", channel(F.col("FinanceChannel_F")))
+        .selectExpr(*present, *LOSS_COLUMNS, "FinanceChannel")
     )

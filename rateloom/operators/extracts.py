@@ -7,11 +7,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.coverages import IBNR_COVERAGES, PREMIUM_COVERAGES, named, source_column
-from rateloom.functions.measures import positive_flag, row_total
 from rateloom.functions.recode import catastrophe_coverage, channel, transaction_type
 from rateloom.sources.tables import require_columns
 
@@ -51,41 +50,41 @@ _REPORTING_RENAMES = {
 }
 
 
-def _renamed(df: DataFrame, alias: str, renames: dict[str, str]) -> list[Column]:
-    return [F.col(f"{alias}.{src}").alias(dst) for src, dst in renames.items() if src in df.columns]
+def _renamed(df: DataFrame, alias: str, renames: dict[str, str]) -> list[str]:
+    present = set(df.columns)
+    return [f"{alias}.{src} AS {dst}" for src, dst in renames.items() if src in present]
 
 
 def premium_extract(pm: DataFrame, reporting: DataFrame, history_start: date | str = HISTORY_START) -> DataFrame:
     """Bound vehicle-terms with reporting attributes, coverages under their own codes."""
-    written = [F.col(f"pm.{source_column('WP', cov)}") for cov in PREMIUM_COVERAGES]
-    attributes = {k: v for k, v in _REPORTING_RENAMES.items() if k not in pm.columns}
     own = {k: v for k, v in _REPORTING_RENAMES.items() if k in pm.columns}
-    bound = (F.col("pm.BoundIndicator") == 1) & (F.col("pm.PeriodStart") >= F.lit(history_start).cast("date"))
-
+    attributes = {k: v for k, v in _REPORTING_RENAMES.items() if k not in own}
+    written = [f"pm.{source_column('WP', cov)}" for cov in PREMIUM_COVERAGES]
     columns = _renamed(pm, "pm", {**_PM_RENAMES, **own}) + _renamed(reporting, "pf", attributes)
     if "PolicyNumber" in pm.columns:
-        columns.append(F.col("pm.PolicyNumber").alias("CorePolicyNumber"))
+        columns.append("pm.PolicyNumber AS CorePolicyNumber")
     columns += [
-        F.year("pm.PeriodStart").alias("UWYear"),
-        transaction_type(F.col("pm.TransactionType")).alias("TransactionType"),
-        F.col("pm.MaxLoadDate").alias("EarnedAsOfDate"),
-        F.col("pm.MaxLoadDate").alias("RetainedAsOfDate"),
-        row_total(written).alias("WP_Total"),
-        F.lit(0).alias("WE_TOTAL"),
-        F.coalesce("pm.EP_TOTAL", F.lit(0)).alias("EP_TOTAL"),
+        "year(pm.PeriodStart) AS UWYear",
+        "pm.TransactionType AS TransactionType",
+        "pm.MaxLoadDate AS EarnedAsOfDate",
+        "pm.MaxLoadDate AS RetainedAsOfDate",
+        f"{' + '.join(written)} AS WP_Total",
+        "0 AS WE_TOTAL",
+        "coalesce(pm.EP_TOTAL, 0) AS EP_TOTAL",
     ]
     for cov, wp in zip(PREMIUM_COVERAGES, written):
         columns += [
-            wp.alias(f"WP_{cov}"),
-            positive_flag(wp).alias(f"WE_{cov}"),
-            F.coalesce(F.col(f"pm.{source_column('EP', cov)}"), F.lit(0)).alias(f"EP_{cov}"),
-            F.col(f"pm.{source_column('CLEP', cov)}").alias(f"CLEP_{cov}"),
-            F.col(f"pm.{source_column('EE', cov)}").alias(f"EE_{cov}"),
+            f"{wp} AS WP_{cov}",
+            f"IF({wp} > 0, 1, 0) AS WE_{cov}",
+            f"coalesce(pm.{source_column('EP', cov)}, 0) AS EP_{cov}",
+            f"pm.{source_column('CLEP', cov)} AS CLEP_{cov}",
+            f"pm.{source_column('EE', cov)} AS EE_{cov}",
         ]
-    joined = pm.alias("pm").where(bound).join(
+    bound = (F.col("BoundIndicator") == 1) & (F.col("PeriodStart") >= F.lit(history_start).cast("date"))
+    joined = pm.where(bound).alias("pm").join(
         reporting.alias("pf"), F.col("pm.VehicleTermKey") == F.col("pf.VehicleTermKey")
     )
-    return joined.select(*columns)
+    return joined.selectExpr(*columns).withColumn("TransactionType", transaction_type(F.col("TransactionType")))
 
 
 # Columns of the claim extract.
@@ -102,7 +101,7 @@ LOSS_COLUMNS = (
 def loss_extract(transactions: DataFrame) -> DataFrame:
     """Claim transactions, catastrophe claims under comprehensive set apart."""
     coverage = catastrophe_coverage(F.col("CoverageType"), F.col("CatastropheKey"))
-    return transactions.select(
+    return transactions.selectExpr(
         *[c for c in LOSS_COLUMNS if c in transactions.columns]
     ).withColumn("CoverageType", coverage)
 
@@ -112,8 +111,8 @@ def ibnr_extract(summary_ibnr: DataFrame) -> DataFrame:
     optional = ("PolicyTermKey", "MonthAgeDateKey", "IBNR_TOTAL")
     columns = ["VehicleTermKey", *[c for c in optional if c in summary_ibnr.columns]]
     if "PeriodStart" in summary_ibnr.columns:
-        columns.append(F.col("PeriodStart").alias("PolicyTermStartEffDate"))
-    return summary_ibnr.select(*columns, *named("IBNR", IBNR_COVERAGES))
+        columns.append("PeriodStart AS PolicyTermStartEffDate")
+    return summary_ibnr.selectExpr(*columns, *named("IBNR", IBNR_COVERAGES))
 
 
 def kept_quote_versions(quotes: DataFrame, history_start: date | str = HISTORY_START,
@@ -141,19 +140,20 @@ def quote_extract(
     history_start: date | str = HISTORY_START,
 ) -> DataFrame:
     """Quoted vehicles with their quote version, channel and quoted premium per coverage."""
-    written = [F.col(source_column("WP", cov)).alias(f"WP_{cov}") for cov in PREMIUM_COVERAGES]
+    written = [f"{source_column('WP', cov)} AS WP_{cov}" for cov in PREMIUM_COVERAGES]
     return (
         _versions_by_vehicle(rating_sup, dim_quote, history_start)
-        .join(rating.select(*VEHICLE_KEY, *written), VEHICLE_KEY)
-        .join(pm.select(*VEHICLE_KEY, "state", F.year("PeriodStart").alias("UWYear")), VEHICLE_KEY)
+        .join(rating.selectExpr(*VEHICLE_KEY, *written), VEHICLE_KEY)
+        .join(pm.selectExpr(*VEHICLE_KEY, "state", "year(PeriodStart) AS UWYear"), VEHICLE_KEY)
         .join(reporting.select(*VEHICLE_KEY, "FinanceChannel_F", "VehicleCount"), VEHICLE_KEY)
-        .select(
-            F.col("JobID").alias("RowKey"),
-            F.col("state").alias("PolicyStateCode"),
-            channel(F.col("FinanceChannel_F")).alias("FinanceChannel"),
+        .withColumn("FinanceChannel", channel(F.col("FinanceChannel_F")))
+        .selectExpr(
+            "JobID AS RowKey",
+            "state AS PolicyStateCode",
+            "FinanceChannel",
             "QuoteID",
-            F.col("VehicleFixedID").alias("VehicleKey"),
-            F.col("QuoteVersionDateTime").alias("QuoteVersionDate"),
+            "VehicleFixedID AS VehicleKey",
+            "QuoteVersionDateTime AS QuoteVersionDate",
             "UWYear",
             "VehicleCount",
             *named("WP"),
@@ -213,10 +213,10 @@ def quote_factors(
 
 def standardise_premium(premium: DataFrame) -> DataFrame:
     """Premium rows that already carry coverage codes: relabel submissions, fill earned premium."""
-    earned = [c for c in ["EP_TOTAL", *named("EP")] if c in premium.columns]
-    return premium.withColumns(
-        {"TransactionType": transaction_type(F.col("TransactionType")),
-         **{c: F.coalesce(c, F.lit(0)) for c in earned}}
+    earned = ["EP_TOTAL", *named("EP")]
+    rest = [c for c in premium.columns if c not in earned and c != "TransactionType"]
+    return premium.withColumn("TransactionType", transaction_type(F.col("TransactionType"))).selectExpr(
+        *rest, "TransactionType", *[f"coalesce({c}, 0) AS {c}" for c in earned]
     )
 
 

@@ -50,33 +50,31 @@ def loss_by_vehicle(losses: DataFrame) -> DataFrame:
     (their loss is NULL), each travel in a single column.
     """
     code = coverage_code(F.col("CoverageType"))
-    incurred = F.col("incurred")
     claims = (
         losses.select("VehicleTermKey", "ClaimNumber", F.expr(INCURRED).alias("incurred"),
                       F.coalesce(lookup(code, _COVERAGE_BIT), F.lit(0)).alias("bit"))
         .groupBy("VehicleTermKey", "ClaimNumber")
-        .agg(F.bit_or("bit").alias("covered"),
-             F.bit_or(F.when(incurred.isNull(), F.col("bit")).otherwise(0)).alias("unknown"),
-             *[F.sum(F.when(F.col("bit") == bit, incurred)).alias(f"LOSS_RI_{cov}")
-               for cov, bit in _COVERAGE_BIT.items()])
+        .agg(F.expr("bit_or(bit) AS covered"),
+             F.expr("bit_or(IF(incurred IS NULL, bit, 0)) AS unknown"),
+             *[F.expr(f"sum(IF(bit = {bit}, incurred, NULL)) AS LOSS_RI_{cov}") for cov, bit in _COVERAGE_BIT.items()])
     )
     by_vehicle = claims.groupBy("VehicleTermKey").agg(
-        F.bit_or("unknown").alias("unknown"),
-        F.count(F.lit(1)).alias("LOSS_CC_TOTAL"),
-        *[F.count(F.when(F.col("covered").bitwiseAND(bit) != 0, 1)).alias(f"LOSS_CC_{cov}")
-          for cov, bit in _COVERAGE_BIT.items()],
-        *[F.sum(f"LOSS_RI_{cov}").alias(f"LOSS_RI_{cov}") for cov in LOSS_COVERAGES],
+        F.expr("bit_or(unknown) AS unknown"),
+        F.expr("count(*) AS LOSS_CC_TOTAL"),
+        *[F.expr(f"count_if((covered & {bit}) != 0) AS LOSS_CC_{cov}") for cov, bit in _COVERAGE_BIT.items()],
+        *[F.expr(f"sum(LOSS_RI_{cov}) AS LOSS_RI_{cov}") for cov in LOSS_COVERAGES],
     )
     # Sums of sums widen a decimal type; one vehicle-term's loss needs no more than 18 digits.
     paid = losses.schema["NetPaidClaims"].dataType
-    amount_type = T.DecimalType(18, paid.scale) if isinstance(paid, T.DecimalType) else T.DoubleType()
+    amount = f"DECIMAL(18, {paid.scale})" if isinstance(paid, T.DecimalType) else "DOUBLE"
     # A coverage without claims is 0; one with a missing amount stays NULL.
     losses_known = [
-        F.when(F.col("unknown").bitwiseAND(bit) == 0, F.coalesce(f"LOSS_RI_{cov}", F.lit(0)))
-        .cast(amount_type).alias(f"LOSS_RI_{cov}")
+        f"CAST(IF((unknown & {bit}) = 0, coalesce(LOSS_RI_{cov}, 0), NULL) AS {amount}) AS LOSS_RI_{cov}"
         for cov, bit in _COVERAGE_BIT.items()
     ]
-    return by_vehicle.select("VehicleTermKey", *losses_known, *named("LOSS_CC", LOSS_COVERAGES), "LOSS_CC_TOTAL")
+    return by_vehicle.selectExpr(
+        "VehicleTermKey", *losses_known, *named("LOSS_CC", LOSS_COVERAGES), "LOSS_CC_TOTAL"
+    )
 
 
 def develop(ibnr: DataFrame, losses_by_vehicle: DataFrame, orphan_losses: str = "drop") -> DataFrame:
@@ -88,25 +86,25 @@ def develop(ibnr: DataFrame, losses_by_vehicle: DataFrame, orphan_losses: str =
     if orphan_losses not in ("drop", "keep"):
         raise ValueError(f"orphan_losses must be 'drop' or 'keep', not {orphan_losses!r}")
     how = "left" if orphan_losses == "drop" else "full"
-    joined = ibnr.select("VehicleTermKey", *named("IBNR", IBNR_COVERAGES)).join(
+    joined = ibnr.selectExpr("VehicleTermKey", *named("IBNR", IBNR_COVERAGES)).join(
         losses_by_vehicle, "VehicleTermKey", how
     )
 
     def amount(cov):
-        loss = F.coalesce(f"LOSS_RI_{cov}", F.lit(0))
-        return loss + F.coalesce(f"IBNR_{cov}", F.lit(0)) if cov in IBNR_COVERAGES else loss
+        loss = f"coalesce(LOSS_RI_{cov}, 0)"
+        return f"{loss} + coalesce(IBNR_{cov}, 0)" if cov in IBNR_COVERAGES else loss
 
-    return joined.select(
+    return joined.selectExpr(
         "VehicleTermKey",
-        *[amount(cov).alias(f"LOSS_RI_{cov}") for cov in LOSS_COVERAGES],
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in named("LOSS_CC", (*LOSS_COVERAGES, "TOTAL"))],
+        *[f"{amount(cov)} AS LOSS_RI_{cov}" for cov in LOSS_COVERAGES],
+        *[f"coalesce({c}, 0) AS {c}" for c in named("LOSS_CC", (*LOSS_COVERAGES, "TOTAL"))],
     )
 
 
 def with_caps(losses: DataFrame) -> DataFrame:
     """Add LOSS_25_* and LOSS_100_*: the developed loss capped at 25,000 and 100,000."""
-    return losses.select(
+    return losses.selectExpr(
         "*",
-        *[capped(F.col(f"LOSS_RI_{cov}"), cap).alias(f"{name}_{cov}")
+        *[f"{capped(f'LOSS_RI_{cov}', cap)} AS {name}_{cov}"
           for name, cap in LOSS_CAPS.items() for cov in LOSS_COVERAGES],
     )

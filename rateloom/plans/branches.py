@@ -10,13 +10,9 @@ name. The tables below say which figure travels in which slot.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from datetime import date
 
 from rateloom.coverages import LOSS_COVERAGES, PREMIUM_COVERAGES
-from rateloom.functions.dates import in_window, minus_months_or_null
 from rateloom.params import PricingParams
 
 # Slots, in bit order: counts, fractional numbers, amounts. The row condition of slot i
@@ -24,6 +20,7 @@ from rateloom.params import PricingParams
 COUNT_SLOTS = tuple(f"c{i}" for i in range(1, 10))
 NUMBER_SLOTS = tuple(f"x{i}" for i in range(1, 5))
 AMOUNT_SLOTS = tuple(f"m{i}" for i in range(1, 8))
+RETAINED = "_retained_as_of"
 SLOTS = COUNT_SLOTS + NUMBER_SLOTS + AMOUNT_SLOTS
 
 
@@ -131,81 +128,93 @@ ALL_STATS = PREMIUM_STATS + VEHICLE_STATS + QUOTE_STATS
 STAT_NAMES = tuple(stat.name for stat in ALL_STATS)
 
 
-def premium_conditions(p: PricingParams, retained_as_of: Column) -> dict[str, Column]:
-    """Row conditions over the premium base, by name."""
-    start, expiry = F.col("PolicyTermStartEffDate"), F.col("PolicyTermExpirationEffDate")
-    cancelled, reason = F.col("CancellationDate"), F.col("CancelReason_F")
-    transaction, sales_channel = F.col("TransactionType"), F.col("FinanceChannel")
-    wp_bi, ep_bi = F.col("WP_BI"), F.col("EP_BI")
+def sql_day(day: date | None) -> str:
+    return f"DATE'{day}'" if day else "CAST(NULL AS DATE)"
+
+
+def sql_window(column: str, start: date, end: date) -> str:
+    return f"({column} >= {sql_day(start)} AND {column} < {sql_day(end)})"
+
 
-    pb = in_window(start, p.prem_loss_start, p.end)
-    qb = in_window(start, p.sale_quote_start, p.end)
-    sale, renewal = transaction == "New Business", transaction == "Renewal"
-    either = sale | renewal
-    paid_renewal = renewal & (F.col("EP_TOTAL") > 0)
-    mix = pb & ((sale & (wp_bi > 0)) | (renewal & (ep_bi > 0)))
+def premium_conditions(p: PricingParams) -> dict[str, str]:
+    """Row conditions over the premium base as SQL, by name.
 
-    six_start, six_end = p.retention_window
-    six_months = in_window(start, six_start, six_end) & (start < F.add_months(retained_as_of, -6)) & either
+    ``RETAINED`` is a column holding the latest retention date of the whole base.
+    """
+    start, expiry = "PolicyTermStartEffDate", "PolicyTermExpirationEffDate"
+    pb = sql_window(start, p.prem_loss_start, p.end)
+    qb = sql_window(start, p.sale_quote_start, p.end)
+    sale, renewal = "TransactionType = 'New Business'", "TransactionType = 'Renewal'"
+    either = f"({sale} OR {renewal})"
+    paid_renewal = f"({renewal} AND EP_TOTAL > 0)"
+    mix = f"{pb} AND (({sale} AND WP_BI > 0) OR ({renewal} AND EP_BI > 0))"
+
+    six_months = (f"{sql_window(start, *p.retention_window)} AND {start} < add_months({RETAINED}, -6) AND {either}")
 
     # A sale window that starts on 29 February has no same day a year earlier: no rows.
-    since = F.lit(p.cancel_start).cast("date")
-    one_year = (expiry < F.lit(p.end)) & (start >= since) & either
-    cancelled_early = one_year & (cancelled < minus_months_or_null(expiry, 2))
+    one_year = f"{expiry} < {sql_day(p.end)} AND {start} >= {sql_day(p.cancel_start)} AND {either}"
+    # Two months before expiry; there is no such day if the month is too short.
+    two_back = f"add_months({expiry}, -2)"
+    early = f"{one_year} AND day({two_back}) = day({expiry}) AND CancellationDate < {two_back}"
 
-    three_days_qb = in_window(start, p.sale_quote_start, p.three_day_end) & either & (ep_bi > 0)
-    three_days_pb = in_window(start, p.prem_loss_start, p.three_day_end) & either & (ep_bi > 0)
-    within_three_days = cancelled <= F.date_add(start, 3)
+    three_days_qb = f"{sql_window(start, p.sale_quote_start, p.three_day_end)} AND {either} AND EP_BI > 0"
+    three_days_pb = f"{sql_window(start, p.prem_loss_start, p.three_day_end)} AND {either} AND EP_BI > 0"
+    within_three_days = f"CancellationDate <= date_add({start}, 3)"
 
     return {
         "pb": pb,
-        "sale_qb": qb & sale,
-        "sale_pb": pb & sale,
-        "sale_pc_qb": qb & sale & (sales_channel == "PC"),
-        "sale_web_qb": qb & sale & (sales_channel == "Web"),
-        "sale_agent_qb": qb & sale & (sales_channel == "Agent"),
-        "renewal_qb": qb & renewal,
-        "renewal_pb": pb & renewal,
-        "insured_renewal_qb": qb & renewal & (wp_bi > 0),
-        "insured_renewal_pb": pb & renewal & (wp_bi > 0),
-        "written_qb": (qb & sale) | (in_window(start, p.renewal_start, p.end) & paid_renewal),
-        "written_pb": pb & (sale | paid_renewal),
-        "mix_age_known": mix & F.col("PrimaryDriverAge").isNotNull(),
-        "mix_male": mix & (F.col("PrimaryDriverGender") == "M"),
-        "mix_liability_only": mix & (F.col("OptionalCoverageType") == "None"),
-        "mix_minimum_limit": mix & (F.col("SelectedBILimit_f") == "Minimum"),
-        "mix_paid_in_full": mix & (F.col("DownPaymentMonthsNumber") >= 6),
-        "mix_retention_tier": mix & (F.col("RetentionTier2_Calculated") >= 80),
-        "mix_year_known": mix & F.col("VehicleYearNumber").isNotNull(),
+        "sale_qb": f"{qb} AND {sale}",
+        "sale_pb": f"{pb} AND {sale}",
+        "sale_pc_qb": f"{qb} AND {sale} AND FinanceChannel = 'PC'",
+        "sale_web_qb": f"{qb} AND {sale} AND FinanceChannel = 'Web'",
+        "sale_agent_qb": f"{qb} AND {sale} AND FinanceChannel = 'Agent'",
+        "renewal_qb": f"{qb} AND {renewal}",
+        "renewal_pb": f"{pb} AND {renewal}",
+        "insured_renewal_qb": f"{qb} AND {renewal} AND WP_BI > 0",
+        "insured_renewal_pb": f"{pb} AND {renewal} AND WP_BI > 0",
+        "written_qb": f"({qb} AND {sale}) OR ({sql_window(start, p.renewal_start, p.end)} AND {paid_renewal})",
+        "written_pb": f"{pb} AND ({sale} OR {paid_renewal})",
+        "mix_age_known": f"{mix} AND PrimaryDriverAge IS NOT NULL",
+        "mix_male": f"{mix} AND PrimaryDriverGender = 'M'",
+        "mix_liability_only": f"{mix} AND OptionalCoverageType = 'None'",
+        "mix_minimum_limit": f"{mix} AND SelectedBILimit_f = 'Minimum'",
+        "mix_paid_in_full": f"{mix} AND DownPaymentMonthsNumber >= 6",
+        "mix_retention_tier": f"{mix} AND RetentionTier2_Calculated >= 80",
+        "mix_year_known": f"{mix} AND VehicleYearNumber IS NOT NULL",
         "six_months": six_months,
         "one_year": one_year,
-        "cancel_non_pay": cancelled_early & (reason == "Non-Payment"),
-        "cancel_fraud": cancelled_early & (reason == "Fraud/UW"),
-        "cancel_other": cancelled_early & reason.isNotNull() & ~reason.isin("Fraud/UW", "Non-Payment"),
+        "cancel_non_pay": f"{early} AND CancelReason_F = 'Non-Payment'",
+        "cancel_fraud": f"{early} AND CancelReason_F = 'Fraud/UW'",
+        "cancel_other": f"{early} AND CancelReason_F NOT IN ('Fraud/UW', 'Non-Payment')",
         "three_days_qb": three_days_qb,
         "three_days_pb": three_days_pb,
-        "three_days_cancelled_qb": three_days_qb & within_three_days,
-        "three_days_cancelled_pb": three_days_pb & within_three_days,
+        "three_days_cancelled_qb": f"{three_days_qb} AND {within_three_days}",
+        "three_days_cancelled_pb": f"{three_days_pb} AND {within_three_days}",
     }
 
 
-def quote_conditions(p: PricingParams) -> dict[str, Column]:
-    """Row conditions over the quote base, by name."""
-    qb = in_window(F.col("QuoteVersionDate"), p.sale_quote_start, p.end)
-    sales_channel = F.col("FinanceChannel")
+def quote_conditions(p: PricingParams) -> dict[str, str]:
+    """Row conditions over the quote base as SQL, by name."""
+    qb = sql_window("QuoteVersionDate", p.sale_quote_start, p.end)
     return {
         "quote_qb": qb,
-        "quote_pc_qb": qb & (sales_channel == "PC"),
-        "quote_web_qb": qb & (sales_channel == "Web"),
-        "quote_agent_qb": qb & (sales_channel == "Agent"),
+        "quote_pc_qb": f"{qb} AND FinanceChannel = 'PC'",
+        "quote_web_qb": f"{qb} AND FinanceChannel = 'Web'",
+        "quote_agent_qb": f"{qb} AND FinanceChannel = 'Agent'",
     }
 
 
-def any_of(conditions) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+def any_of(conditions) -> str:
+    return " OR ".join(f"({c})" for c in dict.fromkeys(conditions))
+
+
+def or_bits(parts) -> str:
+    return " | ".join(f"({p})" for p in parts) or "0"
 
 
-def row_bits(stats, conditions: dict[str, Column]) -> Column:
+def row_bits(stats, conditions: dict[str, str]) -> str:
     """Integer with the bit of every slot whose row condition holds."""
-    bits = [F.when(conditions[s.rows], bit_of(s.slot)).otherwise(0) for s in stats]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0))
+    by_rows: dict[str, int] = {}
+    for s in stats:
+        by_rows[s.rows] = by_rows.get(s.rows, 0) | bit_of(s.slot)
+    return or_bits(f"IF({conditions[rows]}, {bits}, 0)" for rows, bits in by_rows.items())

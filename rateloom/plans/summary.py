@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rateloom.coverages import LOSS_COVERAGES, PREMIUM_COVERAGES
 from rateloom.functions.dates import lookback_year
@@ -15,19 +14,21 @@ from rateloom.operators.factors import ROW_WEIGHT, folded_factors
 from rateloom.params import MAX_RATING_FACTORS, RUN_KEYS, PricingParams
 from rateloom.plans.branches import (
     ALL_STATS,
-    AMOUNT_SLOTS,
     COUNT_SLOTS,
     NUMBER_SLOTS,
     PREMIUM_STATS,
     QUOTE_STATS,
+    RETAINED,
     SLOTS,
     VEHICLE_COUNTS,
     VEHICLE_NUMBERS,
     any_of,
     bit_of,
+    or_bits,
     premium_conditions,
     quote_conditions,
     row_bits,
+    sql_day,
 )
 from rateloom.sources.tables import require_columns
 
@@ -64,69 +65,71 @@ def with_run_keys(base: DataFrame, params: PricingParams) -> DataFrame:
     })
 
 
-def _or_bits(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: a.bitwiseOR(b), parts, F.lit(0))
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _named_struct(values: dict[str, str]) -> str:
+    return "struct(" + ", ".join(f"{value} AS {_q(name)}" for name, value in values.items()) + ")"
 
 
 def _mask(stats, *measures) -> int:
     return sum(bit_of(s.slot) for s in stats if s.strict and s.measure in measures)
 
 
-def _in_bits(slot: str) -> Column:
-    return F.col(ROWS).bitwiseAND(bit_of(slot)) != 0
+def _in_bits(slot: str) -> str:
+    return f"({ROWS} & {bit_of(slot)}) != 0"
 
 
-def _vehicle_values(line: str, stats, conditions) -> dict[str, Column]:
+def _vehicle_values(line: str, stats, conditions) -> dict[str, str]:
     """Slot values of one per-vehicle line, and the slots a NULL spoils."""
-    wp_bi = F.col("WP_BI")
     values, unknown = {}, []
     for stat in stats:
         if VEHICLE_PLACES[stat.name][0] != line:
             continue
         slot, rows = VEHICLE_PLACES[stat.name][1], conditions[stat.rows]
         if stat.measure == "one":
-            value = F.when(rows, F.lit(1))
+            value = f"IF({rows}, 1, NULL)"
         elif stat.measure == "sold_bi":
-            value = F.when(rows & (wp_bi >= 1), F.lit(1))
+            value = f"IF(({rows}) AND WP_BI >= 1, 1, NULL)"
         elif stat.measure.endswith("_if_bi"):
-            number = F.expr(f"try_cast({stat.measure[:-6]} AS DOUBLE)")
-            value = F.when(rows & (wp_bi > 0), number)
-            unknown.append(F.when(rows & (wp_bi > 0) & number.isNull(), bit_of(slot)).otherwise(0))
+            number = f"try_cast({stat.measure[:-6]} AS DOUBLE)"
+            value = f"IF(({rows}) AND WP_BI > 0, {number}, NULL)"
+            unknown.append(f"IF(({rows}) AND WP_BI > 0 AND {number} IS NULL, {bit_of(slot)}, 0)")
         else:
-            value = F.when(rows, F.col(stat.measure))
+            value = f"IF({rows}, {stat.measure}, NULL)"
         if stat.strict:
-            unknown.append(F.when(rows & wp_bi.isNull(), bit_of(slot)).otherwise(0))
-        values[slot] = value.cast("double" if slot in NUMBER_SLOTS else "bigint")
-    return {**values, UNKNOWN: _or_bits(unknown)}
+            unknown.append(f"IF(({rows}) AND WP_BI IS NULL, {bit_of(slot)}, 0)")
+        values[slot] = f"CAST({value} AS {'DOUBLE' if slot in NUMBER_SLOTS else 'BIGINT'})"
+    return {**values, UNKNOWN: or_bits(unknown)}
 
 
-def _coverage_field(base: DataFrame, field: str, coverage: str) -> Column | None:
+def _coverage_field(base_columns, field: str, coverage: str) -> str | None:
+    """The base column a coverage line carries under ``field``, if that coverage has it."""
+    of_losses = {s.measure for s in PREMIUM_STATS if s.coverages is LOSS_COVERAGES}
+    if coverage not in (LOSS_COVERAGES if field in of_losses else PREMIUM_COVERAGES):
+        return None
     name = f"{LINE_FIELDS[field]}_{coverage}"
     if field == "adj":
-        if coverage not in PREMIUM_COVERAGES:
-            return None
-        multiplier = F.col(name) if name in base.columns else F.lit(1.0)
-        return multiplier * F.col(f"WP_{coverage}").cast("double")
-    stats = {s.measure: s for s in PREMIUM_STATS}
-    has = LOSS_COVERAGES if field in stats and stats[field].coverages is LOSS_COVERAGES else PREMIUM_COVERAGES
-    return F.col(name) if coverage in has else None
+        multiplier = name if name in base_columns else "1.0D"
+        return f"{multiplier} * CAST(WP_{coverage} AS DOUBLE)"
+    return name
 
 
 def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
     """Unpivot the premium rows any of ``stats`` looks at into lines of slots."""
     by_coverage = [s for s in stats if s in PREMIUM_STATS]
     by_vehicle = [s for s in stats if s.name in VEHICLE_PLACES]
-    keys = list(params.keys)
+    keys = [_q(k) for k in params.keys]
+    conditions = premium_conditions(params)
 
-    # The latest retention date of the whole base, also of rows that no branch looks at.
-    retained = F.lit(None).cast("date")
+    start, expiry, end = "PolicyTermStartEffDate", "PolicyTermExpirationEffDate", sql_day(params.end)
+    reach = f"{start} >= {sql_day(params.earliest_start)} AND ({start} < {end} OR {expiry} < {end})"
+    rows = with_run_keys(base, params).where(reach)
     if any(s.rows == "six_months" for s in by_vehicle):
-        retained = base.agg(F.max("RetainedAsOfDate")).scalar()
-    conditions = premium_conditions(params, retained)
-
-    start, expiry = F.col("PolicyTermStartEffDate"), F.col("PolicyTermExpirationEffDate")
-    reach = (start >= F.lit(params.earliest_start)) & ((start < F.lit(params.end)) | (expiry < F.lit(params.end)))
-    looked_at = any_of([conditions[name] for name in dict.fromkeys(s.rows for s in [*by_coverage, *by_vehicle])])
+        # Of the whole base, also of rows that no branch looks at.
+        rows = rows.withColumn(RETAINED, base.agg(F.max("RetainedAsOfDate")).scalar())
+    rows = rows.where(any_of(conditions[s.rows] for s in stats))
 
     # Lines: name, coverage columns, then the ready slot values of the per-vehicle lines.
     # Whatever a line has no use for is NULL; the array gives every column one type.
@@ -134,72 +137,54 @@ def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
               if any(f in _MEASURE_FIELDS.get(s.measure, (s.measure,)) for s in by_coverage)]
     ready = [s for s in COUNT_SLOTS + NUMBER_SLOTS if any(VEHICLE_PLACES[v.name][1] == s for v in by_vehicle)]
     ready += [UNKNOWN] if by_vehicle else []
-    nothing = F.lit(None)
 
     def line(name, values):
-        columns = [F.lit(name).alias(LINE)]
-        columns += [values.get(f, nothing).alias(f) for f in fields]
-        columns += [values.get(s, nothing).alias(f"_v_{s}") for s in ready]
-        return F.struct(*columns)
+        return _named_struct({
+            LINE: f"'{name}'",
+            **{f: values.get(f) or "NULL" for f in fields},
+            **{f"_v_{s}": values.get(s) or "NULL" for s in ready},
+        })
 
+    base_columns = set(base.columns)
     lines = []
     if by_coverage:
-        for cov in COVERAGE_LINES:
-            values = {f: _coverage_field(base, f, cov) for f in fields}
-            lines.append(line(cov, {f: c for f, c in values.items() if c is not None}))
+        lines += [line(cov, {f: _coverage_field(base_columns, f, cov) for f in fields}) for cov in COVERAGE_LINES]
     for name in dict.fromkeys(VEHICLE_PLACES[s.name][0] for s in by_vehicle):
         lines.append(line(name, _vehicle_values(name, by_vehicle, conditions)))
 
-    carried = [row_bits(by_coverage, conditions).alias(ROWS)]
+    carried = [f"{row_bits(by_coverage, conditions)} AS {ROWS}"]
     if any(s.measure == "share" for s in by_coverage):
-        carried.append(F.try_divide(F.lit(1.0), F.col("VehicleCount")).alias(SHARE))
-    unpivoted = (
-        with_run_keys(base, params).where(reach & looked_at)
-        .select(*keys, *carried, F.inline(F.array(*lines)))
-    )
-    return unpivoted.select(*keys, LINE, *_premium_slots(by_coverage, ready, params))
+        carried.append(f"try_divide(1.0D, VehicleCount) AS {SHARE}")
+    unpivoted = rows.selectExpr(*keys, *carried, f"inline(array({', '.join(lines)}))")
+    return unpivoted.selectExpr(*keys, LINE, *_premium_slots(by_coverage, ready, params))
+
 
+_TESTS = {"sold": "wp >= 1", "generated": "wp > 0", "taken": "ep > 0 AND wp > 0", "share": "wp >= 1"}
 
-def _premium_slots(by_coverage, ready, params) -> list[Column]:
-    wp, ep = F.col("wp"), F.col("ep")
+
+def _premium_slots(by_coverage, ready, params) -> list[str]:
     stats = {s.slot: s for s in by_coverage}
     columns = []
     for slot in SLOTS:
-        from_vehicle = F.col(f"_v_{slot}") if slot in ready else None
-        value = None
+        parts = [f"_v_{slot}"] if slot in ready else []
         if slot in stats:
-            measure, rows = stats[slot].measure, _in_bits(slot)
-            if measure == "sold":
-                value = F.when(rows & (wp >= 1), F.lit(1))
-            elif measure == "generated":
-                value = F.when(rows & (wp > 0), F.lit(1))
-            elif measure == "taken":
-                value = F.when(rows & (ep > 0) & (wp > 0), F.lit(1))
-            elif measure == "share":
-                value = F.when(rows & (wp >= 1), F.col(SHARE))
-            else:
-                value = F.when(rows, F.col(measure))
-            if from_vehicle is not None:
-                value = value.otherwise(from_vehicle)
-        elif from_vehicle is not None:
-            value = from_vehicle
-        if value is not None:
-            columns.append(value.alias(slot))
-
-    spoilt = []
-    masks = {
-        _mask(by_coverage, "sold", "generated", "share"): lambda: wp.isNull(),
-        _mask(by_coverage, "taken"): lambda: ((ep > 0) & (wp > 0)).isNull(),
-        _mask(by_coverage, "share"): lambda: (wp >= 1) & F.col(SHARE).isNull(),
-    }
-    if params.nulls == "strict":
-        spoilt = [F.when(test(), F.col(ROWS).bitwiseAND(mask)).otherwise(0) for mask, test in masks.items() if mask]
-    unknown = _or_bits(spoilt)
+            measure = stats[slot].measure
+            test = f" AND {_TESTS[measure]}" if measure in _TESTS else ""
+            value = SHARE if measure == "share" else "1" if measure in _TESTS else measure
+            parts.append(f"IF({_in_bits(slot)}{test}, {value}, NULL)")
+        if parts:
+            # A ready value is NULL on coverage lines; on its own line it is the whole value.
+            columns.append((f"coalesce({', '.join(parts)})" if len(parts) > 1 else parts[0]) + f" AS {slot}")
+
+    nulls = [
+        (_mask(by_coverage, "sold", "generated", "share"), "wp IS NULL"),
+        (_mask(by_coverage, "taken"), "(ep > 0 AND wp > 0) IS NULL"),
+        (_mask(by_coverage, "share"), f"wp >= 1 AND {SHARE} IS NULL"),
+    ]
+    unknown = or_bits(f"IF({test}, {ROWS} & {mask}, 0)" for mask, test in nulls if mask)
     if UNKNOWN in ready:
-        ready_bits = F.col(f"_v_{UNKNOWN}")
-        ready_value = ready_bits if params.nulls == "strict" else F.lit(0)
-        unknown = F.when(ready_bits.isNotNull(), ready_value).otherwise(unknown)
-    return [*columns, unknown.alias(UNKNOWN)]
+        unknown = f"coalesce(_v_{UNKNOWN}, {unknown})"
+    return [*columns, f"{unknown if params.nulls == 'strict' else '0'} AS {UNKNOWN}"]
 
 
 def quote_lines(
@@ -216,70 +201,69 @@ def quote_lines(
     rows per job on either side, where joining vehicles would write out every pair.
     """
     conditions = quote_conditions(params)
-    keys = list(params.keys)
     job = [factor_key] if isinstance(factor_key, str) else list(factor_key)
     brought = [] if factors is None else [f for f in params.rate_factors if f not in quotes.columns]
-    own = [k for k in keys if k not in brought]
+    keys = [_q(k) for k in params.keys]
+    own = [_q(k) for k in params.keys if k not in brought]
 
+    share = "try_divide(1.0D, VehicleCount)"
     counted, policies = _mask(stats, "sold", "share"), _mask(stats, "share")
-    share = F.try_divide(F.lit(1.0), F.col("VehicleCount"))
 
     def figures(cov):
-        wp = F.col(f"WP_{cov}")
-        spoilt = F.when(wp.isNull(), counted).when((wp >= 1) & share.isNull(), policies).otherwise(0)
+        wp = f"WP_{cov}"
+        spoilt = f"CASE WHEN {wp} IS NULL THEN {counted} WHEN {wp} >= 1 AND {share} IS NULL THEN {policies} ELSE 0 END"
         return {
-            f"sold_{cov}": F.when(wp >= 1, 1).otherwise(0),
-            f"share_{cov}": F.when(wp >= 1, share),
-            f"unknown_{cov}": spoilt if params.nulls == "strict" else F.lit(0),
+            f"sold_{cov}": f"IF({wp} >= 1, 1, 0)",
+            f"share_{cov}": f"IF({wp} >= 1, {share}, NULL)",
+            f"unknown_{cov}": spoilt if params.nulls == "strict" else "0",
         }
 
+    columns = {name: sql for cov in PREMIUM_COVERAGES for name, sql in figures(cov).items()}
     rows = (
-        quotes.where(any_of([conditions[s.rows] for s in stats]))
+        quotes.where(any_of(conditions[s.rows] for s in stats))
         .withColumns({"TermType": F.lit("NB"), "UWYear": lookback_year(F.col("QuoteVersionDate"), params.end)})
     )
-    columns = {name: c for cov in PREMIUM_COVERAGES for name, c in figures(cov).items()}
-    weight = F.col(ROW_WEIGHT) if ROW_WEIGHT in quotes.columns else F.lit(1)
+    figured = [f"{row_bits(stats, conditions)} AS {ROWS}", *[f"{sql} AS {name}" for name, sql in columns.items()]]
     if factors is None:
-        rows = rows.select(*own, row_bits(stats, conditions).alias(ROWS), weight.alias(ROW_WEIGHT),
-                           *[c.alias(name) for name, c in columns.items()])
+        weight = ROW_WEIGHT if ROW_WEIGHT in quotes.columns else f"1 AS {ROW_WEIGHT}"
+        rows = rows.selectExpr(*own, weight, *figured)
     else:
-        per_job = rows.select(*job, *own, row_bits(stats, conditions).alias(ROWS),
-                              *[c.alias(name) for name, c in columns.items()])
-        per_job = per_job.groupBy(*dict.fromkeys([*job, *own]), ROWS).agg(
-            *[(F.bit_or if name.startswith("unknown_") else F.sum)(name).alias(name) for name in columns]
+        totals = [f"{'bit_or' if name.startswith('unknown_') else 'sum'}({name}) AS {name}" for name in columns]
+        rows = (
+            rows.selectExpr(*dict.fromkeys([*map(_q, job), *own]), *figured)
+            .groupBy(*dict.fromkeys([*map(_q, job), *own]), ROWS)
+            .agg(*[F.expr(total) for total in totals])
+            .join(folded_factors(factors, job, brought), job)
         )
-        rows = per_job.join(folded_factors(factors, job, brought), job)
 
-    lines = F.array(*[
-        F.struct(F.lit(f"Q_{cov}").alias(LINE), F.col(f"sold_{cov}").alias("sold"),
-                 F.col(f"share_{cov}").alias("share"), F.col(f"unknown_{cov}").alias("spoilt"))
+    lines = [
+        _named_struct({LINE: f"'Q_{cov}'", "sold": f"sold_{cov}", "share": f"share_{cov}", "spoilt": f"unknown_{cov}"})
         for cov in PREMIUM_COVERAGES
-    ])
-    slots = [F.when(_in_bits(s.slot), F.col(s.measure) * F.col(ROW_WEIGHT)).alias(s.slot) for s in stats]
-    return rows.select(*keys, ROWS, ROW_WEIGHT, F.inline(lines)).select(
-        *keys, LINE, *slots, F.col(ROWS).bitwiseAND(F.col("spoilt")).alias(UNKNOWN)
+    ]
+    slots = [f"IF({_in_bits(s.slot)}, {s.measure} * {ROW_WEIGHT}, NULL) AS {s.slot}" for s in stats]
+    return rows.selectExpr(*keys, ROWS, ROW_WEIGHT, f"inline(array({', '.join(lines)}))").selectExpr(
+        *keys, LINE, *slots, f"{ROWS} & spoilt AS {UNKNOWN}"
     )
 
 
-def _figure(line: str, slot: str, strict: bool) -> Column:
-    value = F.coalesce(F.col(f"`{line}_{slot}`"), F.lit(0))
+def _figure(line: str, slot: str, strict: bool) -> str:
+    value = f"coalesce(`{line}_{slot}`, 0)"
     if strict:
-        spoilt = F.coalesce(F.col(f"`{line}_{UNKNOWN}`"), F.lit(0)).bitwiseAND(bit_of(slot)) != 0
-        value = F.when(spoilt, F.lit(0)).otherwise(value)
+        value = f"IF((coalesce(`{line}_{UNKNOWN}`, 0) & {bit_of(slot)}) != 0, 0, {value})"
     if slot in NUMBER_SLOTS:
         # Fractions are added in whatever order partitions arrive; this hides the last bits.
-        value = F.round(value.cast("double"), 4 if slot == "x4" else 6)
+        value = f"round(CAST({value} AS DOUBLE), {4 if slot == 'x4' else 6})"
     return value
 
 
-def _stat_columns(stats) -> list[Column]:
+def _stat_columns(stats) -> list[str]:
     columns = []
     for stat in stats:
         if stat.name in VEHICLE_PLACES:
-            columns.append(_figure(*VEHICLE_PLACES[stat.name], stat.strict).alias(stat.name))
+            columns.append(f"{_figure(*VEHICLE_PLACES[stat.name], stat.strict)} AS {stat.name}")
         else:
             prefix = "Q_" if stat in QUOTE_STATS else ""
-            columns += [_figure(f"{prefix}{cov}", stat.slot, stat.strict).alias(stat.column(cov))
+            columns += [f"{_figure(prefix + cov, stat.slot, stat.strict)} AS {stat.column(cov)}"
                         for cov in stat.coverages]
     return columns
 
@@ -330,11 +314,9 @@ def stat_table(
         .agg(*[F.sum(s).alias(s) for s in slots], F.bit_or(UNKNOWN).alias(UNKNOWN))
     )
     available = [s for s in stats if quotes is not None or s not in QUOTE_STATS]
-    result = cells.select(*params.keys, *_stat_columns(available))
-    absent = [s for s in stats if s not in available]
-    return result.withColumns({
-        c: F.lit(0).cast("double" if s.slot in NUMBER_SLOTS else "bigint") for s in absent for c in s.columns
-    }) if absent else result
+    absent = [f"CAST(0 AS {'DOUBLE' if s.slot in NUMBER_SLOTS else 'BIGINT'}) AS {c}"
+              for s in stats if s not in available for c in s.columns]
+    return cells.selectExpr(*[_q(k) for k in params.keys], *_stat_columns(available), *absent)
 
 
 def output_columns() -> list[str]:
@@ -375,7 +357,6 @@ def pricing_summary(
     """
     names = [s.name for s in ALL_STATS]
     figures = stat_table(base, quotes, params, names, quote_factors, quote_factor_key)
-    padding = {k: F.lit(".") for k in padded_keys(params) if k not in params.keys}
-    return figures.withColumns({**padding, "NetPolQuotes": F.lit(0.0)}).select(
-        *padded_keys(params), *output_columns()
-    )
+    keys = [_q(k) if k in params.keys else f"'.' AS {k}" for k in padded_keys(params)]
+    fixed = {"NetPolQuotes": "0.0D AS NetPolQuotes"}
+    return figures.selectExpr(*keys, *[fixed.get(c, c) for c in output_columns()])
