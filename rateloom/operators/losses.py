@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 
 from rateloom.coverages import IBNR_COVERAGES, LOSS_CAPS, LOSS_COVERAGES, named
 from rateloom.functions.measures import capped, distinct_with_null, strict_sum
-from rateloom.functions.recode import coverage_code, lookup
+from rateloom.functions.recode import coverage_code
 
 INCURRED = "NetPaidClaims + NetCaseReserves"
-_COVERAGE_BIT = {cov: 1 << i for i, cov in enumerate(LOSS_COVERAGES)}
+TOTAL = "TOTAL"
 
 
 def losses_as_of(losses: DataFrame, premium: DataFrame) -> DataFrame:
@@ -44,36 +44,38 @@ def total_claims(losses: DataFrame) -> DataFrame:
 def loss_by_vehicle(losses: DataFrame) -> DataFrame:
     """One row per vehicle-term: LOSS_RI_* and LOSS_CC_* per coverage, LOSS_CC_TOTAL.
 
-    Transactions are first reduced to claims. That makes every distinct count a plain
-    count, and spreads a vehicle with very many transactions over its claims. Coverages
-    are bits of an integer, so which ones a claim has, and which hold a missing amount
-    (their loss is NULL), each travel in a single column.
+    Every transaction counts for its coverage and for the total, as two lines. Lines are
+    reduced to claims first, which turns distinct counts into plain counts and spreads a
+    vehicle with very many transactions over its claims; then to one cell per vehicle and
+    line. Only the few cells a vehicle has are moved, and turned into columns last.
     """
     code = coverage_code(F.col("CoverageType"))
-    claims = (
-        losses.select("VehicleTermKey", "ClaimNumber", F.expr(INCURRED).alias("incurred"),
-                      F.coalesce(lookup(code, _COVERAGE_BIT), F.lit(0)).alias("bit"))
-        .groupBy("VehicleTermKey", "ClaimNumber")
-        .agg(F.expr("bit_or(bit) AS covered"),
-             F.expr("bit_or(IF(incurred IS NULL, bit, 0)) AS unknown"),
-             *[F.expr(f"sum(IF(bit = {bit}, incurred, NULL)) AS LOSS_RI_{cov}") for cov, bit in _COVERAGE_BIT.items()])
+    lines = losses.select(
+        "VehicleTermKey", "ClaimNumber", F.expr(INCURRED).alias("incurred"),
+        F.explode(F.array(code, F.lit(TOTAL))).alias("line"),
+    ).where(F.col("line").isin(*LOSS_COVERAGES, TOTAL))
+    claims = lines.groupBy("VehicleTermKey", "line", "ClaimNumber").agg(
+        F.expr("sum(incurred) AS incurred"), F.expr("bool_or(incurred IS NULL) AS unknown")
+    )
+    cells = claims.groupBy("VehicleTermKey", "line").agg(
+        F.expr("IF(bool_or(unknown), NULL, sum(incurred)) AS ri"), F.expr("count(*) AS cc")
     )
-    by_vehicle = claims.groupBy("VehicleTermKey").agg(
-        F.expr("bit_or(unknown) AS unknown"),
-        F.expr("count(*) AS LOSS_CC_TOTAL"),
-        *[F.expr(f"count_if((covered & {bit}) != 0) AS LOSS_CC_{cov}") for cov, bit in _COVERAGE_BIT.items()],
-        *[F.expr(f"sum(LOSS_RI_{cov}) AS LOSS_RI_{cov}") for cov in LOSS_COVERAGES],
+    # At most one cell per line name, so these lists are short whatever the data.
+    by_vehicle = cells.groupBy("VehicleTermKey").agg(
+        F.expr("map_from_entries(collect_list(struct(line, struct(ri, cc)))) AS cells")
     )
     # Sums of sums widen a decimal type; one vehicle-term's loss needs no more than 18 digits.
     paid = losses.schema["NetPaidClaims"].dataType
     amount = f"DECIMAL(18, {paid.scale})" if isinstance(paid, T.DecimalType) else "DOUBLE"
+
     # A coverage without claims is 0; one with a missing amount stays NULL.
-    losses_known = [
-        f"CAST(IF((unknown & {bit}) = 0, coalesce(LOSS_RI_{cov}, 0), NULL) AS {amount}) AS LOSS_RI_{cov}"
-        for cov, bit in _COVERAGE_BIT.items()
-    ]
+    def cell(line):
+        return f"try_element_at(cells, '{line}')"
+
     return by_vehicle.selectExpr(
-        "VehicleTermKey", *losses_known, *named("LOSS_CC", LOSS_COVERAGES), "LOSS_CC_TOTAL"
+        "VehicleTermKey",
+        *[f"CAST(IF({cell(cov)} IS NULL, 0, {cell(cov)}.ri) AS {amount}) AS LOSS_RI_{cov}" for cov in LOSS_COVERAGES],
+        *[f"coalesce({cell(line)}.cc, 0) AS LOSS_CC_{line}" for line in (*LOSS_COVERAGES, TOTAL)],
     )
 
 

@@ -50,9 +50,11 @@ class CoverageStat:
 
 @dataclass(frozen=True)
 class VehicleStat:
-    """A figure with a single column."""
+    """A figure with a single column, in a slot of a line of its own."""
 
     name: str
+    line: str
+    slot: str
     rows: str
     measure: str
     strict: bool = False
@@ -98,31 +100,30 @@ QUOTE_STATS = (
     CoverageStat("TPQ_QB", "x1", "quote_qb", "share", strict=True),
 )
 
-# Measures of a vehicle: sold_bi (BI written premium at least 1), a column name (added up),
-# a column name with _if_bi (added up where BI written premium is above 0), one (rows).
-VEHICLE_COUNTS = (
-    VehicleStat("BMGender_WP_BI", "mix_male", "sold_bi", strict=True),
-    VehicleStat("BMLiaOnly_WP_BI", "mix_liability_only", "sold_bi", strict=True),
-    VehicleStat("BMMinLimit_WP_BI", "mix_minimum_limit", "sold_bi", strict=True),
-    VehicleStat("BMPayFull_WP_BI", "mix_paid_in_full", "sold_bi", strict=True),
-    VehicleStat("BMRTPlus_WP_BI", "mix_retention_tier", "sold_bi", strict=True),
-    VehicleStat("Month6Active", "six_months", "Retained6Months"),
-    VehicleStat("Month6Total", "six_months", "one"),
-    VehicleStat("Cancels_NonPay", "cancel_non_pay", "one"),
-    VehicleStat("Cancels_Fraud", "cancel_fraud", "one"),
-    VehicleStat("Cancels_Other", "cancel_other", "one"),
-    VehicleStat("Total1Year", "one_year", "one"),
-    VehicleStat("CXX_QBTotal", "three_days_qb", "one"),
-    VehicleStat("CXX_PBTotal", "three_days_pb", "one"),
-    VehicleStat("CXX_ThreeDays_QB", "three_days_cancelled_qb", "one"),
-    VehicleStat("CXX_ThreeDays_Total", "three_days_cancelled_pb", "one"),
-    VehicleStat("LOSS_CC_TOTAL", "pb", "LOSS_CC_TOTAL"),
-)
-VEHICLE_NUMBERS = (
-    VehicleStat("BMAge23_WP_BI", "mix_age_known", "PrimaryDriverAge_if_bi", strict=True),
-    VehicleStat("BMVeh2015_WP_BI", "mix_year_known", "VehicleYearNumber_if_bi", strict=True),
+# Measures of a vehicle: one (rows), sold_bi (BI written premium at least 1), a column
+# (added up), a column with _if_bi (added up where BI written premium is above 0).
+# Rows are counted in the slots that count on a coverage line; what is added up takes the
+# slot of a coverage measure of the same type.
+VEHICLE_STATS = (
+    VehicleStat("BMGender_WP_BI", "V1", "c1", "mix_male", "sold_bi", strict=True),
+    VehicleStat("BMLiaOnly_WP_BI", "V1", "c2", "mix_liability_only", "sold_bi", strict=True),
+    VehicleStat("BMMinLimit_WP_BI", "V1", "c3", "mix_minimum_limit", "sold_bi", strict=True),
+    VehicleStat("BMPayFull_WP_BI", "V1", "c4", "mix_paid_in_full", "sold_bi", strict=True),
+    VehicleStat("BMRTPlus_WP_BI", "V1", "c5", "mix_retention_tier", "sold_bi", strict=True),
+    VehicleStat("Month6Total", "V1", "c6", "six_months", "one"),
+    VehicleStat("Total1Year", "V1", "c7", "one_year", "one"),
+    VehicleStat("Cancels_NonPay", "V1", "c8", "cancel_non_pay", "one"),
+    VehicleStat("Month6Active", "V1", "c9", "six_months", "Retained6Months"),
+    VehicleStat("BMAge23_WP_BI", "V1", "x3", "mix_age_known", "PrimaryDriverAge_if_bi", strict=True),
+    VehicleStat("BMVeh2015_WP_BI", "V1", "x4", "mix_year_known", "VehicleYearNumber_if_bi", strict=True),
+    VehicleStat("Cancels_Fraud", "V2", "c1", "cancel_fraud", "one"),
+    VehicleStat("Cancels_Other", "V2", "c2", "cancel_other", "one"),
+    VehicleStat("CXX_QBTotal", "V2", "c3", "three_days_qb", "one"),
+    VehicleStat("CXX_PBTotal", "V2", "c4", "three_days_pb", "one"),
+    VehicleStat("CXX_ThreeDays_QB", "V2", "c5", "three_days_cancelled_qb", "one"),
+    VehicleStat("CXX_ThreeDays_Total", "V2", "c6", "three_days_cancelled_pb", "one"),
+    VehicleStat("LOSS_CC_TOTAL", "V2", "c9", "pb", "LOSS_CC_TOTAL"),
 )
-VEHICLE_STATS = VEHICLE_COUNTS + VEHICLE_NUMBERS
 
 ALL_STATS = PREMIUM_STATS + VEHICLE_STATS + QUOTE_STATS
 STAT_NAMES = tuple(stat.name for stat in ALL_STATS)
@@ -136,20 +137,28 @@ def sql_window(column: str, start: date, end: date) -> str:
     return f"({column} >= {sql_day(start)} AND {column} < {sql_day(end)})"
 
 
+def shared_conditions(p: PricingParams) -> dict[str, str]:
+    """Conditions most branches share, evaluated once per premium row as columns."""
+    pb = sql_window("PolicyTermStartEffDate", p.prem_loss_start, p.end)
+    sale, renewal = "TransactionType = 'New Business'", "TransactionType = 'Renewal'"
+    return {
+        "_pb": pb,
+        "_qb": sql_window("PolicyTermStartEffDate", p.sale_quote_start, p.end),
+        "_sale": sale,
+        "_renewal": renewal,
+        "_mix": f"{pb} AND (({sale} AND WP_BI > 0) OR ({renewal} AND EP_BI > 0))",
+    }
+
+
 def premium_conditions(p: PricingParams) -> dict[str, str]:
     """Row conditions over the premium base as SQL, by name.
 
-    ``RETAINED`` is a column holding the latest retention date of the whole base.
+    They refer to the shared conditions and to a column with the latest retention date of
+    the whole base.
     """
     start, expiry = "PolicyTermStartEffDate", "PolicyTermExpirationEffDate"
-    pb = sql_window(start, p.prem_loss_start, p.end)
-    qb = sql_window(start, p.sale_quote_start, p.end)
-    sale, renewal = "TransactionType = 'New Business'", "TransactionType = 'Renewal'"
-    either = f"({sale} OR {renewal})"
-    paid_renewal = f"({renewal} AND EP_TOTAL > 0)"
-    mix = f"{pb} AND (({sale} AND WP_BI > 0) OR ({renewal} AND EP_BI > 0))"
-
-    six_months = (f"{sql_window(start, *p.retention_window)} AND {start} < add_months({RETAINED}, -6) AND {either}")
+    either = "(_sale OR _renewal)"
+    six_months = f"{sql_window(start, *p.retention_window)} AND {either} AND {start} < add_months({RETAINED}, -6)"
 
     # A sale window that starts on 29 February has no same day a year earlier: no rows.
     one_year = f"{expiry} < {sql_day(p.end)} AND {start} >= {sql_day(p.cancel_start)} AND {either}"
@@ -162,25 +171,25 @@ def premium_conditions(p: PricingParams) -> dict[str, str]:
     within_three_days = f"CancellationDate <= date_add({start}, 3)"
 
     return {
-        "pb": pb,
-        "sale_qb": f"{qb} AND {sale}",
-        "sale_pb": f"{pb} AND {sale}",
-        "sale_pc_qb": f"{qb} AND {sale} AND FinanceChannel = 'PC'",
-        "sale_web_qb": f"{qb} AND {sale} AND FinanceChannel = 'Web'",
-        "sale_agent_qb": f"{qb} AND {sale} AND FinanceChannel = 'Agent'",
-        "renewal_qb": f"{qb} AND {renewal}",
-        "renewal_pb": f"{pb} AND {renewal}",
-        "insured_renewal_qb": f"{qb} AND {renewal} AND WP_BI > 0",
-        "insured_renewal_pb": f"{pb} AND {renewal} AND WP_BI > 0",
-        "written_qb": f"({qb} AND {sale}) OR ({sql_window(start, p.renewal_start, p.end)} AND {paid_renewal})",
-        "written_pb": f"{pb} AND ({sale} OR {paid_renewal})",
-        "mix_age_known": f"{mix} AND PrimaryDriverAge IS NOT NULL",
-        "mix_male": f"{mix} AND PrimaryDriverGender = 'M'",
-        "mix_liability_only": f"{mix} AND OptionalCoverageType = 'None'",
-        "mix_minimum_limit": f"{mix} AND SelectedBILimit_f = 'Minimum'",
-        "mix_paid_in_full": f"{mix} AND DownPaymentMonthsNumber >= 6",
-        "mix_retention_tier": f"{mix} AND RetentionTier2_Calculated >= 80",
-        "mix_year_known": f"{mix} AND VehicleYearNumber IS NOT NULL",
+        "pb": "_pb",
+        "sale_qb": "_qb AND _sale",
+        "sale_pb": "_pb AND _sale",
+        "sale_pc_qb": "_qb AND _sale AND FinanceChannel = 'PC'",
+        "sale_web_qb": "_qb AND _sale AND FinanceChannel = 'Web'",
+        "sale_agent_qb": "_qb AND _sale AND FinanceChannel = 'Agent'",
+        "renewal_qb": "_qb AND _renewal",
+        "renewal_pb": "_pb AND _renewal",
+        "insured_renewal_qb": "_qb AND _renewal AND WP_BI > 0",
+        "insured_renewal_pb": "_pb AND _renewal AND WP_BI > 0",
+        "written_qb": f"((_qb AND _sale) OR ({sql_window(start, p.renewal_start, p.end)} AND _renewal AND EP_TOTAL > 0))",
+        "written_pb": "_pb AND (_sale OR (_renewal AND EP_TOTAL > 0))",
+        "mix_age_known": "_mix AND PrimaryDriverAge IS NOT NULL",
+        "mix_male": "_mix AND PrimaryDriverGender = 'M'",
+        "mix_liability_only": "_mix AND OptionalCoverageType = 'None'",
+        "mix_minimum_limit": "_mix AND SelectedBILimit_f = 'Minimum'",
+        "mix_paid_in_full": "_mix AND DownPaymentMonthsNumber >= 6",
+        "mix_retention_tier": "_mix AND RetentionTier2_Calculated >= 80",
+        "mix_year_known": "_mix AND VehicleYearNumber IS NOT NULL",
         "six_months": six_months,
         "one_year": one_year,
         "cancel_non_pay": f"{early} AND CancelReason_F = 'Non-Payment'",
@@ -205,7 +214,10 @@ def quote_conditions(p: PricingParams) -> dict[str, str]:
 
 
 def any_of(conditions) -> str:
-    return " OR ".join(f"({c})" for c in dict.fromkeys(conditions))
+    """Disjunction, leaving out conditions that only narrow another one."""
+    given = list(dict.fromkeys(conditions))
+    widest = [c for c in given if not any(c.startswith(f"{other} AND ") for other in given)]
+    return " OR ".join(f"({c})" for c in widest)
 
 
 def or_bits(parts) -> str:

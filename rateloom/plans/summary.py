@@ -14,25 +14,24 @@ from rateloom.operators.factors import ROW_WEIGHT, folded_factors
 from rateloom.params import MAX_RATING_FACTORS, RUN_KEYS, PricingParams
 from rateloom.plans.branches import (
     ALL_STATS,
-    COUNT_SLOTS,
     NUMBER_SLOTS,
     PREMIUM_STATS,
     QUOTE_STATS,
     RETAINED,
     SLOTS,
-    VEHICLE_COUNTS,
-    VEHICLE_NUMBERS,
+    VEHICLE_STATS,
     any_of,
     bit_of,
     or_bits,
     premium_conditions,
     quote_conditions,
     row_bits,
+    shared_conditions,
     sql_day,
 )
 from rateloom.sources.tables import require_columns
 
-LINE, ROWS, UNKNOWN, SHARE = "_line", "_rows", "_unknown", "_share"
+LINE, ROWS, SPOILT, UNKNOWN, SHARE = "_line", "_rows", "_spoilt", "_unknown", "_share"
 
 # COMP_CAT has losses only and BIFEE premium only, so the lines are the union of both lists.
 COVERAGE_LINES = (*PREMIUM_COVERAGES, *(c for c in LOSS_COVERAGES if c not in PREMIUM_COVERAGES))
@@ -41,22 +40,11 @@ LINE_FIELDS = {
     "wp": "WP", "ep": "EP", "ee": "EE", "clep": "CLEP", "adj": "ADJ_WP", "cc": "LOSS_CC",
     "loss_25": "LOSS_25", "loss_100": "LOSS_100", "loss_ri": "LOSS_RI",
 }
+# The field a slot adds up, where it is not a count.
+_SLOT_FIELD = {s.slot: s.measure if s.measure in LINE_FIELDS else None for s in PREMIUM_STATS}
 _MEASURE_FIELDS = {"sold": ("wp",), "share": ("wp",), "generated": ("wp",), "taken": ("wp", "ep")}
 
 
-def _places() -> dict[str, tuple[str, str]]:
-    """Per-vehicle figure -> (line, slot) it travels in."""
-    places = {}
-    for i, stat in enumerate(VEHICLE_COUNTS):
-        places[stat.name] = (f"V{i // len(COUNT_SLOTS) + 1}", COUNT_SLOTS[i % len(COUNT_SLOTS)])
-    for slot, stat in zip(NUMBER_SLOTS, VEHICLE_NUMBERS):
-        places[stat.name] = ("V1", slot)
-    return places
-
-
-VEHICLE_PLACES = _places()
-
-
 def with_run_keys(base: DataFrame, params: PricingParams) -> DataFrame:
     """Premium base with TermType as NB/RN and UWYear as look-back year."""
     return base.withColumns({
@@ -81,27 +69,28 @@ def _in_bits(slot: str) -> str:
     return f"({ROWS} & {bit_of(slot)}) != 0"
 
 
-def _vehicle_values(line: str, stats, conditions) -> dict[str, str]:
-    """Slot values of one per-vehicle line, and the slots a NULL spoils."""
-    values, unknown = {}, []
-    for stat in stats:
-        if VEHICLE_PLACES[stat.name][0] != line:
-            continue
-        slot, rows = VEHICLE_PLACES[stat.name][1], conditions[stat.rows]
-        if stat.measure == "one":
-            value = f"IF({rows}, 1, NULL)"
-        elif stat.measure == "sold_bi":
-            value = f"IF(({rows}) AND WP_BI >= 1, 1, NULL)"
+def _vehicle_line(name: str, stats, conditions, strict: bool) -> dict[str, str]:
+    """A line with the figures of a vehicle, shaped like a coverage line.
+
+    Premium is 1, so that a counting slot counts whenever its bit is set; measures that are
+    added up sit where a coverage has its claims, exposure and adjusted premium.
+    """
+    values, rows, spoilt = {"wp": "1", "ep": "1"}, [], []
+    for stat in (s for s in stats if s.line == name):
+        met, bit = conditions[stat.rows], bit_of(stat.slot)
+        if stat.strict:
+            spoilt.append(f"IF(({met}) AND WP_BI IS NULL, {bit}, 0)")
+        if stat.measure == "sold_bi":
+            met = f"({met}) AND WP_BI >= 1"
         elif stat.measure.endswith("_if_bi"):
             number = f"try_cast({stat.measure[:-6]} AS DOUBLE)"
-            value = f"IF(({rows}) AND WP_BI > 0, {number}, NULL)"
-            unknown.append(f"IF(({rows}) AND WP_BI > 0 AND {number} IS NULL, {bit_of(slot)}, 0)")
-        else:
-            value = f"IF({rows}, {stat.measure}, NULL)"
-        if stat.strict:
-            unknown.append(f"IF(({rows}) AND WP_BI IS NULL, {bit_of(slot)}, 0)")
-        values[slot] = f"CAST({value} AS {'DOUBLE' if slot in NUMBER_SLOTS else 'BIGINT'})"
-    return {**values, UNKNOWN: or_bits(unknown)}
+            met = f"({met}) AND WP_BI > 0"
+            spoilt.append(f"IF({met} AND {number} IS NULL, {bit}, 0)")
+            values[_SLOT_FIELD[stat.slot]] = number
+        elif stat.measure != "one":
+            values[_SLOT_FIELD[stat.slot]] = f"CAST({stat.measure} AS BIGINT)"
+        rows.append(f"IF({met}, {bit}, 0)")
+    return {**values, ROWS: or_bits(rows), SPOILT: or_bits(spoilt) if strict else "0"}
 
 
 def _coverage_field(base_columns, field: str, coverage: str) -> str | None:
@@ -119,9 +108,10 @@ def _coverage_field(base_columns, field: str, coverage: str) -> str | None:
 def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
     """Unpivot the premium rows any of ``stats`` looks at into lines of slots."""
     by_coverage = [s for s in stats if s in PREMIUM_STATS]
-    by_vehicle = [s for s in stats if s.name in VEHICLE_PLACES]
+    by_vehicle = [s for s in stats if s in VEHICLE_STATS]
     keys = [_q(k) for k in params.keys]
     conditions = premium_conditions(params)
+    strict = params.nulls == "strict"
 
     start, expiry, end = "PolicyTermStartEffDate", "PolicyTermExpirationEffDate", sql_day(params.end)
     reach = f"{start} >= {sql_day(params.earliest_start)} AND ({start} < {end} OR {expiry} < {end})"
@@ -129,62 +119,50 @@ def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
     if any(s.rows == "six_months" for s in by_vehicle):
         # Of the whole base, also of rows that no branch looks at.
         rows = rows.withColumn(RETAINED, base.agg(F.max("RetainedAsOfDate")).scalar())
+    rows = rows.selectExpr("*", *[f"{sql} AS {name}" for name, sql in shared_conditions(params).items()])
     rows = rows.where(any_of(conditions[s.rows] for s in stats))
 
-    # Lines: name, coverage columns, then the ready slot values of the per-vehicle lines.
-    # Whatever a line has no use for is NULL; the array gives every column one type.
     fields = [f for f in LINE_FIELDS
-              if any(f in _MEASURE_FIELDS.get(s.measure, (s.measure,)) for s in by_coverage)]
-    ready = [s for s in COUNT_SLOTS + NUMBER_SLOTS if any(VEHICLE_PLACES[v.name][1] == s for v in by_vehicle)]
-    ready += [UNKNOWN] if by_vehicle else []
+              if any(f in _MEASURE_FIELDS.get(s.measure, (s.measure,)) for s in by_coverage)
+              or any(f == _SLOT_FIELD[s.slot] or f == "wp" or f == "ep" for s in by_vehicle)]
 
+    # Whatever a line has no use for is NULL; the array gives every column one type.
     def line(name, values):
-        return _named_struct({
-            LINE: f"'{name}'",
-            **{f: values.get(f) or "NULL" for f in fields},
-            **{f"_v_{s}": values.get(s) or "NULL" for s in ready},
-        })
+        return _named_struct({LINE: f"'{name}'", **{f: values.get(f) or "NULL" for f in [ROWS, SPOILT, *fields]}})
 
     base_columns = set(base.columns)
     lines = []
     if by_coverage:
-        lines += [line(cov, {f: _coverage_field(base_columns, f, cov) for f in fields}) for cov in COVERAGE_LINES]
-    for name in dict.fromkeys(VEHICLE_PLACES[s.name][0] for s in by_vehicle):
-        lines.append(line(name, _vehicle_values(name, by_vehicle, conditions)))
+        for cov in COVERAGE_LINES:
+            values = {f: _coverage_field(base_columns, f, cov) for f in fields}
+            lines.append(line(cov, {ROWS: "_coverage_rows", **values}))
+    for name in dict.fromkeys(s.line for s in by_vehicle):
+        lines.append(line(name, _vehicle_line(name, by_vehicle, conditions, strict)))
 
-    carried = [f"{row_bits(by_coverage, conditions)} AS {ROWS}"]
-    if any(s.measure == "share" for s in by_coverage):
-        carried.append(f"try_divide(1.0D, VehicleCount) AS {SHARE}")
-    unpivoted = rows.selectExpr(*keys, *carried, f"inline(array({', '.join(lines)}))")
-    return unpivoted.selectExpr(*keys, LINE, *_premium_slots(by_coverage, ready, params))
+    unpivoted = rows.selectExpr(
+        "*", f"{row_bits(by_coverage, conditions)} AS _coverage_rows"
+    ).selectExpr(*keys, f"try_divide(1.0D, VehicleCount) AS {SHARE}", f"inline(array({', '.join(lines)}))")
+    return unpivoted.selectExpr(*keys, LINE, *_premium_slots(by_coverage, by_vehicle, strict))
 
 
 _TESTS = {"sold": "wp >= 1", "generated": "wp > 0", "taken": "ep > 0 AND wp > 0", "share": "wp >= 1"}
 
 
-def _premium_slots(by_coverage, ready, params) -> list[str]:
-    stats = {s.slot: s for s in by_coverage}
+def _premium_slots(by_coverage, by_vehicle, strict: bool) -> list[str]:
+    used = {s.slot for s in by_coverage} | {s.slot for s in by_vehicle}
     columns = []
-    for slot in SLOTS:
-        parts = [f"_v_{slot}"] if slot in ready else []
-        if slot in stats:
-            measure = stats[slot].measure
-            test = f" AND {_TESTS[measure]}" if measure in _TESTS else ""
-            value = SHARE if measure == "share" else "1" if measure in _TESTS else measure
-            parts.append(f"IF({_in_bits(slot)}{test}, {value}, NULL)")
-        if parts:
-            # A ready value is NULL on coverage lines; on its own line it is the whole value.
-            columns.append((f"coalesce({', '.join(parts)})" if len(parts) > 1 else parts[0]) + f" AS {slot}")
+    for stat in (s for s in PREMIUM_STATS if s.slot in used):
+        value = {"share": SHARE}.get(stat.measure, "1" if stat.measure in _TESTS else stat.measure)
+        test = f" AND {_TESTS[stat.measure]}" if stat.measure in _TESTS else ""
+        columns.append(f"IF({_in_bits(stat.slot)}{test}, {value}, NULL) AS {stat.slot}")
 
     nulls = [
         (_mask(by_coverage, "sold", "generated", "share"), "wp IS NULL"),
         (_mask(by_coverage, "taken"), "(ep > 0 AND wp > 0) IS NULL"),
         (_mask(by_coverage, "share"), f"wp >= 1 AND {SHARE} IS NULL"),
     ]
-    unknown = or_bits(f"IF({test}, {ROWS} & {mask}, 0)" for mask, test in nulls if mask)
-    if UNKNOWN in ready:
-        unknown = f"coalesce(_v_{UNKNOWN}, {unknown})"
-    return [*columns, f"{unknown if params.nulls == 'strict' else '0'} AS {UNKNOWN}"]
+    unknown = or_bits(f"IF({test}, {ROWS} & {mask}, 0)" for mask, test in nulls if mask and strict)
+    return [*columns, f"coalesce({SPOILT}, {unknown}) AS {UNKNOWN}"]
 
 
 def quote_lines(
@@ -259,8 +237,8 @@ def _figure(line: str, slot: str, strict: bool) -> str:
 def _stat_columns(stats) -> list[str]:
     columns = []
     for stat in stats:
-        if stat.name in VEHICLE_PLACES:
-            columns.append(f"{_figure(*VEHICLE_PLACES[stat.name], stat.strict)} AS {stat.name}")
+        if stat in VEHICLE_STATS:
+            columns.append(f"{_figure(stat.line, stat.slot, stat.strict)} AS {stat.name}")
         else:
             prefix = "Q_" if stat in QUOTE_STATS else ""
             columns += [f"{_figure(prefix + cov, stat.slot, stat.strict)} AS {stat.column(cov)}"
@@ -304,7 +282,7 @@ def stat_table(
     names_of_lines = []
     if any(s in PREMIUM_STATS for s in from_premium):
         names_of_lines += COVERAGE_LINES
-    names_of_lines += sorted({VEHICLE_PLACES[s.name][0] for s in from_premium if s.name in VEHICLE_PLACES})
+    names_of_lines += sorted({s.line for s in from_premium if s in VEHICLE_STATS})
     if len(sides) > bool(from_premium):
         names_of_lines += [f"Q_{cov}" for cov in PREMIUM_COVERAGES]
     slots = [s for s in SLOTS if s in lines.columns]
