@@ -258,10 +258,11 @@ def stat_table(
 
     Figures a key has no rows for are 0. Missing key values group together.
     """
-    unknown = sorted(set(names) - {s.name for s in ALL_STATS})
+    by_name = {s.name: s for s in ALL_STATS}
+    unknown = [name for name in names if name not in by_name]
     if unknown:
         raise ValueError(f"no such figures: {unknown}")
-    stats = [s for s in ALL_STATS if s.name in names]
+    stats = [by_name[name] for name in dict.fromkeys(names)]
     from_quotes = [s for s in stats if s in QUOTE_STATS]
     from_premium = [s for s in stats if s not in QUOTE_STATS]
 
