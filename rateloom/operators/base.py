@@ -29,9 +29,8 @@ LOSS_COLUMNS = (
 
 
 def developed_losses(premium: DataFrame, losses: DataFrame, ibnr: DataFrame, orphan_losses: str = "drop") -> DataFrame:
-    """As-of cut, claims to vehicle-terms, IBNR and caps."""
-    by_vehicle = loss_by_vehicle(losses_as_of(losses, premium))
-    return with_caps(develop(ibnr, by_vehicle, orphan_losses))
+    """As-of cut, claims to vehicle-terms, IBNR."""
+    return develop(ibnr, loss_by_vehicle(losses_as_of(losses, premium)), orphan_losses)
 
 
 def premium_loss_base(
@@ -45,12 +44,14 @@ def premium_loss_base(
 
     ``keep`` names further premium columns to carry, such as rating factors the premium
     table already has. Premium rows without losses keep NULL losses. All three inputs
-    meet on VehicleTermKey, so rows move once per input and not again between the joins.
+    meet on VehicleTermKey, so rows move once per input and not again between the joins;
+    the capped columns are made after the join, so that they do not move at all.
     """
-    present = [c for c in (*BASE_COLUMNS, *PREMIUM_COLUMNS, *keep) if c in premium.columns]
-    return (
-        premium.selectExpr(*present)
-        .join(developed_losses(premium, losses, ibnr, orphan_losses), "VehicleTermKey", "left")
-        .withColumn("FinanceChannel", channel(F.col("FinanceChannel_F")))
-        .selectExpr(*present, *LOSS_COLUMNS, "FinanceChannel")
+    present = set(premium.columns)
+    carried = [c for c in (*BASE_COLUMNS, *PREMIUM_COLUMNS, *keep) if c in present]
+    joined = premium.selectExpr(*carried).join(
+        developed_losses(premium, losses, ibnr, orphan_losses), "VehicleTermKey", "left"
+    )
+    return with_caps(joined.withColumn("FinanceChannel", channel(F.col("FinanceChannel_F")))).selectExpr(
+        *carried, *LOSS_COLUMNS, "FinanceChannel"
     )

@@ -41,6 +41,14 @@ def total_claims(losses: DataFrame) -> DataFrame:
     )
 
 
+def _amount_type(*types: T.DataType) -> str:
+    """Type of one vehicle-term's loss. Sums widen a decimal; 18 digits are kept, which
+    Spark stores and adds as a plain integer."""
+    if not all(isinstance(t, (T.DecimalType, T.IntegralType)) for t in types):
+        return "DOUBLE"
+    return f"DECIMAL(18, {max(getattr(t, 'scale', 0) for t in types)})"
+
+
 def loss_by_vehicle(losses: DataFrame) -> DataFrame:
     """One row per vehicle-term: LOSS_RI_* and LOSS_CC_* per coverage, LOSS_CC_TOTAL.
 
@@ -64,9 +72,7 @@ def loss_by_vehicle(losses: DataFrame) -> DataFrame:
     by_vehicle = cells.groupBy("VehicleTermKey").agg(
         F.expr("map_from_entries(collect_list(struct(line, struct(ri, cc)))) AS cells")
     )
-    # Sums of sums widen a decimal type; one vehicle-term's loss needs no more than 18 digits.
-    paid = losses.schema["NetPaidClaims"].dataType
-    amount = f"DECIMAL(18, {paid.scale})" if isinstance(paid, T.DecimalType) else "DOUBLE"
+    amount = _amount_type(losses.schema["NetPaidClaims"].dataType, losses.schema["NetCaseReserves"].dataType)
 
     # A coverage without claims is 0; one with a missing amount stays NULL.
     def cell(line):
@@ -92,9 +98,13 @@ def develop(ibnr: DataFrame, losses_by_vehicle: DataFrame, orphan_losses: str =
         losses_by_vehicle, "VehicleTermKey", how
     )
 
+    types = [df.schema[c].dataType for df, c in ((ibnr, "IBNR_BI"), (losses_by_vehicle, "LOSS_RI_BI"))]
+
     def amount(cov):
         loss = f"coalesce(LOSS_RI_{cov}, 0)"
-        return f"{loss} + coalesce(IBNR_{cov}, 0)" if cov in IBNR_COVERAGES else loss
+        if cov not in IBNR_COVERAGES:
+            return f"CAST({loss} AS {_amount_type(*types)})"
+        return f"CAST({loss} + coalesce(IBNR_{cov}, 0) AS {_amount_type(*types)})"
 
     return joined.selectExpr(
         "VehicleTermKey",

@@ -126,11 +126,21 @@ def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
               if any(f in _MEASURE_FIELDS.get(s.measure, (s.measure,)) for s in by_coverage)
               or any(f == _SLOT_FIELD[s.slot] or f == "wp" or f == "ep" for s in by_vehicle)]
 
-    # Whatever a line has no use for is NULL; the array gives every column one type.
-    def line(name, values):
-        return _named_struct({LINE: f"'{name}'", **{f: values.get(f) or "NULL" for f in [ROWS, SPOILT, *fields]}})
+    # Whatever a line has no use for is NULL. All lines have the same types from the start,
+    # so that building them needs no conversion.
+    base_types = {f.name: f.dataType.simpleString() for f in base.schema}
+    types = {ROWS: "int", SPOILT: "int", "adj": "double", "cc": "bigint"}
+    types = {f: types.get(f) or base_types[f"{LINE_FIELDS[f]}_BI"] for f in [ROWS, SPOILT, *fields]}
 
-    base_columns = set(base.columns)
+    def line(name, values):
+        typed = {}
+        for f, sql_type in types.items():
+            value = values.get(f)
+            given = base_types.get(value, "int" if value == "_coverage_rows" else None)
+            typed[f] = value if given == sql_type else f"CAST({value or 'NULL'} AS {sql_type})"
+        return _named_struct({LINE: f"'{name}'", **typed})
+
+    base_columns = set(base_types)
     lines = []
     if by_coverage:
         for cov in COVERAGE_LINES:

@@ -52,8 +52,8 @@ def query(name, sql):
 class Inputs:
     """Engine inputs derived from the tables of one scale factor."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self._views = spark, sf_dir, {}
+    def __init__(self, spark: SparkSession, sf_dir: str, views: dict[str, DataFrame] | None = None):
+        self.spark, self.sf_dir, self._views = spark, sf_dir, dict(views or {})
 
     def view(self, name: str) -> DataFrame:
         if name not in self._views:
@@ -261,7 +261,7 @@ def _(i):
 
 @query("capped_loss", o.with_([*_PIVOT, *o.developed_cte()], f"SELECT VehicleTermKey, {', '.join(_doubles(_RI + _CAPPED))} FROM loss_cap"))
 def _(i):
-    developed = base_ops.developed_losses(i.premium, i.losses, i.ibnr)
+    developed = losses.with_caps(base_ops.developed_losses(i.premium, i.losses, i.ibnr))
     return developed.select("VehicleTermKey", *_RI, *_CAPPED)
 
 

@@ -201,3 +201,17 @@ def view_ctes(*names: str) -> list[str]:
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tables = [f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in BASE_TABLES]
     return spark.sql("WITH " + ",\n".join(tables + view_ctes(name)) + f"\nSELECT * FROM {name}")
+
+
+def stored_fixtures(spark: SparkSession, sf_dir: str, path: str) -> dict[str, DataFrame]:
+    """All views as parquet under ``path``, each built from the stored views it uses."""
+    for table in BASE_TABLES:
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+    stored = {}
+    for name, sql in VIEWS.items():
+        spark.sql(sql).write.mode("overwrite").parquet(f"{path}/{name}")
+        stored[name] = spark.read.parquet(f"{path}/{name}")
+        stored[name].createOrReplaceTempView(name)
+    for name in (*BASE_TABLES, *VIEWS):
+        spark.catalog.dropTempView(name)
+    return stored
