@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +30,21 @@ LOSS_COLUMNS = (
 )
 
 
-def developed_losses(premium: DataFrame, losses: DataFrame, ibnr: DataFrame, orphan_losses: str = "drop") -> DataFrame:
+def premium_columns(premium: DataFrame, keep: tuple[str, ...] = ()) -> list[str]:
+    """The columns the base takes from the premium extract, as far as it has them."""
+    present = set(premium.columns)
+    return [c for c in (*BASE_COLUMNS, *PREMIUM_COLUMNS, *keep) if c in present]
+
+
+def developed_losses(
+    premium: DataFrame,
+    losses: DataFrame,
+    ibnr: DataFrame,
+    orphan_losses: str = "drop",
+    earned_as_of: date | None = None,
+) -> DataFrame:
     """As-of cut, claims to vehicle-terms, IBNR."""
-    return develop(ibnr, loss_by_vehicle(losses_as_of(losses, premium)), orphan_losses)
+    return develop(ibnr, loss_by_vehicle(losses_as_of(losses, premium, earned_as_of)), orphan_losses)
 
 
 def premium_loss_base(
@@ -39,18 +53,21 @@ def premium_loss_base(
     ibnr: DataFrame,
     orphan_losses: str = "drop",
     keep: tuple[str, ...] = (),
+    earned_as_of: date | None = None,
+    earned_from: DataFrame | None = None,
 ) -> DataFrame:
     """Every premium row with its developed and capped losses and its sales channel.
 
     ``keep`` names further premium columns to carry, such as rating factors the premium
-    table already has. Premium rows without losses keep NULL losses. All three inputs
+    table already has. The claims are cut at ``earned_as_of``, or else at the latest earned
+    date of ``earned_from``, or else of ``premium``. Premium rows without losses keep NULL losses. All three inputs
     meet on VehicleTermKey, so rows move once per input and not again between the joins;
     the capped columns are made after the join, so that they do not move at all.
     """
-    present = set(premium.columns)
-    carried = [c for c in (*BASE_COLUMNS, *PREMIUM_COLUMNS, *keep) if c in present]
+    carried = premium_columns(premium, keep)
+    cut_by = premium if earned_from is None else earned_from
     joined = premium.selectExpr(*carried).join(
-        developed_losses(premium, losses, ibnr, orphan_losses), "VehicleTermKey", "left"
+        developed_losses(cut_by, losses, ibnr, orphan_losses, earned_as_of), "VehicleTermKey", "left"
     )
     return with_caps(joined.withColumn("FinanceChannel", channel(F.col("FinanceChannel_F")))).selectExpr(
         *carried, *LOSS_COLUMNS, "FinanceChannel"

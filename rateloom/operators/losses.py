@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,9 +16,9 @@ INCURRED = "NetPaidClaims + NetCaseReserves"
 TOTAL = "TOTAL"
 
 
-def losses_as_of(losses: DataFrame, premium: DataFrame) -> DataFrame:
-    """Transactions up to the latest earned date of the premium table."""
-    last_earned = premium.agg(F.max("EarnedAsOfDate")).scalar()
+def losses_as_of(losses: DataFrame, premium: DataFrame, earned_as_of: date | None = None) -> DataFrame:
+    """Transactions up to the latest earned date of the premium table, looked up if not given."""
+    last_earned = F.lit(earned_as_of) if earned_as_of else premium.agg(F.max("EarnedAsOfDate")).scalar()
     return losses.where(F.col("TransactionDate") <= last_earned)
 
 

@@ -36,7 +36,8 @@ class PricingParams:
     The premium window (PB) is ``[prem_loss_start, end)``, the quote and sale window
     (QB) ``[sale_quote_start, end)``; renewed written premium in the QB window starts
     at ``renewal_start``. ``nulls`` says what a NULL premium does to a count:
-    ``strict`` makes the group's count 0, ``skip`` leaves the row out.
+    ``strict`` makes the group's count 0, ``skip`` leaves the row out. ``retained_as_of``
+    is the latest retention date of the base; if not given it is looked up.
     """
 
     prem_loss_start: date
@@ -45,10 +46,13 @@ class PricingParams:
     renewal_start: date
     rate_factors: tuple[str, ...] = ()
     nulls: str = "strict"
+    retained_as_of: date | None = None
 
     def __post_init__(self):
         for name in ("prem_loss_start", "end", "sale_quote_start", "renewal_start"):
             object.__setattr__(self, name, _as_date(getattr(self, name)))
+        if self.retained_as_of is not None:
+            object.__setattr__(self, "retained_as_of", _as_date(self.retained_as_of))
         object.__setattr__(self, "rate_factors", tuple(self.rate_factors))
         if len(self.rate_factors) > MAX_RATING_FACTORS:
             raise ValueError(

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateloom.operators.base import premium_loss_base
+from rateloom.operators.base import premium_columns, premium_loss_base
 from rateloom.operators.checks import require_unique
 from rateloom.operators.extracts import (
     HISTORY_START,
@@ -61,6 +62,7 @@ def pricing_inputs(
     with_quotes: bool = True,
     check_keys: bool = False,
     snapshot_path: str | None = None,
+    earned_as_of: date | None = None,
 ):
     """Premium base with factors, quote base, quote factors.
 
@@ -77,9 +79,13 @@ def pricing_inputs(
         require_unique(premium, "VehicleTermKey", "premium extract")
         if by_vehicle is not None:
             require_unique(by_vehicle, "VehicleTermKey", "premium factors")
-    base = premium_loss_base(premium, loss_extract(s.losses), ibnr)
+    # Factors first: both joins are on the vehicle-term, so the order makes no difference to
+    # the rows, but with losses joined last, a look-up of the retention date can leave them out.
+    rated = premium
     if by_vehicle is not None:
-        base = attach_factors(base, by_vehicle)
+        rated = attach_factors(premium.selectExpr(*premium_columns(premium)), by_vehicle)
+    base = premium_loss_base(rated, loss_extract(s.losses), ibnr, keep=tuple(plan.premium),
+                             earned_as_of=earned_as_of, earned_from=premium)
 
     quotes = factors = None
     if with_quotes:

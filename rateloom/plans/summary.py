@@ -118,7 +118,9 @@ def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
     rows = with_run_keys(base, params).where(reach)
     if any(s.rows == "six_months" for s in by_vehicle):
         # Of the whole base, also of rows that no branch looks at.
-        rows = rows.withColumn(RETAINED, base.agg(F.max("RetainedAsOfDate")).scalar())
+        known = params.retained_as_of
+        latest = F.lit(known) if known else base.agg(F.max("RetainedAsOfDate")).scalar()
+        rows = rows.withColumn(RETAINED, latest)
     rows = rows.selectExpr("*", *[f"{sql} AS {name}" for name, sql in shared_conditions(params).items()])
     rows = rows.where(any_of(conditions[s.rows] for s in stats))
 
