@@ -181,3 +181,9 @@ def test_no_base_column_is_read_for_nothing(spark, tmp_path):
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
     schema = scan.split("ReadSchema")[1]
     assert not [c for c in [*named("EP"), *named("EE"), *named("CLEP")] if f"{c}:" in schema]
+
+
+def test_retention_date_is_looked_up_or_given(spark):
+    row = premium_row(PolicyTermStartEffDate=date(2000, 3, 1), RetainedAsOfDate=date(2000, 8, 1))
+    assert figures(spark, [row], ["Month6Total", "Total1Year", "EP"])[0].Month6Total == 0
+    assert figures(spark, [row], ["Month6Total", "EP"], retained_as_of="2001-08-01")[0].Month6Total == 1
