@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from rateloom.params import years_back
 
 
-def in_window(day: Column, start: date, end: date) -> Column:
-    """Half-open window: ``start <= day < end``."""
-    return (day >= F.lit(start)) & (day < F.lit(end))
-
-
 def minus_months_or_null(day: Column, months: int) -> Column:
     """Same day of the month, ``months`` earlier; NULL where that day does not exist.
 

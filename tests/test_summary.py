@@ -6,7 +6,6 @@ from decimal import Decimal
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from rateloom.coverages import named
 from rateloom.operators.factors import attach_adjustments, attach_factors, attach_factors_by_job
