@@ -3,13 +3,15 @@
 Texts with the same set of word shingles form a class; classes are compared, by these steps:
 
 1. *Groups.* Classes that share a least shingle under one of some hash functions compare themselves with the first class
-   that has it. Verified links join them to groups, so a group's documents are similar and its token union is little larger
-   than one document's.
+   that has it; verified links join them. Classes with the same first class go into the same group, a block of bounded size;
+   many that are joined already get blocks of their own.
 2. *Matrix.* Tokens are ordered, those that few documents have first. Two linked sets share one of the first quarter of
-   their tokens, or both bounds on the overlap would fail; so the matrix holds, for each token, the groups that have it in
-   that part of a member. Groups that share a row and have members of fitting sizes are candidates.
+   their tokens, or their overlap would be too small; so the matrix holds, for each token, the groups that have it in that
+   part of a member. Groups that share a row and have members of fitting sizes are candidates, and so is each group with
+   itself; two groups of classes that are all joined already are not.
 3. *Bound and open.* For a candidate pair the overlap of every member with the other group's token union bounds its overlap
-   with any member of that group. Only members that reach the threshold are compared, exactly; one link joins two groups.
+   with any member of that group. Only members that reach the threshold are compared, exactly, by one product of the two
+   groups' token matrices; what comes out are links that join the members, not all pairs.
 
 Rows travel as packed arrays of token hashes. Exact copies are counted once; groups with many members are dealt to blocks.
 The order of tokens is a hint only: it is made of a bounded list of the most frequent tokens, and any order gives the same
@@ -19,6 +21,7 @@ links. Token sets are made of 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +31,15 @@ from pyspark.sql import functions as F
 from rateloom.llm.shared import map_batches, mix64, stored
 
 WORDS, PERCENT = 5, 75
-#: Hash functions for the groups; most frequent tokens that order the others; members of a group that meet in one task.
-KEYS, FREQUENT, BLOCK = 4, 1 << 21, 128
-#: Tokens that are counted before they leave a task, and bits of the filter of wanted texts.
-COUNTED_AT_ONCE, FILTER_BITS = 4_000_000, 1 << 25
+#: Hash functions for the groups; most frequent tokens that order the others; members of a group, and how many joined ones
+#: get groups of their own; columns of a token matrix that are multiplied at once.
+KEYS, FREQUENT, BLOCK, OWN_GROUPS, COLUMNS = 4, 1 << 20, 1024, 256, 8192
+#: Tokens that are counted before they leave a task, and bits of the filters of wanted texts and of tokens counted twice.
+COUNTED_AT_ONCE, FILTER_BITS, TWICE_BITS = 2_000_000, 1 << 25, 1 << 28
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 _SHIFT = np.uint64(21)  # a token's number in counts and matrix: its upper 43 bits, 11 of them for the part
 _HALF = np.uint64(1 << 63)  # tokens below are counted
+_PART_BITS = TWICE_BITS >> 10  # counted tokens have 1024 parts
 
 
 class _WordHashes(dict):
@@ -43,7 +48,7 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 1_000_000:
+        if len(self) > 400_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
@@ -52,18 +57,27 @@ class _WordHashes(dict):
 _WORD_HASHES = _WordHashes()
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """The hashes of a text's distinct shingles, ascending. A shorter text is one shingle; without words there is none."""
-    found = (text or "").encode().lower().split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORD_HASHES.__getitem__, found), np.uint64, len(found))
-    width = min(words, len(h))
+def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
+    """The hashes of each text's distinct shingles, ascending. A shorter text is one shingle; without words there is none."""
+    found = [(t or "").encode().lower().split() for t in texts]
+    counts = np.array([len(f) for f in found], np.int64)
+    h = np.fromiter(map(_WORD_HASHES.__getitem__, chain.from_iterable(found)), np.uint64, int(counts.sum()))
+    total = np.full(len(h), np.uint64(words))
     with np.errstate(over="ignore"):
-        total = np.full(len(h) - width + 1, np.uint64(width))
-        for k in range(width):
-            total += mix64(h[k:len(h) - width + 1 + k]) * _ODD[k % len(_ODD)] * np.uint64(2 * (k // len(_ODD)) + 1)
-    return np.unique(mix64(total))
+        for k in range(words):
+            total[:len(h) - k] += h[k:] * (_ODD[k % len(_ODD)] * np.uint64(2 * (k // len(_ODD)) + 1))
+        total = mix64(total)
+        out = []
+        for first, n in zip((np.cumsum(counts) - counts).tolist(), counts.tolist(), strict=True):
+            if n >= words:
+                s = np.sort(total[first:first + n - words + 1])
+                out.append(s if (s[1:] > s[:-1]).all() else np.unique(s))
+            else:
+                short = np.uint64(n)
+                for k in range(n):
+                    short += h[first + k] * (_ODD[k % len(_ODD)] * np.uint64(2 * (k // len(_ODD)) + 1))
+                out.append(mix64(np.array([short])) if n else np.zeros(0, np.uint64))
+    return out
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -84,7 +98,7 @@ def _sketches(df: DataFrame, id_column: str, text_column: str, words: int) -> Da
     rows = df.select(F.monotonically_increasing_id().alias("place"), F.col(id_column).cast("long").alias("doc_id"),
                      F.xxhash64(text).alias("text_hash"), text.alias("text"))
     names = ["kind", "place", "doc_id", "text_hash", "n", "set_a", "set_b", "keys", "part", "tokens", "counts"]
-    seeds = mix64(np.arange(KEYS, dtype=np.uint64) + np.uint64(77))
+    seeds = mix64(np.arange(KEYS, dtype=np.uint64) + np.uint64(77)) | np.uint64(1)
 
     def counted(tokens: list[np.ndarray]) -> pa.RecordBatch:
         numbers, counts = np.unique(np.concatenate(tokens) >> _SHIFT, return_counts=True)
@@ -98,11 +112,11 @@ def _sketches(df: DataFrame, id_column: str, text_column: str, words: int) -> Da
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, held = [], 0
         for batch in batches:
-            sets = [shingles(t, words) for t in batch.column(3).to_pylist()]
+            sets = shingle_sets(batch.column(3).to_pylist(), words)
             with np.errstate(over="ignore"):
                 a = np.array([mix64(s).sum(dtype=np.uint64) for s in sets], np.uint64)
                 b = np.array([np.bitwise_xor.reduce(mix64(s ^ _ODD[1])) for s in sets], np.uint64)
-            keys = [_signed(np.array([mix64(s ^ k).min() for k in seeds])).tolist() if len(s) else [] for s in sets]
+                keys = [_signed(np.array([(s * k).min() for k in seeds])).tolist() if len(s) else [] for s in sets]
             m = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(m, np.int32)), batch.column(0), batch.column(1), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
@@ -122,8 +136,9 @@ def _sketches(df: DataFrame, id_column: str, text_column: str, words: int) -> Da
     return stored(map_batches(rows, sketch, schema), "sketches")
 
 
-def _frequent(sketches: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the most frequent counted tokens, ascending, and the order of their count: FREQUENT tokens at most.
+def _frequent(sketches: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the most frequent counted tokens, ascending, and the order of their count: FREQUENT tokens at most. And a
+    bit array of fixed size with a mark for every token that is counted at least twice.
 
     All counts are added up; the least count that is listed is chosen so that the list keeps its size.
     """
@@ -136,11 +151,13 @@ def _frequent(sketches: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         distinct, inverse = np.unique(tokens, return_inverse=True)
         order = np.log2(np.bincount(inverse, n)).astype(np.uint8)
         often = order > 0
-        return pa.table({"part": pa.array([part], pa.int32()), "tokens": pa.array([distinct[often].tobytes()], pa.binary()),
+        marks = np.zeros(_PART_BITS, bool)
+        marks[distinct[often] % _PART_BITS] = True
+        return pa.table({"part": pa.array([part], pa.int32()), "marks": pa.array([np.packbits(marks).tobytes()], pa.binary()), "tokens": pa.array([distinct[often].tobytes()], pa.binary()),
                          "orders": pa.array([order[often].tobytes()], pa.binary()),
                          "sizes": pa.array([np.bincount(order[often], minlength=64).tolist()], pa.list_(pa.int64()))})
 
-    totals = stored(counts.groupBy("part").applyInArrow(add_up, "part int, tokens binary, orders binary, sizes array<long>"), "frequent")
+    totals = stored(counts.groupBy("part").applyInArrow(add_up, "part int, marks binary, tokens binary, orders binary, sizes array<long>"), "frequent")
     sizes = {r["o"]: r["n"] for r in totals.select(F.posexplode("sizes").alias("o", "n")).groupBy("o").agg(F.sum("n").alias("n")).collect()}
     least, listed = 64, 0
     while least > 1 and listed + (sizes.get(least - 1) or 0) <= FREQUENT:
@@ -160,12 +177,15 @@ def _frequent(sketches: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     got.sort(key=lambda r: r["part"])
     numbers = [np.frombuffer(r["tokens"], np.uint32).astype(np.int64) + (r["part"] << 32) for r in got]
     orders = [np.frombuffer(r["orders"], np.uint8) for r in got]
-    return np.concatenate([np.zeros(0, np.int64), *numbers]), np.concatenate([np.zeros(0, np.uint8), *orders])
+    twice = np.zeros((1024, _PART_BITS // 8), np.uint8)
+    for r in totals.select("part", "marks").toLocalIterator():
+        twice[r["part"]] = np.frombuffer(r["marks"], np.uint8)
+    return np.concatenate([np.zeros(0, np.int64), *numbers]), np.concatenate([np.zeros(0, np.uint8), *orders]), twice.reshape(-1)
 
 
-def first_tokens(tokens: np.ndarray, numbers: np.ndarray, orders: np.ndarray, percent: int) -> np.ndarray:
+def first_tokens(tokens: np.ndarray, numbers: np.ndarray, orders: np.ndarray, twice: np.ndarray, percent: int) -> np.ndarray:
     """Numbers of a set's first tokens: rare ones, then frequent ones, each by hash; uncounted ones last. So many that a
-    linked set must share one of its own first tokens with them."""
+    linked set must share one of its own first tokens with them; those that are counted once are left out again."""
     own = (tokens >> _SHIFT).astype(np.int64)
     order = np.full(len(own), 255, np.uint8)
     counted = int(np.searchsorted(tokens, _HALF))
@@ -174,7 +194,11 @@ def first_tokens(tokens: np.ndarray, numbers: np.ndarray, orders: np.ndarray, pe
         at = np.minimum(np.searchsorted(numbers, own[:counted]), len(numbers) - 1)
         order[:counted] = np.where(numbers[at] == own[:counted], orders[at], 0)
     length = len(own) - -(-percent * len(own) // 100) + 1
-    return own[np.argsort(order, kind="stable")[:length]]
+    first = np.argsort(order, kind="stable")[:length]
+    place = (own[first] >> 32) * _PART_BITS + (own[first] & 0xFFFFFFFF) % _PART_BITS
+    once = first < counted
+    once[once] = (twice[place[once] >> 3] >> (7 - (place[once] & 7)).astype(np.uint8)) & 1 == 0
+    return own[first[~once]]
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -213,27 +237,62 @@ def _token_sets(texts: DataFrame, wanted: DataFrame, words: int, name: str) -> D
             hit = np.flatnonzero((bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1))
             some = batch.take(pa.array(hit))
             yield pa.RecordBatch.from_arrays(
-                [some.column(0), some.column(1), pa.array([shingles(t, words).tobytes() for t in some.column(2).to_pylist()], pa.binary())],
+                [some.column(0), some.column(1), pa.array([x.tobytes() for x in shingle_sets(some.column(2).to_pylist(), words)], pa.binary())],
                 names=["doc_id", "text_hash", "tokens"])
 
     sets = map_batches(texts.select("doc_id", "text_hash", "text", "place"), make, "doc_id long, text_hash long, tokens binary")
-    ids = wanted.select("node", F.col("doc_id").alias("of"), F.col("text_hash").alias("of_text"))
-    sets = sets.join(ids, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_text"))).select("node", "tokens")
-    return stored(sets.dropDuplicates(["node"]), name)
-
-
-def _members_linked(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> bool:
-    """Whether any member of one group is linked with any of the other."""
-    for query, group in ((a, b), (b, a)):
-        union = np.unique(np.concatenate(group))
-        query[:] = [x for x in query if 100 * int(np.isin(x, union, assume_unique=True, kind="sort").sum()) >= percent * len(x)]
-        if not query:
-            return False
-    return any(linked(x, y, percent) for x in a for y in b)
-
-
-def _star_links(classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) of classes with the first class that shares one of their keys, stored."""
+    sets = sets.withColumn("key", F.xxhash64("doc_id", "text_hash"))
+    ids = wanted.select("node", F.col("doc_id").alias("of"), F.col("text_hash").alias("of_text"), F.xxhash64("doc_id", "text_hash").alias("key"))
+    sets = sets.join(ids, "key").where(F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_text")))
+    return stored(sets.groupBy("key", "node").agg(F.first("tokens").alias("tokens")).select("node", "tokens"), name)
+
+
+def open_groups(one: list[np.ndarray], one_names: np.ndarray, two: list[np.ndarray], two_names: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Names to join so that linked members of the two groups are joined; members of one name are joined already."""
+    kept = []
+    for own, other in ((one, two), (two, one)):
+        union = np.unique(np.concatenate(other))
+        kept.append(np.array([k for k, x in enumerate(own)
+                              if 100 * int(np.isin(x, union, assume_unique=True, kind="sort").sum()) >= percent * len(x)], np.int64))
+    if not (len(kept[0]) and len(kept[1])):
+        return []
+    one, two = [one[k] for k in kept[0]], [two[k] for k in kept[1]]
+    one_names, two_names = one_names[kept[0]], two_names[kept[1]]
+    shared = np.intersect1d(np.concatenate(one), np.concatenate(two))
+    places = []
+    for sets in (one, two):
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(shared, flat), max(0, len(shared) - 1))
+        hit = shared[at] == flat if len(shared) else np.zeros(len(flat), bool)
+        order = np.argsort(at[hit], kind="stable")
+        places.append((owner[hit][order], at[hit][order]))
+    both = np.zeros((len(one), len(two)), np.float32)
+    for a in range(0, len(shared), COLUMNS):
+        sides = []
+        for (owner, at), n in zip(places, both.shape, strict=True):
+            i, j = np.searchsorted(at, [a, a + COLUMNS])
+            side = np.zeros((n, min(COLUMNS, len(shared) - a)), np.float32)
+            side[owner[i:j], at[i:j] - a] = 1
+            sides.append(side)
+        both += sides[0] @ sides[1].T
+    total = np.array([len(x) for x in one])[:, None] + np.array([len(x) for x in two])[None, :]
+    rows, columns = np.nonzero((both.astype(np.int64) * (100 + percent) >= percent * total) & (one_names[:, None] != two_names[None, :]))
+    found, first = [], {}
+
+    def root(x: int) -> int:
+        while first.setdefault(x, x) != x:
+            first[x] = x = first[first[x]]
+        return x
+
+    for x, y in zip(one_names[rows].tolist(), two_names[columns].tolist(), strict=True):
+        if (i := root(x)) != (j := root(y)):
+            first[max(i, j)] = min(i, j)
+            found.append((x, y))
+    return found
+
+
+def _star_links(classes: DataFrame, texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (leader, node) of the first class that has a key and another one, and those that are links, as (a, b); stored."""
     keyed = classes.where("n > 0").select("node", "n", F.posexplode("keys").alias("nth", "key"))
     first = keyed.groupBy("nth", "key").agg(F.min(F.struct("node", "n")).alias("first"), F.count(F.lit(1)).alias("many")).where("many > 1")
     pairs = keyed.join(first.select("nth", "key", "first"), ["nth", "key"]).where(
@@ -258,7 +317,23 @@ def _star_links(classes: DataFrame, texts: DataFrame, words: int, percent: int)
                     b.append(node)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return stored(left.groupBy("leader", "block").cogroup(right.groupBy("own", "own_block")).applyInArrow(check, "a long, b long"), "star-links")
+    links = left.groupBy("leader", "block").cogroup(right.groupBy("own", "own_block")).applyInArrow(check, "a long, b long")
+    return pairs, stored(links, "star-links")
+
+
+def _groups(classes: DataFrame, pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """node, doc_id, text_hash, n, component (by the links so far) and group, stored."""
+    first = pairs.groupBy("node").agg(F.min("leader").alias("leader"))
+    rows = classes.select("node", "doc_id", "text_hash", "n").join(first, "node", "left").join(joined, "node", "left").select(
+        "node", "doc_id", "text_hash", "n", F.coalesce("leader", "node").alias("leader"), F.coalesce("component", "node").alias("component"))
+    rows = stored(rows, "grouped")
+    parts = lambda n: F.ceil(n / BLOCK).cast("int")
+    large = rows.groupBy("component").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") >= OWN_GROUPS).select("component", parts(F.col("many")).alias("own"))
+    small = rows.join(large, "component", "left_anti").groupBy("leader").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("leader", parts(F.col("many")).alias("shared"))
+    rows = rows.join(large, "component", "left").join(small, "leader", "left")
+    group = F.when(F.col("own").isNotNull(), F.xxhash64(F.lit(1), "component", F.pmod(F.xxhash64("node"), F.col("own")))).otherwise(
+        F.xxhash64(F.lit(2), "leader", F.pmod(F.xxhash64("component"), F.coalesce("shared", F.lit(1)))))
+    return stored(rows.select("node", "doc_id", "text_hash", "n", "component", group.alias("group")), "groups")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -290,13 +365,13 @@ def components(links: DataFrame) -> DataFrame:
     return found.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def _candidates(texts: DataFrame, classes: DataFrame, numbers: np.ndarray, orders: np.ndarray, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of groups that share a row of the matrix, stored. Needs group in classes."""
+def _candidates(texts: DataFrame, classes: DataFrame, counts: tuple[np.ndarray, ...], words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of groups that are to be opened, stored. ``classes`` are those of ``_groups``."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t, words) for t in batch.column(2).to_pylist()]
-            firsts = [first_tokens(s, numbers, orders, percent).tobytes() if len(s) else None for s in sets]
+            sets = shingle_sets(batch.column(2).to_pylist(), words)
+            firsts = [first_tokens(s, *counts, percent).tobytes() or None for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(firsts, pa.binary())], names=["doc_id", "text_hash", "tokens"])
 
     rows = map_batches(texts.select("doc_id", "text_hash", "text"), prefixes, "doc_id long, text_hash long, tokens binary").where("tokens IS NOT NULL")
@@ -333,55 +408,56 @@ def _candidates(texts: DataFrame, classes: DataFrame, numbers: np.ndarray, order
         t, g, n = (np.concatenate([np.frombuffer(x, kind) for x in some.column(c).to_pylist()])
                    for c, kind in (("tokens", np.uint32), ("groups", np.int64), ("sizes", np.int32)))
         order = np.lexsort((n, t))
-        t, g, n = t[order], g[order], n[order]
-        found: list[np.ndarray] = []
-        # the partners of an entry in its token's row: those behind it, up to the greatest fitting size
+        t, g, n = t[order], g[order], n[order].astype(np.int64)
         heads = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
         many = np.diff(np.append(heads, len(t)))
-        for a, m in zip(heads[many > 1], many[many > 1], strict=True):
-            row_g, row_n = g[a:a + m], n[a:a + m].astype(np.int64)
-            if (row_g == row_g[0]).all():
+        two = heads[many == 2]
+        two = two[(g[two] != g[two + 1]) & (100 * n[two] >= percent * n[two + 1])]
+        found = [np.stack([np.minimum(g[two], g[two + 1]), np.maximum(g[two], g[two + 1])], 1)]
+        # longer rows: an entry's partners are those behind it, up to the greatest fitting size
+        for a, m in zip(heads[many > 2], many[many > 2], strict=True):
+            names, of = np.unique(g[a:a + m], return_inverse=True)
+            if len(names) == 1:
                 continue
-            upto = np.searchsorted(row_n, 100 * row_n // percent, side="right")
-            own: list[np.ndarray] = []
-            for i in range(m - 1):
-                partners = row_g[i + 1:upto[i]]
-                partners = np.unique(partners[partners != row_g[i]])
+            upto = np.searchsorted(n[a:a + m], 100 * n[a:a + m] // percent, side="right")
+            for i in range(len(names)):
+                own = np.flatnonzero(of == i)
+                meets = np.zeros(m + 1, np.int64)
+                np.add.at(meets, own + 1, 1)
+                np.add.at(meets, upto[own], -1)
+                partners = names[np.unique(of[np.cumsum(meets)[:m] > 0])]
+                partners = partners[partners != names[i]]
                 if len(partners):
-                    own.append(np.stack([np.minimum(partners, row_g[i]), np.maximum(partners, row_g[i])], 1))
-            if own:
-                found.append(np.unique(np.concatenate(own), axis=0))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+                    found.append(np.stack([np.minimum(partners, names[i]), np.maximum(partners, names[i])], 1))
+        pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    return stored(matrix.groupBy("part").applyInArrow(meet, "a long, b long").distinct(), "candidates")
+    pairs = matrix.groupBy("part").applyInArrow(meet, "a long, b long").distinct()
+    inside = classes.groupBy("group").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    whole = inside.where("least = most").select("group", F.col("least").alias("of"))
+    one, two = (whole.select(F.col("group").alias(c), F.col("of").alias(f"of_{c}")) for c in ("a", "b"))
+    pairs = pairs.join(one, "a", "left").join(two, "b", "left").where("of_a IS NULL OR of_b IS NULL OR of_a != of_b").select("a", "b")
+    own = inside.where("least != most").select(F.col("group").alias("a"), F.col("group").alias("b"))
+    return stored(pairs.union(own), "candidates")
 
 
 def _group_links(classes: DataFrame, candidates: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Candidate pairs of groups that have a link, stored. Needs group in classes."""
+    """Links (a, b) of components that have linked members in candidate groups, stored."""
     involved = candidates.select(F.col("a").alias("group")).union(candidates.select(F.col("b").alias("group"))).distinct()
-    members = classes.join(involved, "group", "left_semi").select("node", "group", "doc_id", "text_hash")
-    sets = _token_sets(texts, members, words, "group-sets").join(members.select("node", "group"), "node")
-    dealt = members.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    sets = sets.join(dealt, "group").select("group", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "tokens")
-    sides = []
-    for own, other in (("a", "b"), ("b", "a")):
-        blocks = dealt.select(F.col("group").alias(other), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(f"block_{other}"))
-        sides.append(candidates.join(blocks, other).join(
-            sets.select(F.col("group").alias(own), F.col("block").alias(f"block_{own}"), "tokens"), own))
-
-    def check(one: pa.Table, two: pa.Table) -> pa.Table:
-        x, y = ([np.frombuffer(t, np.uint64) for t in s.column(c).to_pylist()] for s, c in ((one, "tokens"), (two, "to_tokens")))
-        if not (x and y and _members_linked(x, y, percent)):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        return pa.table({"a": one.column("a").slice(0, 1), "b": one.column("b").slice(0, 1)})
-
-    keys = ["a", "b", "block_a", "block_b"]
-    other = [F.col(k).alias(f"to_{k}") for k in keys]
-    one = sides[0].select(*keys, "tokens").groupBy(*keys)
-    two = sides[1].select(*other, F.col("tokens").alias("to_tokens")).groupBy(*(f"to_{k}" for k in keys))
-    found = one.cogroup(two)
-    return stored(found.applyInArrow(check, "a long, b long"), "group-links")
+    members = classes.join(involved, "group", "left_semi").select("node", "group", "component", "doc_id", "text_hash")
+    sets = _token_sets(texts, members, words, "group-sets").join(members.select("node", "group", "component"), "node")
+    one = candidates.join(sets.select(F.col("group").alias("a"), "component", "tokens"), "a").select("a", "b", "component", "tokens")
+    two = candidates.join(sets.select(F.col("group").alias("b"), "component", "tokens"), "b").select(
+        F.col("a").alias("to_a"), F.col("b").alias("to_b"), F.col("component").alias("to_component"), F.col("tokens").alias("to_tokens"))
+
+    def check(first: pa.Table, second: pa.Table) -> pa.Table:
+        found = []
+        if first.num_rows and second.num_rows:
+            x, y = ([np.frombuffer(t, np.uint64) for t in s.column(c).to_pylist()] for s, c in ((first, "tokens"), (second, "to_tokens")))
+            found = open_groups(x, np.asarray(first.column("component")), y, np.asarray(second.column("to_component")), percent)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return stored(one.groupBy("a", "b").cogroup(two.groupBy("to_a", "to_b")).applyInArrow(check, "a long, b long"), "group-links")
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -401,16 +477,14 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
         F.min(F.struct("place", "doc_id", "text_hash", "n", "keys")).alias("one"),
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "place")).alias("least"),
     ).select("set_a", "set_b", F.col("one.place").alias("node"), "one.doc_id", "one.text_hash", "one.n", "one.keys", "least"), "classes")
-    numbers, orders = _frequent(sketches)
-    stars = _star_links(classes, texts, words, percent)
-    groups = stored(components(stars), "groups").withColumnRenamed("component", "found")
-    grouped = stored(classes.select("node", "doc_id", "text_hash", "n").join(groups, "node", "left").withColumn(
-        "group", F.coalesce("found", "node")).drop("found"), "grouped")
-    candidates = _candidates(texts, grouped, numbers, orders, words, percent)
+    counts = _frequent(sketches)
+    pairs, stars = _star_links(classes, texts, words, percent)
+    grouped = _groups(classes, pairs, stored(components(stars), "joined"))
+    candidates = _candidates(texts, grouped, counts, words, percent)
     links = _group_links(grouped, candidates, texts, words, percent)
-    joined = stored(components(links), "joined").select(F.col("node").alias("group"), "component")
-    member = classes.select("node", "set_a", "set_b", "least").join(
-        grouped.select("node", "group"), "node").join(joined, "group", "left").withColumn("component", F.coalesce("component", "group"))
+    joined = stored(components(links), "joined").select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    member = classes.select("node", "set_a", "set_b", "least").join(grouped.select("node", "component"), "node").join(
+        joined, "component", "left").select("set_a", "set_b", "least", F.coalesce("whole", "component").alias("component"))
     least = member.groupBy("component").agg(F.min("least").alias("stays"))
     named = member.join(least, "component").select("set_a", "set_b", F.col("stays"))
     out = docs.join(named, (docs["set_a"] == named["set_a"]) & (docs["set_b"] == named["set_b"]) & (docs["n"] > 0), "left")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ from rateloom.llm.labelled import labelled_rows, sampled
 from rateloom.llm.shared import fold, lists, map_batches, ship_package, stored
 
 #: Documents of each label and runs of tokens of each kind that are learnt from, at most.
-TRAIN_DOCS, TRAIN_RUNS = 5_000, 5_000
+TRAIN_DOCS, TRAIN_RUNS = 4_000, 4_000
 #: Tokens of a run: long texts are cut into runs, and all of them are scored.
 RUN = 64
 #: Features are hashed into so many weights.
@@ -40,9 +41,9 @@ _KINDS = 6
 
 def word_features(word: str) -> list[int]:
     """The buckets of a word's features."""
-    w = word.lower()
-    parts = ("w" + w, "3" + w[:3], "4" + w[:4], "5" + w[:5], "6" + w[:6], "e" + w[-3:])
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in parts]
+    w, crc = word.lower(), zlib.crc32
+    return [crc(w.encode(), 1) % BUCKETS, crc(w[:3].encode(), 2) % BUCKETS, crc(w[:4].encode(), 3) % BUCKETS,
+            crc(w[:5].encode(), 4) % BUCKETS, crc(w[:6].encode(), 5) % BUCKETS, crc(w[-3:].encode(), 6) % BUCKETS]
 
 
 @dataclass
@@ -54,22 +55,20 @@ class ToxicModel:
     moves: np.ndarray
     document: np.ndarray
 
-    def emission(self, word: str) -> float:
-        return float(self.weights[word_features(word)].sum()) + self.bias
 
 
 def odds(emissions: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Forward and backward ratios (toxic to clean) of runs of tokens, a run a row, and the factors of the emissions."""
+    """Forward and backward ratios (toxic to clean) of runs of tokens, a run a column, and the factors of the emissions."""
     e, m = np.exp(np.clip(emissions, -30, 30)), np.exp(moves)
     forward, backward = np.empty_like(e), np.empty_like(e)
-    forward[:, 0] = e[:, 0]
-    for t in range(1, e.shape[1]):
-        f = forward[:, t - 1]
-        forward[:, t] = e[:, t] * (m[0, 1] + f * m[1, 1]) / (m[0, 0] + f * m[1, 0])
-    backward[:, -1] = 1.0
-    for t in range(e.shape[1] - 2, -1, -1):
-        b = e[:, t + 1] * backward[:, t + 1]
-        backward[:, t] = (m[1, 0] + m[1, 1] * b) / (m[0, 0] + m[0, 1] * b)
+    forward[0] = e[0]
+    for t in range(1, len(e)):
+        f = forward[t - 1]
+        forward[t] = e[t] * (m[0, 1] + f * m[1, 1]) / (m[0, 0] + f * m[1, 0])
+    backward[-1] = 1.0
+    for t in range(len(e) - 2, -1, -1):
+        b = e[t + 1] * backward[t + 1]
+        backward[t] = (m[1, 0] + m[1, 1] * b) / (m[0, 0] + m[0, 1] * b)
     return forward, backward, e
 
 
@@ -83,7 +82,7 @@ def train_field(features: np.ndarray, labels: np.ndarray, real: np.ndarray) -> t
         for a in range(0, len(places), RUNS_AT_ONCE):
             pick = places[a:a + RUNS_AT_ONCE]
             x, y, r = features[pick], labels[pick], real[pick]
-            f, b, e = odds(np.where(r, weights[x].sum(2) + bias, -30.0), moves)
+            f, b, e = (a.T for a in odds(np.where(r, weights[x].sum(2) + bias, -30.0).T.copy(), moves))
             error = np.where(r, y - f * b / (1 + f * b), 0.0)
             gradient = np.bincount(x.ravel(), np.repeat(error.ravel(), _KINDS), BUCKETS) / len(pick) - DECAY * weights
             seen += gradient**2
@@ -121,6 +120,7 @@ class Scorer:
 
     def __init__(self, model: ToxicModel):
         self.model, self.known = model, {}
+        self.weight = array("d", model.weights.astype(np.float64))
 
     def marginals(self, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
         """Words, the number of them, and every word's probability."""
@@ -129,21 +129,18 @@ class Scorer:
         known, words, found = self.known, [], []
         for text in texts:
             w = _WORD.findall(text or "")
-            try:
-                found += map(known.__getitem__, w)
-            except KeyError:
-                found = found[:sum(map(len, words))]
-                for x in w:
-                    if x not in known:
-                        known[x] = self.model.emission(x)
-                found += map(known.__getitem__, w)
+            for x in w:
+                if x not in known:
+                    known[x] = sum(map(self.weight.__getitem__, word_features(x)), self.model.bias)
+            found += map(known.__getitem__, w)
             words.append(w)
         counts = np.array([len(w) for w in words], np.int64)
         runs, real, _ = in_runs(np.array(found, np.float64), counts, -30.0)
         if not len(runs):
             return words, counts, np.zeros(0)
-        f, b, _ = odds(runs, self.model.moves)
-        return words, counts, (f * b / (1 + f * b))[real]
+        f, b, _ = odds(runs.T.copy(), self.model.moves)
+        both = f * b
+        return words, counts, (both / (1 + both)).T[real]
 
     def inputs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: constant, log odds of the surest word, log of 1 + expected toxic words. Then counts and marginals."""
