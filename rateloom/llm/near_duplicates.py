@@ -7,8 +7,8 @@ Texts with the same set of word shingles form a class; classes are compared, by
    many that are joined already get blocks of their own.
 2. *Matrix.* Tokens are ordered, those that few documents have first. Two linked sets share one of the first quarter of
    their tokens, or their overlap would be too small; so the matrix holds, for each token, the groups that have it in that
-   part of a member. Groups that share a row and have members of fitting sizes are candidates, and so is each group with
-   itself; two groups of classes that are all joined already are not.
+   part of a member. Groups that share a row and have members of fitting sizes there are candidates, and so is a group with
+   two such members; where all of them are joined already, they are not.
 3. *Bound and open.* For a candidate pair the overlap of every member with the other group's token union bounds its overlap
    with any member of that group. Only members that reach the threshold are compared, exactly, by one product of the two
    groups' token matrices; what comes out are links that join the members, not all pairs.
@@ -36,6 +36,8 @@ WORDS, PERCENT = 5, 75
 KEYS, FREQUENT, BLOCK, OWN_GROUPS, COLUMNS = 4, 1 << 20, 1024, 256, 8192
 #: Tokens that are counted before they leave a task, and bits of the filters of wanted texts and of tokens counted twice.
 COUNTED_AT_ONCE, FILTER_BITS, TWICE_BITS = 2_000_000, 1 << 25, 1 << 28
+#: Pairs of matrix cells that are looked at in one go.
+PAIRS_AT_ONCE = 1_000_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 _SHIFT = np.uint64(21)  # a token's number in counts and matrix: its upper 43 bits, 11 of them for the part
 _HALF = np.uint64(1 << 63)  # tokens below are counted
@@ -184,21 +186,22 @@ def _frequent(sketches: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def first_tokens(tokens: np.ndarray, numbers: np.ndarray, orders: np.ndarray, twice: np.ndarray, percent: int) -> np.ndarray:
-    """Numbers of a set's first tokens: rare ones, then frequent ones, each by hash; uncounted ones last. So many that a
-    linked set must share one of its own first tokens with them; those that are counted once are left out again."""
+    """Numbers of a set's first tokens: those counted once, then unlisted ones, then frequent ones by the order of their
+    count, each by hash; uncounted ones last. So many that a linked set must share one of its own first tokens with them.
+    Those counted once, which nobody shares, are left out again."""
     own = (tokens >> _SHIFT).astype(np.int64)
     order = np.full(len(own), 255, np.uint8)
-    counted = int(np.searchsorted(tokens, _HALF))
-    order[:counted] = 0
-    if len(numbers) and counted:
-        at = np.minimum(np.searchsorted(numbers, own[:counted]), len(numbers) - 1)
-        order[:counted] = np.where(numbers[at] == own[:counted], orders[at], 0)
+    known = own[:np.searchsorted(tokens, _HALF)]
+    place = (known >> 32) * _PART_BITS + (known & 0xFFFFFFFF) % _PART_BITS
+    again = (twice[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1
+    order[:len(known)] = again
+    if len(numbers) and len(known):
+        at = np.minimum(np.searchsorted(numbers, known), len(numbers) - 1)
+        listed = numbers[at] == known
+        order[:len(known)][listed] = orders[at[listed]] + 1
     length = len(own) - -(-percent * len(own) // 100) + 1
     first = np.argsort(order, kind="stable")[:length]
-    place = (own[first] >> 32) * _PART_BITS + (own[first] & 0xFFFFFFFF) % _PART_BITS
-    once = first < counted
-    once[once] = (twice[place[once] >> 3] >> (7 - (place[once] & 7)).astype(np.uint8)) & 1 == 0
-    return own[first[~once]]
+    return own[first[order[first] > 0]]
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -241,10 +244,10 @@ def _token_sets(texts: DataFrame, wanted: DataFrame, words: int, name: str) -> D
                 names=["doc_id", "text_hash", "tokens"])
 
     sets = map_batches(texts.select("doc_id", "text_hash", "text", "place"), make, "doc_id long, text_hash long, tokens binary")
-    sets = sets.withColumn("key", F.xxhash64("doc_id", "text_hash"))
-    ids = wanted.select("node", F.col("doc_id").alias("of"), F.col("text_hash").alias("of_text"), F.xxhash64("doc_id", "text_hash").alias("key"))
-    sets = sets.join(ids, "key").where(F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_text")))
-    return stored(sets.groupBy("key", "node").agg(F.first("tokens").alias("tokens")).select("node", "tokens"), name)
+    keys = ["unnamed", "number", "text_hash"]  # one shuffle serves both steps; no key is missing
+    named = [F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("number"), F.col("text_hash")]
+    sets = sets.select(*named, "tokens").groupBy(*keys).agg(F.first("tokens").alias("tokens"))
+    return stored(sets.join(wanted.select(*named, "node"), keys).select("node", "tokens"), name)
 
 
 def open_groups(one: list[np.ndarray], one_names: np.ndarray, two: list[np.ndarray], two_names: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -375,26 +378,27 @@ def _candidates(texts: DataFrame, classes: DataFrame, counts: tuple[np.ndarray,
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(firsts, pa.binary())], names=["doc_id", "text_hash", "tokens"])
 
     rows = map_batches(texts.select("doc_id", "text_hash", "text"), prefixes, "doc_id long, text_hash long, tokens binary").where("tokens IS NOT NULL")
-    ids = classes.select("group", "n", F.col("doc_id").alias("of"), F.col("text_hash").alias("of_text"))
-    rows = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_text"))).select("group", "n", "tokens")
+    ids = classes.select("group", "component", "n", F.col("doc_id").alias("of"), F.col("text_hash").alias("of_text"))
+    rows = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_text")))
+    rows = rows.select("group", "component", "n", "tokens")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, held = [], 0
 
         def out() -> pa.RecordBatch:
-            t = np.concatenate([x for x, _, _ in waiting])
-            g = np.repeat(np.array([x for _, x, _ in waiting], np.int64), [len(x) for x, _, _ in waiting])
-            n = np.repeat(np.array([x for _, _, x in waiting], np.int32), [len(x) for x, _, _ in waiting])
-            order = np.lexsort((n, g, t))
-            t, g, n = t[order], g[order], n[order]
-            new = np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1]) | (n[1:] != n[:-1])])
-            t, g, n = t[new], g[new], n[new]
-            parts, columns = _packed((t >> 32).astype(np.int32), t.astype(np.uint32), g, n)
-            return pa.RecordBatch.from_arrays([pa.array(parts), *(pa.array(c, pa.binary()) for c in columns)], names=["part", "tokens", "groups", "sizes"])
+            sizes = [len(w[0]) for w in waiting]
+            t = np.concatenate([w[0] for w in waiting])
+            g, c, n = (np.repeat(np.array([w[k] for w in waiting], np.int64), sizes) for k in (1, 2, 3))
+            order = np.lexsort((n, c, g, t))
+            t, g, c, n = t[order], g[order], c[order], n[order]
+            new = np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1]) | (c[1:] != c[:-1]) | (n[1:] != n[:-1])])
+            parts, columns = _packed((t[new] >> 32).astype(np.int32), t[new].astype(np.uint32), g[new], c[new], n[new].astype(np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(parts), *(pa.array(x, pa.binary()) for x in columns)],
+                                              names=["part", "tokens", "groups", "components", "sizes"])
 
         for batch in batches:
-            for group, n, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                waiting.append((np.frombuffer(tokens, np.int64), group, n))
+            for group, component, n, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                waiting.append((np.frombuffer(tokens, np.int64), group, component, n))
                 held += len(waiting[-1][0])
                 if held > COUNTED_AT_ONCE:
                     yield out()
@@ -402,43 +406,30 @@ def _candidates(texts: DataFrame, classes: DataFrame, counts: tuple[np.ndarray,
         if held:
             yield out()
 
-    matrix = map_batches(rows, deal, "part int, tokens binary, groups binary, sizes binary", 2000)
+    matrix = map_batches(rows, deal, "part int, tokens binary, groups binary, components binary, sizes binary", 2000)
 
     def meet(some: pa.Table) -> pa.Table:
-        t, g, n = (np.concatenate([np.frombuffer(x, kind) for x in some.column(c).to_pylist()])
-                   for c, kind in (("tokens", np.uint32), ("groups", np.int64), ("sizes", np.int32)))
-        order = np.lexsort((n, t))
-        t, g, n = t[order], g[order], n[order].astype(np.int64)
-        heads = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-        many = np.diff(np.append(heads, len(t)))
-        two = heads[many == 2]
-        two = two[(g[two] != g[two + 1]) & (100 * n[two] >= percent * n[two + 1])]
-        found = [np.stack([np.minimum(g[two], g[two + 1]), np.maximum(g[two], g[two + 1])], 1)]
-        # longer rows: an entry's partners are those behind it, up to the greatest fitting size
-        for a, m in zip(heads[many > 2], many[many > 2], strict=True):
-            names, of = np.unique(g[a:a + m], return_inverse=True)
-            if len(names) == 1:
-                continue
-            upto = np.searchsorted(n[a:a + m], 100 * n[a:a + m] // percent, side="right")
-            for i in range(len(names)):
-                own = np.flatnonzero(of == i)
-                meets = np.zeros(m + 1, np.int64)
-                np.add.at(meets, own + 1, 1)
-                np.add.at(meets, upto[own], -1)
-                partners = names[np.unique(of[np.cumsum(meets)[:m] > 0])]
-                partners = partners[partners != names[i]]
-                if len(partners):
-                    found.append(np.stack([np.minimum(partners, names[i]), np.maximum(partners, names[i])], 1))
+        t, g, c, n = (np.concatenate([np.frombuffer(x, kind) for x in some.column(name).to_pylist()]) for name, kind in (
+            ("tokens", np.uint32), ("groups", np.int64), ("components", np.int64), ("sizes", np.int32)))
+        order = np.lexsort((g, t))
+        t, g, c, n = t[order], g[order], c[order], n[order].astype(np.int64)
+        heads = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])]))
+        least, most = (f.reduceat(n, heads) for f in (np.minimum, np.maximum))
+        low, high = (f.reduceat(c, heads) for f in (np.minimum, np.maximum))
+        t, g = t[heads], g[heads]  # a matrix cell each
+        found = [np.stack([g[low != high]] * 2, 1)]
+        last = np.searchsorted(t, t, side="right")
+        partners = last - np.arange(len(t)) - 1
+        for part in np.array_split(np.arange(len(t)), int(partners.sum()) // PAIRS_AT_ONCE + 1):
+            i = np.repeat(part, partners[part])
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(partners[part]) - partners[part], partners[part])
+            fits = (100 * most[i] >= percent * least[j]) & (100 * most[j] >= percent * least[i])
+            fits &= (np.minimum(low[i], low[j]) != np.maximum(high[i], high[j]))
+            found.append(np.unique(np.stack([g[i[fits]], g[j[fits]]], 1), axis=0))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    pairs = matrix.groupBy("part").applyInArrow(meet, "a long, b long").distinct()
-    inside = classes.groupBy("group").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    whole = inside.where("least = most").select("group", F.col("least").alias("of"))
-    one, two = (whole.select(F.col("group").alias(c), F.col("of").alias(f"of_{c}")) for c in ("a", "b"))
-    pairs = pairs.join(one, "a", "left").join(two, "b", "left").where("of_a IS NULL OR of_b IS NULL OR of_a != of_b").select("a", "b")
-    own = inside.where("least != most").select(F.col("group").alias("a"), F.col("group").alias("b"))
-    return stored(pairs.union(own), "candidates")
+    return stored(matrix.groupBy("part").applyInArrow(meet, "a long, b long").distinct(), "candidates")
 
 
 def _group_links(classes: DataFrame, candidates: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
