@@ -44,11 +44,10 @@ def total_claims(losses: DataFrame) -> DataFrame:
 
 
 def _amount_type(*types: T.DataType) -> str:
-    """Type of one vehicle-term's loss. Sums widen a decimal; 18 digits are kept, which
-    Spark stores and adds as a plain integer."""
+    """A type that holds sums of amounts of all these types with every digit behind the point."""
     if not all(isinstance(t, (T.DecimalType, T.IntegralType)) for t in types):
         return "DOUBLE"
-    return f"DECIMAL(18, {max(getattr(t, 'scale', 0) for t in types)})"
+    return f"DECIMAL(37, {max(getattr(t, 'scale', 0) for t in types)})"
 
 
 def loss_by_vehicle(losses: DataFrame) -> DataFrame:
@@ -100,13 +99,14 @@ def develop(ibnr: DataFrame, losses_by_vehicle: DataFrame, orphan_losses: str =
         losses_by_vehicle, "VehicleTermKey", how
     )
 
-    types = [df.schema[c].dataType for df, c in ((ibnr, "IBNR_BI"), (losses_by_vehicle, "LOSS_RI_BI"))]
+    types = [ibnr.schema[c].dataType for c in named("IBNR", IBNR_COVERAGES)]
+    kind = _amount_type(*types, *(losses_by_vehicle.schema[c].dataType for c in named("LOSS_RI", LOSS_COVERAGES)))
 
     def amount(cov):
-        loss = f"coalesce(LOSS_RI_{cov}, 0)"
+        loss = f"CAST(coalesce(LOSS_RI_{cov}, 0) AS {kind})"
         if cov not in IBNR_COVERAGES:
-            return f"CAST({loss} AS {_amount_type(*types)})"
-        return f"CAST({loss} + coalesce(IBNR_{cov}, 0) AS {_amount_type(*types)})"
+            return loss
+        return f"{loss} + CAST(coalesce(IBNR_{cov}, 0) AS {kind})"
 
     return joined.selectExpr(
         "VehicleTermKey",

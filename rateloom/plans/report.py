@@ -52,7 +52,7 @@ class FactorPlan:
     quote: list[str] = field(default_factory=list)
     quote_constants: dict[str, object] = field(default_factory=dict)
     quote_key: str | list[str] = "RowKey"
-    quoted_from: object = HISTORY_START
+    quoted_from: object = None  # the report's history_start
 
 
 def pricing_inputs(
@@ -60,7 +60,7 @@ def pricing_inputs(
     plan: FactorPlan,
     history_start=HISTORY_START,
     with_quotes: bool = True,
-    check_keys: bool = False,
+    check_keys: bool = True,
     snapshot_path: str | None = None,
     earned_as_of: date | None = None,
 ):
@@ -68,7 +68,7 @@ def pricing_inputs(
 
     ``snapshot_path`` stores the premium and the quote base there first, which is worth
     it when several summaries are run from them. ``check_keys`` makes sure that
-    vehicle-terms are unique where a repeated one would multiply premium.
+    vehicle-terms are unique where a repeated one would multiply premium; it costs a narrow pass over each table.
     """
     s = sources
     ibnr = ibnr_extract(s.ibnr)
@@ -92,7 +92,7 @@ def pricing_inputs(
         quotes = quote_extract(s.pm, s.reporting, s.rating, s.rating_sup, s.dim_quote, history_start)
         if plan.quote or plan.quote_constants:
             factors = quote_factors(s.reporting, s.rating, s.rating_sup, s.dim_quote, plan.quote,
-                                    plan.quote_constants, plan.quoted_from)
+                                    plan.quote_constants, plan.quoted_from or history_start)
     if snapshot_path:
         base = snapshot(base, f"{snapshot_path}/premium_base")
         quotes = snapshot(quotes, f"{snapshot_path}/quote_base") if quotes is not None else None

