@@ -437,9 +437,19 @@ def _group_links(classes: DataFrame, candidates: DataFrame, texts: DataFrame, wo
     involved = candidates.select(F.col("a").alias("group")).union(candidates.select(F.col("b").alias("group"))).distinct()
     members = classes.join(involved, "group", "left_semi").select("node", "group", "component", "doc_id", "text_hash")
     sets = _token_sets(texts, members, words, "group-sets").join(members.select("node", "group", "component"), "node")
-    one = candidates.join(sets.select(F.col("group").alias("a"), "component", "tokens"), "a").select("a", "b", "component", "tokens")
-    two = candidates.join(sets.select(F.col("group").alias("b"), "component", "tokens"), "b").select(
-        F.col("a").alias("to_a"), F.col("b").alias("to_b"), F.col("component").alias("to_component"), F.col("tokens").alias("to_tokens"))
+    # the smaller groups that one group meets are opened against it together, so its members are sent once for many of them
+    many = members.groupBy("group").agg(F.count(F.lit(1)).alias("many"))
+    pairs = candidates.join(many.select(F.col("group").alias("a"), F.col("many").alias("many_a")), "a").join(
+        many.select(F.col("group").alias("b"), F.col("many").alias("many_b")), "b")
+    turned = F.col("many_a") < F.col("many_b")
+    pairs = pairs.select(*(F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name) for name, x, y in (
+        ("large", "a", "b"), ("small", "b", "a"), ("many", "many_b", "many_a"))))
+    parts = pairs.groupBy("large").agg(F.ceil(F.sum("many") / BLOCK).cast("int").alias("parts"))
+    pairs = stored(pairs.join(parts, "large").select("large", "small", F.pmod(F.xxhash64("small"), F.col("parts")).alias("bundle")), "group-pairs")
+    one = pairs.select("large", "bundle").distinct().join(
+        sets.select(F.col("group").alias("large"), "component", "tokens"), "large").select("large", "bundle", "component", "tokens")
+    two = pairs.join(sets.select(F.col("group").alias("small"), "component", "tokens"), "small").select(
+        F.col("large").alias("to_large"), F.col("bundle").alias("to_bundle"), F.col("component").alias("to_component"), F.col("tokens").alias("to_tokens"))
 
     def check(first: pa.Table, second: pa.Table) -> pa.Table:
         found = []
@@ -448,7 +458,7 @@ def _group_links(classes: DataFrame, candidates: DataFrame, texts: DataFrame, wo
             found = open_groups(x, np.asarray(first.column("component")), y, np.asarray(second.column("to_component")), percent)
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    return stored(one.groupBy("a", "b").cogroup(two.groupBy("to_a", "to_b")).applyInArrow(check, "a long, b long"), "group-links")
+    return stored(one.groupBy("large", "bundle").cogroup(two.groupBy("to_large", "to_bundle")).applyInArrow(check, "a long, b long"), "group-links")
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
