@@ -47,7 +47,7 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def rotation(sample: np.ndarray) -> np.ndarray:
     """Right singular vectors, the strongest first."""
-    return np.linalg.svd(sample, full_matrices=True)[2].T if len(sample) else np.eye(sample.shape[1])
+    return np.linalg.svd(sample.T @ sample)[0] if len(sample) else np.eye(sample.shape[1])
 
 
 def block_search(ids: np.ndarray, x: np.ndarray, who: np.ndarray, q: np.ndarray, floor: np.ndarray, turn: np.ndarray, k: int):
