@@ -25,7 +25,7 @@ TABLES, PROJECTIONS, WIDTH = 6, 8, 1.5
 PROBES = (16, 32, 64, 128, 256, 512, 1024, 2048, 4096)
 SAMPLE_VECTORS, SAMPLE_QUERIES, RECALL = 4_000, 200, 0.95
 #: Vectors and queries that meet in one task.
-VECTORS_AT_ONCE, QUERIES_AT_ONCE, TILE = 4_096, 2_048, 128
+VECTORS_AT_ONCE, QUERIES_AT_ONCE, TILE = 16_384, 4_096, 128
 _BASE = 64
 
 
