@@ -230,8 +230,8 @@ def _texts(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def _token_sets(texts: DataFrame, wanted: DataFrame, words: int, name: str) -> DataFrame:
-    """node, tokens (packed) of the wanted (node, doc_id, text_hash), stored. Texts don't leave the scan: those the filter
-    knows are made into sets there."""
+    """tokens (packed) of the wanted (doc_id, text_hash, more), with what else they hold, stored. Texts don't leave the scan:
+    those the filter knows are made into sets there."""
     bits = _wanted_filter(wanted)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +247,8 @@ def _token_sets(texts: DataFrame, wanted: DataFrame, words: int, name: str) -> D
     keys = ["unnamed", "number", "text_hash"]  # one shuffle serves both steps; no key is missing
     named = [F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("number"), F.col("text_hash")]
     sets = sets.select(*named, "tokens").groupBy(*keys).agg(F.first("tokens").alias("tokens"))
-    return stored(sets.join(wanted.select(*named, "node"), keys).select("node", "tokens"), name)
+    more = [c for c in wanted.columns if c not in ("doc_id", "text_hash")]
+    return stored(sets.join(wanted.select(*named, *more), keys).select(*more, "tokens"), name)
 
 
 def open_groups(one: list[np.ndarray], one_names: np.ndarray, two: list[np.ndarray], two_names: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -301,14 +302,16 @@ def _star_links(classes: DataFrame, texts: DataFrame, words: int, percent: int)
     pairs = keyed.join(first.select("nth", "key", "first"), ["nth", "key"]).where(
         (F.col("node") != F.col("first.node")) & (100 * F.least("n", "first.n") >= percent * F.greatest("n", "first.n")))
     pairs = stored(pairs.select(F.col("first.node").alias("leader"), "node").distinct(), "star-pairs")
-    involved = pairs.select(F.col("leader").alias("node")).union(pairs.select("node")).distinct()
-    sets = _token_sets(texts, classes.join(involved, "node", "left_semi").select("node", "doc_id", "text_hash"), words, "star-sets")
     dealt = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    left = pairs.join(dealt, "leader").select("leader", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "node")
-    left = left.join(sets, "node")
-    right = dealt.select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(
-        sets.withColumnRenamed("node", "leader"), "leader").select(
-        F.col("leader").alias("own"), F.col("block").alias("own_block"), F.col("tokens").alias("own_tokens"))
+    # where a set is to go is known before it is made, so it moves once; a class has a leader for each hash function at most
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
+    to = pairs.join(dealt, "leader").groupBy("node").agg(F.collect_list(F.struct("leader", block)).alias("to"))
+    wanted = classes.select("node", "doc_id", "text_hash").join(to, "node", "left").join(
+        dealt.withColumnRenamed("leader", "node"), "node", "left").where("to IS NOT NULL OR blocks IS NOT NULL")
+    sets = _token_sets(texts, stored(wanted, "star-wanted"), words, "star-sets")
+    left = sets.where("to IS NOT NULL").select(F.inline("to"), "node", "tokens")
+    right = sets.where("blocks IS NOT NULL").select(
+        F.col("node").alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own_block"), F.col("tokens").alias("own_tokens"))
 
     def check(some: pa.Table, leader: pa.Table) -> pa.Table:
         a, b = [], []
@@ -435,8 +438,8 @@ def _candidates(texts: DataFrame, classes: DataFrame, counts: tuple[np.ndarray,
 def _group_links(classes: DataFrame, candidates: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) of components that have linked members in candidate groups, stored."""
     involved = candidates.select(F.col("a").alias("group")).union(candidates.select(F.col("b").alias("group"))).distinct()
-    members = classes.join(involved, "group", "left_semi").select("node", "group", "component", "doc_id", "text_hash")
-    sets = _token_sets(texts, members, words, "group-sets").join(members.select("node", "group", "component"), "node")
+    members = classes.join(involved, "group", "left_semi").select("group", "component", "doc_id", "text_hash")
+    sets = _token_sets(texts, members, words, "group-sets")
     # the smaller groups that one group meets are opened against it together, so its members are sent once for many of them
     many = members.groupBy("group").agg(F.count(F.lit(1)).alias("many"))
     pairs = candidates.join(many.select(F.col("group").alias("a"), F.col("many").alias("many_a")), "a").join(
