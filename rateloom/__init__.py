@@ -1,9 +1,10 @@
 """Insurance pricing summaries on PySpark."""
 
+from rateloom.operators.extracts import Factor
 from rateloom.params import PricingParams
 from rateloom.plans.report import FactorPlan, Sources, pricing_inputs, pricing_report
 from rateloom.plans.summary import pricing_summary, stat_table
 
 __all__ = [
-    "FactorPlan", "PricingParams", "Sources", "pricing_inputs", "pricing_report", "pricing_summary", "stat_table",
+    "Factor", "FactorPlan", "PricingParams", "Sources", "pricing_inputs", "pricing_report", "pricing_summary", "stat_table",
 ]

@@ -5,6 +5,8 @@ Each one is a lazy DataFrame; filters and the column list reach the scans.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -161,19 +163,39 @@ def quote_extract(
     )
 
 
+@dataclass(frozen=True)
+class Factor:
+    """A rating factor: its name, a SQL expression over one rating table, and that table's name.
+
+    Without an expression it is the column of that name; without an owner, the one table that has the column.
+    """
+
+    name: str
+    expression: str | None = None
+    owner: str | None = None
+
+
+def factor_names(factors: Sequence[str | Factor]) -> list[str]:
+    return [f.name if isinstance(f, Factor) else f for f in factors]
+
+
 def _rating_rows(reporting, rating, rating_sup, factors, bound):
     """Reporting, rating and supplement rows of the same vehicle with the chosen factors."""
     owners = {"reporting": reporting, "rating": rating, "supplement": rating_sup}
-    found = {f: [name for name, df in owners.items() if f in df.columns] for f in factors}
+    factors = [f if isinstance(f, Factor) else Factor(f) for f in factors]
+    unowned = [f.name for f in factors if f.owner not in owners and (f.owner or f.expression)]
+    if unowned:
+        raise ValueError(f"factors need one of {list(owners)} as owner: {unowned}")
+    found = {f.name: [f.owner] if f.owner else [name for name, df in owners.items() if f.name in df.columns] for f in factors}
     missing = [f for f, names in found.items() if not names]
     if missing:
         raise ValueError(f"no rating table has the factors {missing}")
     ambiguous = {f: names for f, names in found.items() if len(names) > 1}
     if ambiguous:
-        raise ValueError(f"factors in more than one rating table: {ambiguous}")
+        raise ValueError(f"factors in more than one rating table: {ambiguous}; name their owner")
 
     def of(name):
-        return [f for f in factors if found[f] == [name]]
+        return [F.expr(f.expression or f"`{f.name}`").alias(f.name) for f in factors if found[f.name] == [name]]
 
     vehicles = reporting.where(F.col("BoundIndicator") == bound).select(
         "VehicleTermKey", *VEHICLE_KEY, *of("reporting")
@@ -184,10 +206,12 @@ def _rating_rows(reporting, rating, rating_sup, factors, bound):
     )
 
 
-def premium_factors(reporting: DataFrame, rating: DataFrame, rating_sup: DataFrame, factors: list[str]) -> DataFrame:
+def premium_factors(
+    reporting: DataFrame, rating: DataFrame, rating_sup: DataFrame, factors: Sequence[str | Factor]
+) -> DataFrame:
     """Rating factors of bound vehicle-terms, keyed by VehicleTermKey."""
     rows, from_sup = _rating_rows(reporting, rating, rating_sup, factors, bound=1)
-    return rows.join(rating_sup.select(*VEHICLE_KEY, *from_sup), VEHICLE_KEY).select("VehicleTermKey", *factors)
+    return rows.join(rating_sup.select(*VEHICLE_KEY, *from_sup), VEHICLE_KEY).select("VehicleTermKey", *factor_names(factors))
 
 
 def quote_factors(
@@ -195,7 +219,7 @@ def quote_factors(
     rating: DataFrame,
     rating_sup: DataFrame,
     dim_quote: DataFrame,
-    factors: list[str],
+    factors: Sequence[str | Factor],
     constants: dict[str, object] | None = None,
     quoted_from: date | str = HISTORY_START,
 ) -> DataFrame:
@@ -207,7 +231,7 @@ def quote_factors(
     versions = _versions_by_vehicle(rating_sup, dim_quote, quoted_from, from_sup)
     fixed = [F.lit(value).alias(name) for name, value in (constants or {}).items()]
     return rows.join(versions, VEHICLE_KEY).select(
-        F.col("JobID").alias("RowKey"), F.col("VehicleFixedID").alias("VehicleKey"), *factors, *fixed
+        F.col("JobID").alias("RowKey"), F.col("VehicleFixedID").alias("VehicleKey"), *factor_names(factors), *fixed
     )
 
 

@@ -29,7 +29,7 @@ def _require_new_names(base: DataFrame, factors: DataFrame, key) -> None:
 def folded_factors(factors: DataFrame, key: str | list[str] = "RowKey", columns: list[str] | None = None) -> DataFrame:
     """Distinct factor combinations per key, with the number of rows each stands for."""
     keys = [key] if isinstance(key, str) else list(key)
-    columns = [c for c in columns or factors.columns if c not in keys]
+    columns = [c for c in (factors.columns if columns is None else columns) if c not in keys]
     return factors.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias(ROW_WEIGHT))
 
 

@@ -17,9 +17,9 @@ TOTAL = "TOTAL"
 
 
 def losses_as_of(losses: DataFrame, premium: DataFrame, earned_as_of: date | None = None) -> DataFrame:
-    """Transactions up to the latest earned date of the premium table, looked up if not given."""
+    """Transactions up to the latest earned day of the premium table, looked up if not given."""
     last_earned = F.lit(earned_as_of) if earned_as_of else premium.agg(F.max("EarnedAsOfDate")).scalar()
-    return losses.where(F.col("TransactionDate") <= last_earned)
+    return losses.where(F.col("TransactionDate").cast("date") <= last_earned.cast("date"))
 
 
 def loss_summary(losses: DataFrame) -> DataFrame:

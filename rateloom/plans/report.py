@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from getpass import getuser
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +13,8 @@ from rateloom.operators.base import premium_columns, premium_loss_base
 from rateloom.operators.checks import require_unique
 from rateloom.operators.extracts import (
     HISTORY_START,
+    Factor,
+    factor_names,
     ibnr_extract,
     loss_extract,
     premium_extract,
@@ -18,11 +22,11 @@ from rateloom.operators.extracts import (
     quote_extract,
     quote_factors,
 )
-from rateloom.operators.factors import attach_factors
+from rateloom.operators.factors import ADJUSTMENT_KEY, attach_adjustments, attach_factors
 from rateloom.params import PricingParams
 from rateloom.plans.facts import facts
 from rateloom.plans.summary import pricing_summary
-from rateloom.sources.sinks import snapshot, sorted_by_keys, write_result
+from rateloom.sources.sinks import run_label, snapshot, sorted_by_keys, write_result
 from rateloom.sources.tables import read_table
 
 
@@ -46,10 +50,13 @@ class Sources:
 
 @dataclass(frozen=True)
 class FactorPlan:
-    """Which rating factors to fetch for premium and quotes, and constants for quotes."""
+    """Which rating factors to fetch for premium and quotes, and constants for quotes.
 
-    premium: list[str] = field(default_factory=list)
-    quote: list[str] = field(default_factory=list)
+    A factor is the name of a column, or a ``Factor`` with an expression and the table it is made from.
+    """
+
+    premium: list[str | Factor] = field(default_factory=list)
+    quote: list[str | Factor] = field(default_factory=list)
     quote_constants: dict[str, object] = field(default_factory=dict)
     quote_key: str | list[str] = "RowKey"
     quoted_from: object = None  # the report's history_start
@@ -63,9 +70,14 @@ def pricing_inputs(
     check_keys: bool = True,
     snapshot_path: str | None = None,
     earned_as_of: date | None = None,
+    adjustments: DataFrame | None = None,
+    adjustment_key: Sequence[str] = ADJUSTMENT_KEY,
 ):
     """Premium base with factors, quote base, quote factors.
 
+    The rows are the same whatever factors are listed: bound terms and unbound jobs that the rating tables know.
+    ``adjustments`` holds ADJ_WP_* multipliers by ``adjustment_key``, columns of the base or premium factors.
+
     ``snapshot_path`` stores the premium and the quote base there first, which is worth
     it when several summaries are run from them. ``check_keys`` makes sure that
     vehicle-terms are unique where a repeated one would multiply premium; it costs a narrow pass over each table.
@@ -73,26 +85,26 @@ def pricing_inputs(
     s = sources
     ibnr = ibnr_extract(s.ibnr)
     premium = premium_extract(s.pm, s.reporting, history_start)
-    by_vehicle = premium_factors(s.reporting, s.rating, s.rating_sup, plan.premium) if plan.premium else None
+    by_vehicle = premium_factors(s.reporting, s.rating, s.rating_sup, plan.premium)
     if check_keys:
         require_unique(ibnr, "VehicleTermKey", "IBNR")
         require_unique(premium, "VehicleTermKey", "premium extract")
-        if by_vehicle is not None:
-            require_unique(by_vehicle, "VehicleTermKey", "premium factors")
+        require_unique(by_vehicle, "VehicleTermKey", "premium factors")
+        if adjustments is not None:
+            require_unique(adjustments, list(adjustment_key), "adjustments")
     # Factors first: both joins are on the vehicle-term, so the order makes no difference to
     # the rows, but with losses joined last, a look-up of the retention date can leave them out.
-    rated = premium
-    if by_vehicle is not None:
-        rated = attach_factors(premium.selectExpr(*premium_columns(premium)), by_vehicle)
-    base = premium_loss_base(rated, loss_extract(s.losses), ibnr, keep=tuple(plan.premium),
+    rated = attach_factors(premium.selectExpr(*premium_columns(premium)), by_vehicle)
+    base = premium_loss_base(rated, loss_extract(s.losses), ibnr, keep=tuple(factor_names(plan.premium)),
                              earned_as_of=earned_as_of, earned_from=premium)
+    if adjustments is not None:
+        base = attach_adjustments(base, adjustments, adjustment_key)
 
     quotes = factors = None
     if with_quotes:
         quotes = quote_extract(s.pm, s.reporting, s.rating, s.rating_sup, s.dim_quote, history_start)
-        if plan.quote or plan.quote_constants:
-            factors = quote_factors(s.reporting, s.rating, s.rating_sup, s.dim_quote, plan.quote,
-                                    plan.quote_constants, plan.quoted_from or history_start)
+        factors = quote_factors(s.reporting, s.rating, s.rating_sup, s.dim_quote, plan.quote,
+                                plan.quote_constants, plan.quoted_from or history_start)
     if snapshot_path:
         base = snapshot(base, f"{snapshot_path}/premium_base")
         quotes = snapshot(quotes, f"{snapshot_path}/quote_base") if quotes is not None else None
@@ -108,12 +120,20 @@ def pricing_report(
     fmt: str = "parquet",
     **inputs,
 ) -> tuple[DataFrame, DataFrame]:
-    """Run everything; returns (facts, summary), and writes both if ``out`` is given."""
+    """Run everything; returns (facts, summary).
+
+    With ``out`` both are written, under a label of user and time if no ``run_id`` is given, and what is returned are
+    the stored tables.
+    """
     plan = plan or FactorPlan()
     base, quotes, factors = pricing_inputs(sources, plan, **inputs)
     summary = pricing_summary(base, quotes, params, factors, plan.quote_key)
     page = facts(sources.pm.sparkSession, params)
     if out:
-        write_result(sorted_by_keys(summary, params.keys), f"{out}/summary", run_id, fmt)
-        write_result(page, f"{out}/facts", run_id, fmt)
+        run_id = run_id or run_label(getuser())
+        spark = sources.pm.sparkSession
+        written = [write_result(page, f"{out}/facts", run_id, fmt),
+                   write_result(sorted_by_keys(summary, params.keys), f"{out}/summary", run_id, fmt)]
+        page, summary = (spark.read.schema(df.schema).option("header", True).format(fmt).load(path)
+                         for df, path in zip((page, summary), written, strict=True))
     return page, summary

@@ -42,12 +42,14 @@ LINE_FIELDS = {
 }
 # The field a slot adds up, where it is not a count.
 _SLOT_FIELD = {s.slot: s.measure if s.measure in LINE_FIELDS else None for s in PREMIUM_STATS}
+_DATES = ("PolicyTermStartEffDate", "PolicyTermExpirationEffDate", "CancellationDate")
 _MEASURE_FIELDS = {"sold": ("wp",), "share": ("wp",), "generated": ("wp",), "taken": ("wp", "ep")}
 
 
 def with_run_keys(base: DataFrame, params: PricingParams) -> DataFrame:
-    """Premium base with TermType as NB/RN and UWYear as look-back year."""
+    """Premium base with TermType as NB/RN, UWYear as look-back year, and times of day cut off its dates."""
     return base.withColumns({
+        **{c: F.col(c).cast("date") for c in _DATES if c in base.columns},
         "TermType": term_type(F.col("TermType"), F.col("TransactionType")),
         "UWYear": lookback_year(F.col("PolicyTermStartEffDate"), params.end),
     })
@@ -287,6 +289,10 @@ def stat_table(
     if unknown:
         raise ValueError(f"no such figures: {unknown}")
     stats = [by_name[name] for name in dict.fromkeys(names)]
+    own = {c.lower() for c in (*output_columns(), *LINE_FIELDS, *SLOTS, LINE, ROWS, SPOILT, UNKNOWN, SHARE, ROW_WEIGHT, "sold")}
+    clashes = [f for f in params.rate_factors if f.lower() in own]
+    if clashes:
+        raise ValueError(f"{clashes} are names of figures and cannot be rating factors")
     from_quotes = [s for s in stats if s in QUOTE_STATS]
     from_premium = [s for s in stats if s not in QUOTE_STATS]
 

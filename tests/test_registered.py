@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from rateloom.plans.facts import facts, facts_row
+from rateloom.operators.extracts import Factor, premium_factors
 from rateloom.plans.report import pricing_report
 from rateloom.sources.sinks import run_label, snapshot_table, sorted_by_keys
 from rateloom.sources.tables import read_table
@@ -33,6 +34,19 @@ def test_query_matches_oracle(spark, oracle, name):
     assert ok, note
 
 
+def test_factors_with_expressions(spark):
+    s = Inputs(spark, SF).sources
+    limit = Factor("Limit", "upper(Limit_BI)", "rating")
+    assert premium_factors(s.reporting, s.rating, s.rating_sup, [limit, "Segment_F"]).columns == ["VehicleTermKey", "Limit", "Segment_F"]
+    both = s.rating.selectExpr("*", "'x' AS Segment_F")
+    with pytest.raises(ValueError, match="more than one"):
+        premium_factors(s.reporting, both, s.rating_sup, ["Segment_F"])
+    owned = premium_factors(s.reporting, both, s.rating_sup, [Factor("Segment_F", owner="rating")])
+    assert {r.Segment_F for r in owned.select("Segment_F").distinct().collect()} == {"x"}
+    with pytest.raises(ValueError, match="owner"):
+        premium_factors(s.reporting, s.rating, s.rating_sup, [Factor("Limit", "upper(Limit_BI)")])
+
+
 def test_report_writes_summary_and_facts(spark, tmp_path):
     sources = Inputs(spark, SF).sources
     page, summary = pricing_report(
@@ -41,6 +55,7 @@ def test_report_writes_summary_and_facts(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "summary" / "run_id=r1"))
     assert stored.columns == summary.columns
     assert stored.count() == summary.count() > 100
+    assert summary.inputFiles() and all("run_id=r1" in f for f in summary.inputFiles())
     values = [r.value for r in spark.read.parquet(str(tmp_path / "facts" / "run_id=r1")).orderBy("position").collect()]
     assert values == ["01JUL98 - 01JUL01", "01JUL00 - 01JUL01", "TermType", "UWYear",
                       "Segment_F", "Limit_BI", "PriorBILimit_F", "TermNumber", "var7", "var8", "var9", "var10"]

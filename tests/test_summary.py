@@ -101,6 +101,22 @@ def test_cancellation_before_a_day_that_does_not_exist(spark):
     assert tuple(cancelled(date(2001, 4, 28)))[-2:] == (1, 1)
 
 
+def test_a_time_of_day_is_cut_off(spark):
+    start = date(2000, 8, 1)
+    row = premium_row(EP_BI=D("1.00"), PolicyTermStartEffDate=start, CancellationDate=date(2000, 8, 4))
+    base = frame(spark, BASE_SCHEMA, [row])
+    later = base.selectExpr("* EXCEPT (CancellationDate)", "CAST(CancellationDate AS TIMESTAMP) + INTERVAL 10 HOURS AS CancellationDate")
+    for rows in (base, later):
+        assert stat_table(rows, None, P, ["CXX_ThreeDays_QB"]).first().CXX_ThreeDays_QB == 1
+
+
+@pytest.mark.parametrize("name", ["EE_BI", "EP", "wp", "RowWeight"])
+def test_factors_named_like_figures(spark, name):
+    base = frame(spark, BASE_SCHEMA, [premium_row()])
+    with pytest.raises(ValueError, match="names of figures"):
+        stat_table(base, None, replace(P, rate_factors=(name,)), ["EP"])
+
+
 def test_groups_seen_by_a_single_branch(spark):
     only_cancel = premium_row(PolicyTermStartEffDate=date(1999, 8, 1), PolicyTermExpirationEffDate=date(2000, 2, 1),
                               PolicyStateCode_F="cancel")

@@ -14,6 +14,7 @@ from rateloom.functions.dates import day_label, lookback_year, minus_months_or_n
 from rateloom.functions.recode import band, channel, one_against_rest, term_type, transaction_type
 from rateloom.operators import base as base_ops
 from rateloom.operators import checks, extracts, factors, losses
+from rateloom.operators.extracts import Factor
 from rateloom.plans import facts as facts_plan
 from rateloom.plans.report import FactorPlan, Sources, pricing_inputs
 from rateloom.plans.summary import padded_keys, pricing_summary, stat_table
@@ -398,16 +399,18 @@ def _(i):
     return pricing_summary(i.base, i.quotes, replace(P, rate_factors=()))
 
 
-def _report_sql():
+def _report_sql(keys=("TermType", "UWYear", *REPORT_FACTORS), premium="", quote="", join="", adjusted=()):
+    """SQL of a whole run; ``premium`` and ``quote`` are further columns of the base and of the quotes."""
     ctes = [
-        *view_ctes(*o.SRC_QUOTE_VIEWS, "src_loss", "fx_ibnr"),
+        *view_ctes(*o.SRC_QUOTE_VIEWS, "src_loss", "fx_ibnr", "src_adjustment"),
         f"prem AS ({o.src_premium_select()})", *o.loss_ctes("src_loss"), o.pivot_cte(), *o.developed_cte(),
         f"pf AS ({o.src_premium_factor_select()})", f"sq AS ({o.src_quote_select()})", f"qf AS ({o.src_quote_factor_select()})",
-        f"""base AS (SELECT p.*, {o.channel('p.FinanceChannel_F')} AS FinanceChannel, l.* EXCLUDE (VehicleTermKey), f.* EXCLUDE (VehicleTermKey)
- FROM prem p LEFT JOIN loss_cap l ON p.VehicleTermKey=l.VehicleTermKey JOIN pf f ON p.VehicleTermKey=f.VehicleTermKey)""",
-        f"quotes AS (SELECT q.* EXCLUDE (UWYear), {_FACTOR_LIST} FROM sq q JOIN qf f ON q.RowKey=f.RowKey)",
+        f"""base AS (SELECT p.*, {o.channel('p.FinanceChannel_F')} AS FinanceChannel, l.* EXCLUDE (VehicleTermKey), f.* EXCLUDE (VehicleTermKey){premium}
+ FROM prem p LEFT JOIN loss_cap l ON p.VehicleTermKey=l.VehicleTermKey JOIN pf f ON p.VehicleTermKey=f.VehicleTermKey{join})""",
+        f"""quotes AS (SELECT q.* EXCLUDE (UWYear), {_FACTOR_LIST}{quote} FROM sq q JOIN qf f ON q.RowKey=f.RowKey
+ JOIN src_rating r ON r.JobID=f.RowKey AND r.VehicleFixedID=f.VehicleKey JOIN src_reporting v ON v.JobID=f.RowKey AND v.VehicleFixedID=f.VehicleKey)""",
     ]
-    return o.summary_sql(keys=("TermType", "UWYear", *REPORT_FACTORS), ctes=ctes)
+    return o.summary_sql(keys=keys, ctes=ctes, adjusted=adjusted)
 
 
 REPORT_PARAMS = replace(P, rate_factors=REPORT_FACTORS)
@@ -423,6 +426,37 @@ def _(i):
     return pricing_summary(base, quotes, REPORT_PARAMS, quote_factors)
 
 
+@query("report_no_factors", _report_sql(keys=("TermType", "UWYear")))
+def _(i):
+    base, quotes, quote_factors = pricing_inputs(i.sources, FactorPlan(), history_start=EXTRACT_FLOOR)
+    return pricing_summary(base, quotes, replace(P, rate_factors=()), quote_factors)
+
+
+_GAP = "CASE WHEN AgeDifference < 0 THEN 'younger' WHEN AgeDifference >= 0 THEN 'older' END"
+_OF_R = _GAP.replace("AgeDifference", "r.AgeDifference")
+
+
+@query("report_banded_factor", _report_sql(
+    keys=("TermType", "UWYear", "Gap"), premium=f", {_OF_R} AS Gap", quote=f", {_OF_R} AS Gap",
+    join=" JOIN src_rating r ON r.VehicleFixedID=p.SourceSystemVehicleID AND r.JobID=p.TransactionJobID"))
+def _(i):
+    banded = [Factor("Gap", _GAP, "rating")]
+    base, quotes, quote_factors = pricing_inputs(i.sources, FactorPlan(banded, banded), history_start=EXTRACT_FLOOR)
+    return pricing_summary(base, quotes, replace(P, rate_factors=("Gap",)), quote_factors)
+
+
+@query("report_adjusted", _report_sql(
+    keys=("TermType", "UWYear", "State"), premium=", p.PolicyStateCode_F AS State, a.ADJ_WP_BI, a.ADJ_WP_COL",
+    quote=", v.PolicyStateCode_F AS State", join=_ADJ_JOIN, adjusted=("BI", "COL")))
+def _(i):
+    state = Factor("State", "PolicyStateCode_F", "reporting")
+    driver = [Factor("PrimAge", "PrimaryDriverAge", "reporting"), Factor("PrimGen", "PrimaryDriverGender", "reporting")]
+    base, quotes, quote_factors = pricing_inputs(
+        i.sources, FactorPlan([state, *driver], [state]), history_start=EXTRACT_FLOOR,
+        adjustments=i.view("src_adjustment"), adjustment_key=_ADJ_KEY)
+    return pricing_summary(base, quotes, replace(P, rate_factors=("State",)), quote_factors)
+
+
 # ---------------------------------------------------------------- facts
 
 _BOUNDS_SQL = """SELECT min(PolicyTermStartEffDate) AS p0, max(PolicyTermStartEffDate) AS p1, min(CancellationDate) AS q0 FROM fx_pm"""
