@@ -14,18 +14,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rateloom.llm.shared import map_batches, stored
+from rateloom.llm.shared import lists, map_batches, stored
 from rateloom.llm.vectors import best, matrix, ranked, valid_vectors
 
 TABLES, PROJECTIONS, WIDTH = 6, 8, 1.5
 #: How many buckets a table's visit may take, tried in this order on the sample until it reaches the recall.
 PROBES = (16, 32, 64, 128, 256, 512, 1024, 2048, 4096)
 SAMPLE_VECTORS, SAMPLE_QUERIES, RECALL = 4_000, 200, 0.95
-#: Vectors and queries that meet in one task.
-VECTORS_AT_ONCE, QUERIES_AT_ONCE, TILE = 16_384, 4_096, 128
+#: Vectors and queries that meet in one task, and queries that it looks at together.
+VECTORS_AT_ONCE, QUERIES_AT_ONCE, TILE = 16_384, 16_384, 128
 _BASE = 64
 
 
@@ -92,9 +92,8 @@ class ProbeIndex:
         return order @ np.take_along_axis(step, by_distance, 1).T + self.codes(floor)
 
 
-def _visited(codes: np.ndarray, visits: np.ndarray) -> np.ndarray:
-    """Which vectors (columns) each query (rows) meets."""
-    buckets, of_vector = np.unique(codes, return_inverse=True)
+def _visited(buckets: np.ndarray, of_vector: np.ndarray, visits: np.ndarray) -> np.ndarray:
+    """Which vectors (columns) each query (rows) meets in a table, given its distinct buckets and which of them a vector has."""
     at = np.minimum(np.searchsorted(buckets, visits), len(buckets) - 1)
     hit = np.zeros((visits.shape[1], len(buckets)), bool)
     t, q = np.nonzero(buckets[at] == visits)
@@ -120,12 +119,12 @@ def fit(vectors: DataFrame, k: int, recall: float = RECALL, seed: int = 7) -> Pr
     scores = x[asked] @ x.T
     scores[np.arange(len(asked)), asked] = -np.inf
     wanted = np.argpartition(-scores, min(k, len(x) - 1) - 1, axis=1)[:, :min(k, len(x) - 1)]
-    codes = [index.codes(np.floor(index.slabs(t, index.lifted(x)))) for t in range(TABLES)]
+    tables = [np.unique(index.codes(np.floor(index.slabs(t, index.lifted(x)))), return_inverse=True) for t in range(TABLES)]
     table = probe_order(PROJECTIONS, PROBES[-1])
     for index.probes in PROBES:
         met = np.zeros(scores.shape, bool)
         for t in range(TABLES):
-            met |= _visited(codes[t], index.visits(t, x[asked], table[:index.probes]))
+            met |= _visited(*tables[t], index.visits(t, x[asked], table[:index.probes]))
         index.sample_recall = float(np.take_along_axis(met, wanted, 1).mean())
         if index.sample_recall >= recall:
             break
@@ -139,8 +138,9 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vec
     undefined numbers, and rows without an id take no part; of rows with one id the least vector does; shorter vectors end
     in zeros. Equal scores are ranked by id. Every vector is in the index; only the number of probes is fitted on a sample.
 
-    Vectors and queries meet by table and by the first projection's slab; a slab with many vectors (copies, clusters) is
-    dealt to several tasks, and so are many queries.
+    Vectors carry their bucket of every table. They are dealt to parts of bounded size by a hash of the id, the queries to
+    blocks, and each block meets each part in a task. What the tables find is merged there, so a vector that several tables
+    find is scored once, and copies or clusters, which fill a bucket, burden no task more than others.
     """
     spark = df.sparkSession
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
@@ -148,66 +148,50 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vec
     index = fit(vectors, k)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    queries = vectors.where(is_query(F.col("vec_id")))
-    n_queries = queries.count()
-    blocks = max(1, -(-n_queries // QUERIES_AT_ONCE))
+    queries = vectors.where(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"))
+    parts, blocks = (max(1, -(-rows.count() // most)) for rows, most in ((vectors, VECTORS_AT_ONCE), (queries, QUERIES_AT_ONCE)))
     order = probe_order(PROJECTIONS, index.probes)
     width = index.width
 
     def hashed(batches):
         for batch in batches:
-            x = matrix(batch.column(1), width)
-            points = index.lifted(x)
-            for t in range(TABLES):
-                slabs = np.floor(index.slabs(t, points))
-                coarse = np.clip(slabs[:, 0], 2 - _BASE // 2, _BASE // 2 - 3).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), t, np.int32)), pa.array(coarse), batch.column(0), pa.array(index.codes(slabs)), batch.column(1)],
-                    names=["hash_table", "slab", "vec_id", "code", "vector"])
+            points = index.lifted(matrix(batch.column(1), width))
+            codes = np.stack([index.codes(np.floor(index.slabs(t, points))) for t in range(TABLES)], 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists(codes.reshape(-1), np.full(len(points), TABLES), pa.float64())],
+                                             names=["vec_id", "vector", "codes"])
 
-    def asked(batches):
-        for batch in batches:
-            x = matrix(batch.column(1), width)
-            unit = np.hstack([x / np.linalg.norm(x, axis=1, keepdims=True), np.zeros((len(x), 1))])
-            for t in range(TABLES):
-                own = np.clip(np.floor(index.slabs(t, unit)[:, 0]), 2 - _BASE // 2, _BASE // 2 - 3).astype(np.int32)
-                for step in (-1, 0, 1):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), t, np.int32)), pa.array(own + np.int32(step)), batch.column(0), batch.column(1)],
-                        names=["hash_table", "slab", "query_id", "query"])
-
-    indexed = stored(map_batches(vectors.select("vec_id", "vector"), hashed, "hash_table int, slab int, vec_id long, code double, vector array<double>", 4096), "buckets")
-    sizes = indexed.groupBy("hash_table", "slab").agg(F.ceil(F.count(F.lit(1)) / VECTORS_AT_ONCE).cast("int").alias("parts"))
-    left = indexed.join(sizes, ["hash_table", "slab"]).select(
-        "hash_table", "slab", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "code", "vector")
-    right = map_batches(queries.select("vec_id", "vector"), asked, "hash_table int, slab int, query_id long, query array<double>", 4096)
-    right = right.join(sizes, ["hash_table", "slab"]).select(
-        "hash_table", "slab", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "query_id", "query")
+    def every(number: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
+
+    indexed = stored(map_batches(vectors.select("vec_id", "vector"), hashed, "vec_id long, vector array<double>, codes array<double>", 4096), "buckets")
+    left = indexed.select(F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"), every(blocks).alias("block"), "vec_id", "vector", "codes")
+    right = queries.select(every(parts).alias("part"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "query_id", "query")
 
     def meet(some: pa.Table, asking: pa.Table) -> pa.Table:
         ids, x = np.asarray(some.column("vec_id")), matrix(some.column("vector"), width)
-        codes = np.asarray(some.column("code"))
+        tables = [np.unique(codes, return_inverse=True) for codes in matrix(some.column("codes"), TABLES).T]
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        t = some.column("hash_table")[0].as_py() if len(ids) and asking.num_rows else 0
         for a in range(0, asking.num_rows if len(ids) else 0, TILE):
             part = asking.slice(a, TILE)
             who, q = np.asarray(part.column("query_id")), matrix(part.column("query"), width)
-            met = _visited(codes, index.visits(t, q, order))
-            rough = np.where(met, q @ x.T, -np.inf)
+            met = np.zeros((len(who), len(ids)), bool)
+            for t in range(TABLES):
+                met |= _visited(*tables[t], index.visits(t, q, order))
+            some_met = np.flatnonzero(met.any(0))
+            rough = q @ x[some_met].T
             for row, name in enumerate(who):
-                places = np.flatnonzero(met[row] & (ids != name))
-                if len(places) > k:  # a margin for the order of addition
-                    s = rough[row, places]
-                    places = places[s >= np.partition(s, len(s) - k)[len(s) - k] - 1e-9 * (1 + np.abs(s).max())]
-                if len(places):
+                of_met = np.flatnonzero(met[row, some_met] & (ids[some_met] != name))
+                if len(of_met) > k:  # a margin for the order of addition
+                    s = rough[row, of_met]
+                    of_met = of_met[s >= np.partition(s, len(s) - k)[len(s) - k] - 1e-9 * (1 + np.abs(s).max())]
+                if len(of_met):
+                    places = some_met[of_met]
                     exact = (x[places] * q[row]).sum(1)
                     top = best(exact, ids[places], k)
                     out.append((np.full(len(top), name), ids[places[top]], exact[top]))
         merged = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table({"query_id": pa.array(merged[0], pa.int64()), "vec_id": pa.array(merged[1], pa.int64()), "score": pa.array(merged[2], pa.float64())})
 
-    keys = ["hash_table", "slab", "part", "block"]
+    keys = ["part", "block"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score double")
     return ranked(found, k)
