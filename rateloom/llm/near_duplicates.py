@@ -138,9 +138,10 @@ def _sketches(df: DataFrame, id_column: str, text_column: str, words: int) -> Da
     return stored(map_batches(rows, sketch, schema), "sketches")
 
 
-def _frequent(sketches: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _frequent(sketches: DataFrame) -> tuple[np.ndarray, np.ndarray, dict[int, bytes]]:
     """Numbers of the most frequent counted tokens, ascending, and the order of their count: FREQUENT tokens at most. And a
-    bit array of fixed size with a mark for every token that is counted at least twice.
+    bit array of fixed size with a mark for every token that is counted at least twice, by parts, compressed: TWICE_BITS at
+    most when tokens fill it.
 
     All counts are added up; the least count that is listed is chosen so that the list keeps its size.
     """
@@ -155,7 +156,7 @@ def _frequent(sketches: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         often = order > 0
         marks = np.zeros(_PART_BITS, bool)
         marks[distinct[often] % _PART_BITS] = True
-        return pa.table({"part": pa.array([part], pa.int32()), "marks": pa.array([np.packbits(marks).tobytes()], pa.binary()), "tokens": pa.array([distinct[often].tobytes()], pa.binary()),
+        return pa.table({"part": pa.array([part], pa.int32()), "marks": pa.array([pa.compress(np.packbits(marks).tobytes(), codec="zstd", asbytes=True)], pa.binary()), "tokens": pa.array([distinct[often].tobytes()], pa.binary()),
                          "orders": pa.array([order[often].tobytes()], pa.binary()),
                          "sizes": pa.array([np.bincount(order[often], minlength=64).tolist()], pa.list_(pa.int64()))})
 
@@ -179,10 +180,16 @@ def _frequent(sketches: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     got.sort(key=lambda r: r["part"])
     numbers = [np.frombuffer(r["tokens"], np.uint32).astype(np.int64) + (r["part"] << 32) for r in got]
     orders = [np.frombuffer(r["orders"], np.uint8) for r in got]
-    twice = np.zeros((1024, _PART_BITS // 8), np.uint8)
-    for r in totals.select("part", "marks").toLocalIterator():
-        twice[r["part"]] = np.frombuffer(r["marks"], np.uint8)
-    return np.concatenate([np.zeros(0, np.int64), *numbers]), np.concatenate([np.zeros(0, np.uint8), *orders]), twice.reshape(-1)
+    twice = {r["part"]: bytes(r["marks"]) for r in totals.select("part", "marks").toLocalIterator()}
+    return np.concatenate([np.zeros(0, np.int64), *numbers]), np.concatenate([np.zeros(0, np.uint8), *orders]), twice
+
+
+def _marks(twice: dict[int, bytes]) -> np.ndarray:
+    """The bit array of tokens counted twice."""
+    marks = np.zeros((1024, _PART_BITS // 8), np.uint8)
+    for part, packed in twice.items():
+        marks[part] = np.frombuffer(pa.decompress(packed, _PART_BITS // 8, codec="zstd"), np.uint8)
+    return marks.reshape(-1)
 
 
 def first_tokens(tokens: np.ndarray, numbers: np.ndarray, orders: np.ndarray, twice: np.ndarray, percent: int) -> np.ndarray:
@@ -371,13 +378,15 @@ def components(links: DataFrame) -> DataFrame:
     return found.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def _candidates(texts: DataFrame, classes: DataFrame, counts: tuple[np.ndarray, ...], words: int, percent: int) -> DataFrame:
+def _candidates(texts: DataFrame, classes: DataFrame, counts: tuple[np.ndarray, np.ndarray, dict[int, bytes]], words: int, percent: int) -> DataFrame:
     """Pairs (a, b) of groups that are to be opened, stored. ``classes`` are those of ``_groups``."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, orders, twice = counts
+        marks = _marks(twice)
         for batch in batches:
             sets = shingle_sets(batch.column(2).to_pylist(), words)
-            firsts = [first_tokens(s, *counts, percent).tobytes() or None for s in sets]
+            firsts = [first_tokens(s, numbers, orders, marks, percent).tobytes() or None for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(firsts, pa.binary())], names=["doc_id", "text_hash", "tokens"])
 
     rows = map_batches(texts.select("doc_id", "text_hash", "text"), prefixes, "doc_id long, text_hash long, tokens binary").where("tokens IS NOT NULL")
