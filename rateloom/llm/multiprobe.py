@@ -5,6 +5,9 @@ with a query is a small distance to it. Each table cuts m random projections int
 its slabs. A query visits, in each table, its own bucket and then neighbouring ones (one slab up or down in some projections)
 in the order of their estimated success: the expected squared distance to the slabs' borders, which depends only on the
 borders' order by distance. What the tables find is merged, and scored exactly on the original vectors.
+
+Buckets may miss: where lengths are skewed, the one longest vector crowds the rest round a pole. Queries that meet fewer than
+k vectors of a part score that part whole, and where all probes together miss the wanted recall on the sample, all queries do.
 """
 
 from __future__ import annotations
@@ -60,7 +63,8 @@ class ProbeIndex:
     shifts: np.ndarray  # (table, projection)
     longest: float
     probes: int
-    sample_recall: float = 1.0
+    sample_recall: float = 0.0
+    exact: bool = True  # the wanted recall was not reached, or not measured: buckets are not relied on
 
     @property
     def width(self) -> int:
@@ -102,7 +106,10 @@ def _visited(buckets: np.ndarray, of_vector: np.ndarray, visits: np.ndarray) ->
 
 
 def fit(vectors: DataFrame, k: int, recall: float = RECALL, seed: int = 7) -> ProbeIndex | None:
-    """Directions, and the number of probes that reaches the recall on a bounded sample of the vectors; None without any."""
+    """Directions, and the number of probes that reaches the recall on a bounded sample of the vectors; None without any.
+
+    ``exact`` is set where none reaches it.
+    """
     shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width"), F.max("length").alias("longest")).first()
     if not shape["n"]:
         return None
@@ -127,12 +134,14 @@ def fit(vectors: DataFrame, k: int, recall: float = RECALL, seed: int = 7) -> Pr
             met |= _visited(*tables[t], index.visits(t, x[asked], table[:index.probes]))
         index.sample_recall = float(np.take_along_axis(met, wanted, 1).mean())
         if index.sample_recall >= recall:
+            index.exact = False
             break
     return index
 
 
 def nearest(df: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k largest inner products among all other vectors that it finds.
+    """query_id, rank, vec_id, score: each query's k largest inner products among all other vectors that it finds, k rows
+    wherever there are as many others.
 
     Queries are the rows for which ``is_query(vec_id)`` holds. Missing and zero vectors, those holding missing, infinite or
     undefined numbers, and rows without an id take no part; of rows with one id the least vector does; shorter vectors end
@@ -140,7 +149,8 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vec
 
     Vectors carry their bucket of every table. They are dealt to parts of bounded size by a hash of the id, the queries to
     blocks, and each block meets each part in a task. What the tables find is merged there, so a vector that several tables
-    find is scored once, and copies or clusters, which fill a bucket, burden no task more than others.
+    find is scored once, and copies or clusters, which fill a bucket, burden no task more than others. A query that meets
+    fewer than k vectors of a part scores all of the part; all queries do if the sample's recall stays too low.
     """
     spark = df.sparkSession
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
@@ -174,9 +184,10 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vec
         for a in range(0, asking.num_rows if len(ids) else 0, TILE):
             part = asking.slice(a, TILE)
             who, q = np.asarray(part.column("query_id")), matrix(part.column("query"), width)
-            met = np.zeros((len(who), len(ids)), bool)
-            for t in range(TABLES):
+            met = np.full((len(who), len(ids)), index.exact)
+            for t in range(0 if index.exact else TABLES):
                 met |= _visited(*tables[t], index.visits(t, q, order))
+            met[(met & (ids[None, :] != who[:, None])).sum(1) < k] = True
             some_met = np.flatnonzero(met.any(0))
             rough = q @ x[some_met].T
             for row, name in enumerate(who):

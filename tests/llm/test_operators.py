@@ -186,6 +186,35 @@ def test_multiprobe_recall(spark):
     assert multiprobe.nearest(df.where("vec_id = 904"), lambda c: c % 20 == 0).count() == 0
 
 
+def _found(df):
+    got = defaultdict(list)
+    for r in multiprobe.nearest(df, lambda c: c % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    return got
+
+
+def test_multiprobe_with_skewed_lengths(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(430, 64)) * rng.lognormal(0, 1, size=(430, 1))  # no number of probes reaches the recall
+    x[7] *= 10_000  # crowds all others round one pole
+    want = {a: [int(b) for b in np.argsort(-np.where(np.arange(430) == a, -np.inf, x @ x[a]))[:20]] for a in range(0, 430, 20)}
+    assert _found(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")) == want
+
+
+def test_multiprobe_queries_that_miss_their_buckets(spark, monkeypatch):
+    df, rows = _vectors(spark)
+    fit = multiprobe.fit
+
+    def few_probes(*args):
+        index = fit(*args)
+        index.probes, index.exact = 1, False
+        return index
+
+    monkeypatch.setattr(multiprobe, "fit", few_probes)
+    got = _found(df)
+    assert set(got) == {i for i, _ in rows if i % 20 == 0} and all(len(s) == 20 for s in got.values())
+
+
 def test_probe_order_is_by_expected_score():
     order = multiprobe.probe_order(4, 81)
     assert len(order) == 81 and len(np.unique(order, axis=0)) == 81 and not order[0].any()
