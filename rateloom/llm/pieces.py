@@ -1,7 +1,7 @@
 """SentencePiece segmentations drawn from a piece lattice, and their decoding.
 
-A text is cut before every space; such a unit is a path through the lattice of vocabulary pieces, and a segmentation is
-drawn with odds in proportion to the product of its pieces' weights: sums of weights over all paths to each position are
+A text is cut before every run of spaces, where no piece reaches over; such a unit is a path through the lattice of
+vocabulary pieces, and a segmentation is drawn with odds in proportion to the product of its pieces' weights: sums of weights over all paths to each position are
 filtered forward, then pieces are drawn backward from the unit's end. The random numbers come from the row's key, the
 unit's number and the position, so a rerun, another batch or another executor draws the same. Characters without a path
 become byte pieces, as SentencePiece has them; decoding the ids gives back the exact text.
@@ -9,6 +9,7 @@ become byte pieces, as SentencePiece has them; decoding the ids gives back the e
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -21,14 +22,15 @@ from pyspark.sql import functions as F
 from rateloom.llm.shared import lists, map_batches, mix64
 
 SCHEMA = "doc_id long, n_pieces long, ids_crc32 long, lossless boolean, ids array<int>"
-#: Longest unit in characters; longer words are cut there, and a piece doesn't reach over a cut.
+#: Units up to so many characters are filtered many at once; longer ones alone, in stretches, with their sums carried along.
 UNIT_CHARS = 32
+STRETCH = 65_536
 #: A piece's weight falls with its place in the vocabulary: 1 / (place + FLAT) ** sharpness. A piece for a bare byte weighs least.
 FLAT, BYTE_WEIGHT = 10.0, 1e-8
-#: Factor for every character, so that sums over paths of any unit stay within a double's range.
+#: Factor for every character, so that sums over paths of a unit filtered with others stay within a double's range.
 PER_CHAR = 1e3
-#: Units that a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Units, and edges of their lattices, that a worker remembers before it starts afresh.
+REMEMBERED, REMEMBERED_EDGES = 400_000, 16_000_000
 LEARNED_AT_ONCE = 10_000
 #: Characters that are worked on at once.
 CHARS_AT_ONCE = 2_000_000
@@ -92,6 +94,7 @@ class PieceLattice:
         for text, (i, weight) in pieces.items():
             self.ends[states[text]], self.weights[states[text]] = i, weight
         self.longest = max(map(len, pieces), default=1)
+        self.spaces_begin = not any(re.search("[^ ] ", text) for text in pieces)
         self.forget()
 
     def forget(self) -> None:
@@ -154,15 +157,51 @@ class PieceLattice:
         self.back.extend(back)
         self.piece.extend(piece[end, column])
 
+    def _learn_long(self, unit: str) -> None:
+        """The same for one unit of any length: sums are carried from stretch to stretch, and scaled where they grow or shrink."""
+        codes = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        self.first_node.extend(np.array([self.first_edge.n], np.int64))
+        self.length.extend(np.array([len(codes)], np.int64))
+        self.first_edge.extend(np.array([self.share.n], np.int64))  # of the node before the first character
+        sums = [1.0]  # of the nodes from `base` on
+        base = 0
+        for a in range(0, len(codes), STRETCH):
+            first = max(0, a - self.longest)
+            chars = codes[first:a + STRETCH]
+            found = [(start + n + first, np.full(len(start), n), what, how) for start, n, what, how in self._edges(chars, len(chars) - np.arange(len(chars)))]
+            end, back, piece, value = (np.concatenate(c) for c in zip(*found, strict=True))
+            order = np.lexsort((-back, end))  # longest first
+            order = order[end[order] > a]
+            end, back, piece, value = end[order], back[order], piece[order], value[order]
+            sums, base = sums[first - base:], first
+            per_node = np.bincount(end - a - 1, minlength=first + len(chars) - a)
+            share, backs, values, k = [], back.tolist(), value.tolist(), 0
+            for n_edges in per_node.tolist():
+                running, node = [], len(sums)
+                total = 0.0
+                for e in range(k, k + n_edges):
+                    total += sums[node - backs[e]] * values[e]
+                    running.append(total)
+                k += n_edges
+                share += [r / total for r in running[:-1]]
+                share.append(2.0)
+                sums.append(total)
+                if not 1e-60 < total < 1e60:
+                    sums[-self.longest:] = [x / total for x in sums[-self.longest:]]
+            self.first_edge.extend(self.share.n + np.cumsum(per_node) - per_node)
+            self.share.extend(np.array(share))
+            self.back.extend(back)
+            self.piece.extend(piece)
+
     def units(self, text: str) -> list[str]:
-        words = (" " + text).split(" ")[1:]
-        if max(map(len, words)) < UNIT_CHARS:
-            return [" " + w for w in words]
-        return [u[i:i + UNIT_CHARS] for w in words for u in (" " + w,) for i in range(0, len(u), UNIT_CHARS)]
+        text = " " + text
+        if not self.spaces_begin:
+            return [text]
+        return re.findall(" +[^ ]*", text) if "  " in text else [" " + w for w in text.split(" ")[1:]]
 
     def draw(self, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text. An empty text has no pieces."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.share.n > REMEMBERED_EDGES:
             self.forget()
         known, index, counts = self.known, [], np.zeros(len(texts), np.int64)
         before = len(known)
@@ -173,8 +212,17 @@ class PieceLattice:
                 index += [known.setdefault(u, len(known)) for u in units]
         if len(known) > before:
             new = list(islice(known, before, None))
-            for k in range(0, len(new), LEARNED_AT_ONCE):
-                self._learn(new[k:k + LEARNED_AT_ONCE])
+            order = sorted(range(len(new)), key=lambda k: len(new[k]) > UNIT_CHARS)  # long ones last
+            numbers = np.arange(len(known))
+            numbers[before + np.array(order)] = np.arange(before, len(known))
+            new = [new[k] for k in order]
+            known.update(zip(new, range(before, len(known)), strict=True))
+            index = numbers[index]
+            short = sum(len(u) <= UNIT_CHARS for u in new)
+            for k in range(0, short, LEARNED_AT_ONCE):
+                self._learn(new[k:min(short, k + LEARNED_AT_ONCE)])
+            for u in new[short:]:
+                self._learn_long(u)
         unit = np.array(index, np.int64)
         if not len(unit):
             return np.zeros(0, np.int32), counts

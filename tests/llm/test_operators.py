@@ -113,6 +113,53 @@ def test_pieces_are_drawn_with_their_odds():
         assert abs(seen[path] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-4
 
 
+def _odds(lattice, text):
+    """Each segmentation's odds, by all paths through the whole text's lattice."""
+    states = {lattice.bytes[p].decode(): (int(p), w) for p, w in zip(lattice.ends, lattice.weights, strict=True) if p >= 0}
+    paths = {}
+
+    def walk(rest, path, product):
+        if not rest:
+            paths[path] = product
+        for k in range(1, len(rest) + 1):
+            if rest[:k] in states:
+                walk(rest[k:], (*path, states[rest[:k]][0]), product * states[rest[:k]][1])
+
+    walk(" " + text, (), 1.0)
+    return {path: product / sum(paths.values()) for path, product in paths.items()}
+
+
+def test_runs_of_spaces_are_drawn_from_the_whole_lattice():
+    lattice, n = pieces.PieceLattice(PIECES), 20_000
+    ids, counts = lattice.draw(["the   x "] * n, pieces.row_seeds(list(range(n)), 7))
+    seen = defaultdict(int)
+    for a, b in zip(np.cumsum(counts) - counts, np.cumsum(counts), strict=True):
+        seen[tuple(ids[a:b].tolist())] += 1
+    odds = _odds(lattice, "the   x ")
+    assert set(seen) <= set(odds) and any(b"  " in lattice.bytes[i] for path in seen for i in path)
+    assert all(abs(seen[path] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-4 for path, p in odds.items())
+
+
+def test_long_units_are_drawn_from_one_lattice(monkeypatch):
+    word = "information" * 40
+    lattice, n = pieces.PieceLattice(PIECES), 2_000
+    ids, counts = lattice.draw([word] * n, pieces.row_seeds(list(range(n)), 7))
+    assert all(lattice.decode(ids[a:b].tolist()) == word.encode() for a, b in zip(np.cumsum(counts) - counts, np.cumsum(counts), strict=True))
+    sizes, over = np.array([len(b) for b in lattice.bytes]), 0
+    for a, b in zip(np.cumsum(counts) - counts, np.cumsum(counts), strict=True):
+        ends = np.cumsum(sizes[ids[a:b]])
+        over += not (ends == 32).any()
+    assert over > 0  # a piece reaches over the 32nd character
+    # filtered alone, in stretches, a unit has the shares that it has among others
+    short = pieces.PieceLattice(PIECES)
+    short._learn([" informationtheory中xx"])
+    monkeypatch.setattr(pieces, "STRETCH", 3)
+    alone = pieces.PieceLattice(PIECES)
+    alone._learn_long(" informationtheory中xx")
+    assert np.array_equal(short.piece.all, alone.piece.all) and np.array_equal(short.back.all, alone.back.all)
+    assert np.array_equal(short.first_edge.all[1:], alone.first_edge.all[1:]) and np.allclose(short.share.all, alone.share.all)
+
+
 def test_shards(spark, docs):
     def jump(key, n):
         key, b, j = key & (2**64 - 1), -1, 0
