@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.llm.shared import map_batches, stored
-from rateloom.llm.vectors import matrix, ranked, valid_vectors
+from rateloom.llm.vectors import dealt, matrix, ranked, valid_vectors
 
 SCALE = 64.0
 #: Vectors that the rotation is found on; longest candidates that set the first thresholds.
@@ -102,14 +102,14 @@ def largest_products(df: DataFrame, is_query, k: int = 20, id_column: str = "vec
     """query_id, rank, vec_id, score: each query's k highest inner products of whole numbers floor(scale * x), exactly.
 
     Queries are the rows for which ``is_query(vec_id)`` holds; all other rows are candidates. Missing vectors, those that
-    hold missing, infinite or undefined numbers (also after scaling) and rows without an id take no part; of rows with one
-    id the least vector does; shorter vectors, also empty ones, end in zeros. Equal scores are ranked by id. Scores beyond
+    hold missing, infinite or undefined numbers (also after scaling) and rows without an id take no part; rows with one
+    id all do, but not with each other; shorter vectors, also empty ones, end in zeros. Equal scores are ranked by id. Scores beyond
     a long's range are set to its end.
 
     Blocks hold equal numbers of candidates by length; where many have one length, a block is dealt to several tasks.
     """
     spark = df.sparkSession
-    vectors = valid_vectors(df, id_column, vector_column, lambda x: floored(x * scale))
+    vectors = valid_vectors(df, id_column, vector_column, k, lambda x: floored(x * scale))
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
     vectors = stored(vectors.withColumn("length", length), "whole")
     shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width")).first()
@@ -118,7 +118,7 @@ def largest_products(df: DataFrame, is_query, k: int = 20, id_column: str = "vec
         return empty
     width, n = max(1, shape["width"]), shape["n"]
     share = int((1 << 20) * min(1.0, SAMPLE_VECTORS / n)) + 1
-    got = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < share).limit(2 * SAMPLE_VECTORS).toArrow()
+    got = vectors.where(dealt("vec_id", "vector", 1 << 20) < share).limit(2 * SAMPLE_VECTORS).toArrow()
     order = np.argsort(np.asarray(got.column("vec_id")))
     turn = rotation(matrix(got.column("vector"), width)[order])
     steps = min(1000, -(-n // BLOCK))
@@ -154,9 +154,9 @@ def largest_products(df: DataFrame, is_query, k: int = 20, id_column: str = "vec
                         names=["bucket", "part", "query_id", "floor", "query"])
 
     right = map_batches(queries.select("vec_id", "vector"), asked, "bucket int, part int, query_id long, floor double, query array<double>", 1024)
-    right = right.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    right = right.withColumn("block", dealt("query_id", "query", blocks))
     left = placed.join(sizes.select("bucket", "parts"), "bucket").select(
-        "bucket", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"),
+        "bucket", dealt("vec_id", "vector", F.col("parts")).alias("part"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "vector")
 
     def meet(some: pa.Table, asking: pa.Table) -> pa.Table:

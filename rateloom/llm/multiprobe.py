@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.llm.shared import lists, map_batches, stored
-from rateloom.llm.vectors import best, matrix, ranked, valid_vectors
+from rateloom.llm.vectors import best, dealt, matrix, ranked, valid_vectors
 
 TABLES, PROJECTIONS, WIDTH = 6, 8, 1.5
 #: How many buckets a table's visit may take, tried in this order on the sample until it reaches the recall.
@@ -114,9 +114,10 @@ def fit(vectors: DataFrame, k: int, recall: float = RECALL, seed: int = 7) -> Pr
     if not shape["n"]:
         return None
     share = min(1.0, SAMPLE_VECTORS / shape["n"])
-    got = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(2 * SAMPLE_VECTORS).toArrow()
-    order = np.argsort(np.asarray(got.column("vec_id")))
-    x = matrix(got.column("vector"), shape["width"])[order]
+    got = vectors.where(dealt("vec_id", "vector", 1 << 20) < int(share * (1 << 20)) + 1).limit(2 * SAMPLE_VECTORS).toArrow()
+    ids, x = np.asarray(got.column("vec_id")), matrix(got.column("vector"), shape["width"])
+    order = np.lexsort((*x.T, ids))
+    ids, x = ids[order], x[order]
     rng = np.random.default_rng(seed)
     index = ProbeIndex(rng.normal(size=(TABLES, shape["width"] + 1, PROJECTIONS)), rng.uniform(0, WIDTH, (TABLES, PROJECTIONS)),
                        shape["longest"], PROBES[-1])
@@ -124,15 +125,18 @@ def fit(vectors: DataFrame, k: int, recall: float = RECALL, seed: int = 7) -> Pr
         return index
     asked = np.sort(rng.permutation(len(x))[:SAMPLE_QUERIES])
     scores = x[asked] @ x.T
-    scores[np.arange(len(asked)), asked] = -np.inf
+    scores[ids[asked][:, None] == ids[None, :]] = -np.inf
     wanted = np.argpartition(-scores, min(k, len(x) - 1) - 1, axis=1)[:, :min(k, len(x) - 1)]
+    others = np.take_along_axis(scores, wanted, 1) > -np.inf
+    if not others.any():
+        return index
     tables = [np.unique(index.codes(np.floor(index.slabs(t, index.lifted(x)))), return_inverse=True) for t in range(TABLES)]
     table = probe_order(PROJECTIONS, PROBES[-1])
     for index.probes in PROBES:
         met = np.zeros(scores.shape, bool)
         for t in range(TABLES):
             met |= _visited(*tables[t], index.visits(t, x[asked], table[:index.probes]))
-        index.sample_recall = float(np.take_along_axis(met, wanted, 1).mean())
+        index.sample_recall = float(np.take_along_axis(met, wanted, 1)[others].mean())
         if index.sample_recall >= recall:
             index.exact = False
             break
@@ -144,17 +148,17 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vec
     wherever there are as many others.
 
     Queries are the rows for which ``is_query(vec_id)`` holds. Missing and zero vectors, those holding missing, infinite or
-    undefined numbers, and rows without an id take no part; of rows with one id the least vector does; shorter vectors end
+    undefined numbers, and rows without an id take no part; rows with one id all do, but not with each other; shorter vectors end
     in zeros. Equal scores are ranked by id. Every vector is in the index; only the number of probes is fitted on a sample.
 
-    Vectors carry their bucket of every table. They are dealt to parts of bounded size by a hash of the id, the queries to
+    Vectors carry their bucket of every table. They are dealt to parts of bounded size by a hash of id and vector, the queries to
     blocks, and each block meets each part in a task. What the tables find is merged there, so a vector that several tables
     find is scored once, and copies or clusters, which fill a bucket, burden no task more than others. A query that meets
     fewer than k vectors of a part scores all of the part; all queries do if the sample's recall stays too low.
     """
     spark = df.sparkSession
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    vectors = stored(valid_vectors(df, id_column, vector_column).withColumn("length", length).where("length > 0"), "vectors")
+    vectors = stored(valid_vectors(df, id_column, vector_column, k).withColumn("length", length).where("length > 0"), "vectors")
     index = fit(vectors, k)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -174,8 +178,8 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vec
         return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
 
     indexed = stored(map_batches(vectors.select("vec_id", "vector"), hashed, "vec_id long, vector array<double>, codes array<double>", 4096), "buckets")
-    left = indexed.select(F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"), every(blocks).alias("block"), "vec_id", "vector", "codes")
-    right = queries.select(every(parts).alias("part"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "query_id", "query")
+    left = indexed.select(dealt("vec_id", "vector", parts).alias("part"), every(blocks).alias("block"), "vec_id", "vector", "codes")
+    right = queries.select(every(parts).alias("part"), dealt("query_id", "query", blocks).alias("block"), "query_id", "query")
 
     def meet(some: pa.Table, asking: pa.Table) -> pa.Table:
         ids, x = np.asarray(some.column("vec_id")), matrix(some.column("vector"), width)

@@ -12,17 +12,18 @@ def finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
 
 
-def valid_vectors(df: DataFrame, id_column: str, vector_column: str, change=None) -> DataFrame:
+def valid_vectors(df: DataFrame, id_column: str, vector_column: str, k: int, change=None) -> DataFrame:
     """vec_id, vector (doubles) of rows that have an id and a vector of finite numbers, after ``change`` of each number.
 
-    Of rows with the same id one is kept, the one with the least vector.
+    Rows with the same id all stay. Of rows that are the same in id and vector k stay at most: more can't be among the k best.
     """
     vector = F.col(vector_column).cast("array<double>")
     if change is not None:
         vector = F.transform(vector, change)
     rows = df.select(F.col(id_column).cast("long").alias("vec_id"), vector.alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & F.forall("vector", finite))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    copies = rows.groupBy("vec_id", "vector").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("copies"))
+    return copies.select("vec_id", "vector", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
@@ -39,11 +40,15 @@ def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return out
 
 
+def dealt(id_column: str, vector_column: str, parts: Column | int) -> Column:
+    """A part for each row, by id and vector, so that many rows of one id go to several."""
+    return F.pmod(F.xxhash64(id_column, vector_column), F.lit(parts) if isinstance(parts, int) else parts).cast("int")
+
+
 def ranked(found: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score: the k highest scores of each query, ties to the smaller id."""
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    """query_id, rank, vec_id, score: the k highest scores of each query, ties to the smaller id. Every found pair of rows counts."""
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:

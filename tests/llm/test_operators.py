@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rateloom.llm import inner_products, licenses, mixing, multiprobe, near_duplicates, pieces, quality, sharding, token_files, toxicity
-from rateloom.llm.queries import QUERIES
+from rateloom.llm.queries import ORACLE, QUERIES
 from rateloom.llm.shared import fresh_path
 
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -233,6 +233,30 @@ def test_multiprobe_recall(spark):
     assert multiprobe.nearest(df.where("vec_id = 904"), lambda c: c % 20 == 0).count() == 0
 
 
+def test_repeated_ids_are_all_candidates(spark):
+    import duckdb
+
+    rng = np.random.default_rng(9)
+    rows = [(int(i), rng.normal(size=8).tolist()) for i in rng.integers(0, 90, 400)]
+    rows += [rows[5]] * 30 + [(20, rows[6][1])] * 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    embeddings = df.toArrow()  # noqa: F841  the SQL reads it by its name
+    want = duckdb.sql(ORACLE["op3_inner_products"]).fetchall()
+    got = inner_products.largest_products(df, lambda c: c % 20 == 0, 20).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    vectors, best = [(i, np.array(v)) for i, v in rows], defaultdict(list)
+    for a, x in vectors:
+        if a % 20 == 0:
+            best[a] += [(float((x * y).sum()), -b) for b, y in vectors if b != a]
+    found = defaultdict(list)
+    for r in multiprobe.nearest(df, lambda c: c % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.score, -r.vec_id))
+    assert set(found) == set(best)
+    for q, pairs in best.items():
+        near = sorted(pairs, reverse=True)[:20]
+        assert len(found[q]) == 20 and abs(found[q][0][0] - near[0][0]) < 1e-9 and np.mean([a[0] >= near[-1][0] - 1e-9 for a in found[q]]) >= 0.9
+
+
 def _found(df):
     got = defaultdict(list)
     for r in multiprobe.nearest(df, lambda c: c % 20 == 0, 20).orderBy("query_id", "rank").collect():
