@@ -407,5 +407,64 @@ def test_pipeline_stages(spark):
     assert out.where("lossless").count() == docs.count() > 100
 
 
+def _least_of_components(rows):
+    sets = []
+    for r in rows:
+        w = (r.text or "").encode().lower().split()
+        sets.append({tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    least = [r.doc_id for r in rows]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 75 * len(a | b) and least[i] != least[j]:
+                low, high = sorted((least[i], least[j]))
+                least = [low if x == high else x for x in least]
+    return [r for r, a, x in zip(rows, sets, least, strict=True) if not a or x == r.doc_id]
+
+
+def test_pipeline_stages_against_plain_versions(spark, tmp_path):
+    import duckdb
+
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = given.orderBy("doc_id").collect()
+    names = [n for n in given.columns if n not in ("doc_id", "text")]
+    for i, r in enumerate(rows[:60]):  # exact and near copies, by turns, and texts without words
+        text = r.text if i % 2 else f"{r.text} {i}"
+        rows.append(r.asDict() | {"doc_id": 10**6 + i, "text": text if i % 20 else ""})
+    rows = [(r["doc_id"], r["text"], *(r[n] for n in names)) for r in rows]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} {dict(given.dtypes)[n]}" for n in names)
+    sf = str(tmp_path)
+    spark.createDataFrame(rows, schema).write.parquet(f"{sf}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{sf}/labels.parquet")
+    labels, docs = spark.read.parquet(f"{sf}/labels.parquet"), spark.read.parquet(f"{sf}/documents.parquet")
+
+    def after(number):
+        path = fresh_path(spark, f"test-{number}")
+        corpus_pipeline.STAGES[number][1](spark, docs, sf).write.parquet(path)
+        return spark.read.parquet(path)
+
+    def same(got, want):
+        assert sorted(map(str, got)) == sorted(map(str, want)) and want
+
+    for number, (score, stays) in enumerate(((toxicity.score_toxicity, lambda s: s < 0.5), (quality.score_quality, lambda s: s >= 0.7))):
+        scores = {r.doc_id: r.score for r in score(docs, labels).collect()}
+        kept = after(number)
+        same(kept.collect(), [r for r in docs.collect() if stays(scores[r.doc_id])])
+        docs = kept
+    kept, before = after(2), docs.orderBy("doc_id").collect()
+    same(kept.collect(), want := _least_of_components(before))
+    assert len(want) < len(before)
+    docs = kept
+    documents = docs.toArrow()  # noqa: F841  the SQL reads it by its name
+    copies = {r[0]: r[-1] for r in duckdb.sql(ORACLE["op2_source_mix"]).fetchall()}
+    mixed = after(3)
+    same(mixed.collect(), [r for r in docs.collect() for _ in range(copies[r.doc_id])])
+    docs, lattice, want = mixed, pieces.PieceLattice(PIECES), []
+    for r in docs.collect():
+        ids = lattice.draw([r.text or ""], pieces.row_seeds([r.doc_id], 7))[0]
+        want.append((r.doc_id, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), True, ids.tolist()))
+    same([tuple(r) for r in after(4).collect()], want)
+    same([tuple(r) for r in corpus_pipeline.run(spark, sf).collect()], want)
+
+
 def test_ten_queries_are_registered():
     assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
