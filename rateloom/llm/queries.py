@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
-
-from rateloom.llm import inner_products, licenses, mixing, multiprobe, near_duplicates, pieces, quality, sharding, token_files, toxicity
+from pyspark.sql import functions as F
+
+from rateloom.llm import (
+    exact_duplicates,
+    filter_audit,
+    inner_products,
+    licenses,
+    mixing,
+    multiprobe,
+    near_duplicates,
+    periodic_runs,
+    pieces,
+    quality,
+    sharding,
+    token_files,
+    toxicity,
+)
 from rateloom.llm.shared import fresh_path, table
 
 NEIGHBOURS, EVERY = 20, 20
@@ -59,14 +75,45 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def tail_repeated(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In about a tenth of the documents, by their id, the words from some place on repeat the first of them. Rows without an
+    id are left as they are."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * (-(-(n - a) // p)))[:n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=tail_repeated)
+    best = F.aggregate("runs", F.col("runs")[0], lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = F.when(F.size("runs") > 0, best)
+    return runs.withColumns({"best": best, "n_runs": F.size("runs").cast("long")}).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_multiprobe_neighbours, op2_source_mix, op3_inner_products, op4_sentencepiece, op5_licenses, op6_toxicity,
-        op7_token_files, op8_jaccard_join, op9_quality, op10_shards)
+        op7_token_files, op8_jaccard_join, op9_quality, op10_shards, op11_periodic_runs, op12_filter_audit, op13_exact_duplicates)
 }
 
 #: The others are not SQL: 1 finds approximately; 4, 6 and 9 draw or learn; 5 matches with errors; 7 needs the tokenizer
-#: and, like 10, a crc32. Their tests compare them with plain versions.
+#: and, like 10 and 11, a crc32. Their tests compare them with plain versions.
 ORACLE = {
     "op2_source_mix": r"""
 WITH sizes AS (
@@ -135,5 +182,40 @@ links AS (
 reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = sets.doc_id), doc_id)) AS component_id
 FROM sets
+""",
+    "op12_filter_audit": r"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts),
+firsts AS (SELECT t, min(doc_id) AS least FROM texts GROUP BY t),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+masked AS (
+  SELECT part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+    + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, false)::INT AS mask,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM words JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)),
+counted AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM masked GROUP BY part, mask),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(l, v)),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.v, b.v, c.v, d.v, e.v] AS vs
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.v | b.v | c.v | d.v | e.v = 31),
+steps AS (SELECT filter_order, s::INT AS step, vs[s] AS own, coalesce(list_sum(vs[1:s - 1]), 0)::INT AS before FROM orders, range(1, 6) r(s)),
+summed AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (mask & (before | own) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & before <> 0 AND mask & own <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+    coalesce(sum(g) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(x) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS toxic_lost
+  FROM counted, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM summed
+""",
+    "op13_exact_duplicates": r"""
+WITH texts AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256 FROM texts
 """,
 }

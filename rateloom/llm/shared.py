@@ -61,10 +61,27 @@ def ship_package(spark: SparkSession) -> None:
 
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
                 batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """``mapInArrow`` with small batches."""
+    """``mapInArrow`` whose function sees batches of at most ``batch_rows`` rows, however Spark sends them."""
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return function(b.slice(k, batch_rows) for b in batches for k in range(0, max(1, b.num_rows), batch_rows))
+
     ship_package(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(sliced, schema)
+
+
+_HELD: dict = {}
+
+
+def held(owner: str, key, make: Callable):
+    """What a worker keeps from task to task for the operator at work. When another operator begins in the worker, the
+    earlier one's is dropped, so that in a pipeline they don't add up."""
+    if _HELD.get("owner") != owner:
+        _HELD.clear()
+        _HELD["owner"] = owner
+    if key not in _HELD:
+        _HELD[key] = make()
+    return _HELD[key]
 
 
 def id_text(column: str = "doc_id") -> Column:
