@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.coverages import LOSS_COVERAGES, PREMIUM_COVERAGES, named
@@ -41,7 +41,7 @@ def developed_losses(
     losses: DataFrame,
     ibnr: DataFrame,
     orphan_losses: str = "drop",
-    earned_as_of: date | None = None,
+    earned_as_of: date | Column | None = None,
 ) -> DataFrame:
     """As-of cut, claims to vehicle-terms, IBNR."""
     return develop(ibnr, loss_by_vehicle(losses_as_of(losses, premium, earned_as_of)), orphan_losses)
@@ -53,7 +53,7 @@ def premium_loss_base(
     ibnr: DataFrame,
     orphan_losses: str = "drop",
     keep: tuple[str, ...] = (),
-    earned_as_of: date | None = None,
+    earned_as_of: date | Column | None = None,
     earned_from: DataFrame | None = None,
 ) -> DataFrame:
     """Every premium row with its developed and capped losses and its sales channel.
@@ -72,3 +72,26 @@ def premium_loss_base(
     return with_caps(joined.withColumn("FinanceChannel", channel(F.col("FinanceChannel_F")))).selectExpr(
         *carried, *LOSS_COLUMNS, "FinanceChannel"
     )
+
+
+#: A stored base is dealt into folders by this column: year and month of the term's start, as 201609. Terms without a start,
+#: and those that expire before they start, which a window may reach from either side, are in a folder of their own.
+START_MONTH = "StartMonth"
+
+
+def by_month(base: DataFrame) -> DataFrame:
+    """The base with START_MONTH, in ranges of month and vehicle-term: a month's files are as many as its rows fill, and a
+    month that holds most rows is spread over several tasks."""
+    start, expiry = F.col("PolicyTermStartEffDate").cast("date"), F.col("PolicyTermExpirationEffDate").cast("date")
+    month = F.when(expiry < start, None).otherwise(F.year(start) * 100 + F.month(start)).cast("int")
+    return base.withColumn(START_MONTH, month).repartitionByRange(START_MONTH, "VehicleTermKey").sortWithinPartitions(
+        START_MONTH, "VehicleTermKey")
+
+
+def in_months(base: DataFrame, first: date, end: date) -> DataFrame:
+    """Rows of a base by month that start from ``first`` on and, or expire, before ``end``; other months are not read."""
+    if START_MONTH not in base.columns:
+        return base
+    month = F.col(START_MONTH)
+    within = month.between(first.year * 100 + first.month, end.year * 100 + end.month)
+    return base.where(month.isNull() | within).drop(START_MONTH)

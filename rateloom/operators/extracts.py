@@ -5,11 +5,11 @@ Each one is a lazy DataFrame; filters and the column list reach the scans.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.coverages import IBNR_COVERAGES, PREMIUM_COVERAGES, named, source_column
@@ -19,27 +19,26 @@ from rateloom.sources.tables import require_columns
 HISTORY_START = date(2015, 1, 1)
 VEHICLE_KEY = ["JobID", "VehicleFixedID"]
 
-# Columns of the premium extract that keep their warehouse name or get another one.
-# Those the run does not need may be absent from the source.
+# Columns of the premium extract and their names there, those of the premium table first. The others stand
+# without a table's name in the rules: they belong to whichever of the two tables has them.
 _PM_RENAMES = {
     "PolicyTermKey": "PolicyTermKey",
     "VehicleTermKey": "VehicleTermKey",
     "PolicyNumber": "OrigCorePolicyNumber",
     "PeriodStart": "PolicyTermStartEffDate",
     "PeriodEnd": "PolicyTermExpirationEffDate",
+    "state": "PolicyStateCode",
+    "JobID": "TransactionJobID",
+    "VehicleFixedID": "SourceSystemVehicleID",
+}
+_FREE_RENAMES = {
     "TermType": "TermType",
     "UpdateTime": "TransactionDateTime",
     "CancelReason_F": "CancelReason_F",
     "CancellationDate": "CancellationDate",
-    "state": "PolicyStateCode",
     "Retained6Months": "Retained6Months",
     "Retained12Months": "Retained12Months",
-    "JobID": "TransactionJobID",
-    "VehicleFixedID": "SourceSystemVehicleID",
-}
-_REPORTING_RENAMES = {
     "FinanceChannel_F": "FinanceChannel_F",
-    "PolicyStateCode_F": "PolicyStateCode_F",
     "VehicleCount": "VehicleCount",
     "PrimaryDriverAge": "PrimaryDriverAge",
     "PrimaryDriverGender": "PrimaryDriverGender",
@@ -50,37 +49,70 @@ _REPORTING_RENAMES = {
     "OptionalCoverage_F": "OptionalCoverageType",
     "DownPaymentsMonthNumber": "DownPaymentMonthsNumber",
 }
+# What the rules need of them.
+_FREE_REQUIRED = ("TermType", "CancelReason_F", "CancellationDate", "MaxLoadDate", "Retained6Months", "FinanceChannel_F", "VehicleCount")
+
+
+class ColumnOwners:
+    """Finds the table that a column without a table's name belongs to, by the schemas, ignoring case.
+
+    A column that several of the tables have is an error as soon as it is asked for, as it would be in SQL.
+    """
+
+    def __init__(self, **tables: DataFrame):
+        self.columns = {alias: {c.lower() for c in df.columns} for alias, df in tables.items()}
+
+    def find(self, column: str) -> str | None:
+        """``alias.column``, or None where no table has it."""
+        having = [alias for alias, columns in self.columns.items() if column.lower() in columns]
+        if len(having) > 1:
+            raise ValueError(f"column {column} is ambiguous: {' and '.join(having)} have it")
+        return f"{having[0]}.{column}" if having else None
 
+    def of(self, column: str) -> str:
+        """``alias.column``; raises where no table has it."""
+        found = self.find(column)
+        if found is None:
+            raise ValueError(f"none of {', '.join(self.columns)} has the column {column}")
+        return found
 
-def _renamed(df: DataFrame, alias: str, renames: dict[str, str]) -> list[str]:
-    present = set(df.columns)
-    return [f"{alias}.{src} AS {dst}" for src, dst in renames.items() if src in present]
+    def require(self, columns: Sequence[str]) -> None:
+        missing = [c for c in columns if self.find(c) is None]
+        if missing:
+            raise ValueError(f"none of {', '.join(self.columns)} has the columns {missing}")
 
 
 def premium_extract(pm: DataFrame, reporting: DataFrame, history_start: date | str = HISTORY_START) -> DataFrame:
-    """Bound vehicle-terms with reporting attributes, coverages under their own codes."""
-    own = {k: v for k, v in _REPORTING_RENAMES.items() if k in pm.columns}
-    attributes = {k: v for k, v in _REPORTING_RENAMES.items() if k not in own}
-    written = [f"pm.{source_column('WP', cov)}" for cov in PREMIUM_COVERAGES]
-    columns = _renamed(pm, "pm", {**_PM_RENAMES, **own}) + _renamed(reporting, "pf", attributes)
-    if "PolicyNumber" in pm.columns:
+    """Bound vehicle-terms with reporting attributes, coverages under their own codes.
+
+    Columns that the rules name without a table are taken from the one that has them (``ColumnOwners``).
+    """
+    owners = ColumnOwners(pm=pm, pf=reporting)
+    owners.require(_FREE_REQUIRED)
+    free = {owners.find(source): name for source, name in _FREE_RENAMES.items()}
+    present = {c.lower() for c in pm.columns}
+    columns = [f"pm.{source} AS {name}" for source, name in _PM_RENAMES.items() if source.lower() in present]
+    columns += [f"{source} AS {name}" for source, name in free.items() if source]
+    if "policynumber" in present:
         columns.append("pm.PolicyNumber AS CorePolicyNumber")
+    written = [f"pm.{source_column('WP', cov)}" for cov in PREMIUM_COVERAGES]
     columns += [
+        "pf.PolicyStateCode_F AS PolicyStateCode_F",
         "year(pm.PeriodStart) AS UWYear",
         "pm.TransactionType AS TransactionType",
-        "pm.MaxLoadDate AS EarnedAsOfDate",
-        "pm.MaxLoadDate AS RetainedAsOfDate",
+        f"{owners.of('MaxLoadDate')} AS EarnedAsOfDate",
+        f"{owners.of('MaxLoadDate')} AS RetainedAsOfDate",
         f"{' + '.join(written)} AS WP_Total",
         "0 AS WE_TOTAL",
-        "coalesce(pm.EP_TOTAL, 0) AS EP_TOTAL",
+        f"coalesce({owners.of('EP_TOTAL')}, 0) AS EP_TOTAL",
     ]
     for cov, wp in zip(PREMIUM_COVERAGES, written):
         columns += [
             f"{wp} AS WP_{cov}",
-            f"IF({wp} > 0, 1, 0) AS WE_{cov}",
-            f"coalesce(pm.{source_column('EP', cov)}, 0) AS EP_{cov}",
-            f"pm.{source_column('CLEP', cov)} AS CLEP_{cov}",
-            f"pm.{source_column('EE', cov)} AS EE_{cov}",
+            f"IF({owners.of(source_column('WP', cov))} > 0, 1, 0) AS WE_{cov}",
+            f"coalesce({owners.of(source_column('EP', cov))}, 0) AS EP_{cov}",
+            f"{owners.of(source_column('CLEP', cov))} AS CLEP_{cov}",
+            f"{owners.of(source_column('EE', cov))} AS EE_{cov}",
         ]
     bound = (F.col("BoundIndicator") == 1) & (F.col("PeriodStart") >= F.lit(history_start).cast("date"))
     joined = pm.where(bound).alias("pm").join(
@@ -133,21 +165,37 @@ def _versions_by_vehicle(rating_sup: DataFrame, dim_quote: DataFrame, history_st
     return rating_sup.select(*VEHICLE_KEY, "QuoteID", "QuoteVersionKey", *extra).join(versions, "QuoteVersionKey")
 
 
-def quote_extract(
-    pm: DataFrame,
+_FACTOR = "factor_"  # before the names of factors among the columns of quoted vehicles
+
+
+def quoted_vehicles(
     reporting: DataFrame,
     rating: DataFrame,
     rating_sup: DataFrame,
     dim_quote: DataFrame,
-    history_start: date | str = HISTORY_START,
+    quoted_from: date | str = HISTORY_START,
+    factors: Sequence[str | Factor] = (),
 ) -> DataFrame:
-    """Quoted vehicles with their quote version, channel and quoted premium per coverage."""
-    written = [f"{source_column('WP', cov)} AS WP_{cov}" for cov in PREMIUM_COVERAGES]
+    """Vehicles with a kept quote version from ``quoted_from`` on, what they were quoted, and rating factors.
+
+    The quote extract and the quote factors both start from these rows, so where both are wanted the rows can be stored
+    once; either alone reads only its own columns.
+    """
+    columns = _factor_columns(reporting, rating, rating_sup, factors)
+    written = [F.col(source_column("WP", cov)).alias(f"WP_{cov}") for cov in PREMIUM_COVERAGES]
+    reported = [c for c in ("FinanceChannel_F", "VehicleCount") if c in reporting.columns]
     return (
-        _versions_by_vehicle(rating_sup, dim_quote, history_start)
-        .join(rating.selectExpr(*VEHICLE_KEY, *written), VEHICLE_KEY)
+        _versions_by_vehicle(rating_sup, dim_quote, quoted_from, columns["supplement"])
+        .join(rating.select(*VEHICLE_KEY, *written, *columns["rating"]), VEHICLE_KEY)
+        .join(reporting.select(*VEHICLE_KEY, "BoundIndicator", *reported, *columns["reporting"]), VEHICLE_KEY)
+    )
+
+
+def quotes_of(vehicles: DataFrame, pm: DataFrame, history_start: date | str = HISTORY_START) -> DataFrame:
+    """The quote extract from ``quoted_vehicles`` and the premium table."""
+    return (
+        vehicles.where(F.col("QuoteVersionDateTime") >= F.lit(history_start).cast("date"))
         .join(pm.selectExpr(*VEHICLE_KEY, "state", "year(PeriodStart) AS UWYear"), VEHICLE_KEY)
-        .join(reporting.select(*VEHICLE_KEY, "FinanceChannel_F", "VehicleCount"), VEHICLE_KEY)
         .withColumn("FinanceChannel", channel(F.col("FinanceChannel_F")))
         .selectExpr(
             "JobID AS RowKey",
@@ -163,55 +211,81 @@ def quote_extract(
     )
 
 
+def factors_of(vehicles: DataFrame, factors: Sequence[str | Factor], constants: dict[str, object] | None = None,
+               quoted_from: date | str = HISTORY_START) -> DataFrame:
+    """The quote factors from ``quoted_vehicles`` that were made with these factors."""
+    fixed = [F.lit(value).alias(name) for name, value in (constants or {}).items()]
+    unbound = (F.col("BoundIndicator") == 0) & (F.col("QuoteVersionDateTime") >= F.lit(quoted_from).cast("date"))
+    return vehicles.where(unbound).select(
+        F.col("JobID").alias("RowKey"), F.col("VehicleFixedID").alias("VehicleKey"),
+        *[F.col(_FACTOR + name).alias(name) for name in factor_names(factors)], *fixed,
+    )
+
+
+def quote_extract(
+    pm: DataFrame,
+    reporting: DataFrame,
+    rating: DataFrame,
+    rating_sup: DataFrame,
+    dim_quote: DataFrame,
+    history_start: date | str = HISTORY_START,
+) -> DataFrame:
+    """Quoted vehicles with their quote version, channel and quoted premium per coverage."""
+    return quotes_of(quoted_vehicles(reporting, rating, rating_sup, dim_quote, history_start), pm, history_start)
+
+
 @dataclass(frozen=True)
 class Factor:
-    """A rating factor: its name, a SQL expression over one rating table, and that table's name.
+    """A rating factor: its name, an expression over one rating table, and that table's name.
 
-    Without an expression it is the column of that name; without an owner, the one table that has the column.
+    The expression is SQL text, or a function of a column such as ``band``, applied to the column ``source``. Without an
+    expression it is the column of that name; without an owner, the one table that has the column.
     """
 
     name: str
-    expression: str | None = None
+    expression: str | Callable[[Column], Column] | None = None
     owner: str | None = None
+    source: str | None = None
+
+    @property
+    def column(self) -> Column:
+        if callable(self.expression):
+            return self.expression(F.col(self.source or self.name))
+        return F.expr(self.expression or f"`{self.name}`")
 
 
 def factor_names(factors: Sequence[str | Factor]) -> list[str]:
     return [f.name if isinstance(f, Factor) else f for f in factors]
 
 
-def _rating_rows(reporting, rating, rating_sup, factors, bound):
-    """Reporting, rating and supplement rows of the same vehicle with the chosen factors."""
+def _factor_columns(reporting: DataFrame, rating: DataFrame, rating_sup: DataFrame, factors) -> dict[str, list[Column]]:
+    """The chosen factors by the table that has them, named as columns of their own."""
     owners = {"reporting": reporting, "rating": rating, "supplement": rating_sup}
     factors = [f if isinstance(f, Factor) else Factor(f) for f in factors]
-    unowned = [f.name for f in factors if f.owner not in owners and (f.owner or f.expression)]
+    unowned = [f.name for f in factors if f.owner not in owners and (f.owner or (f.expression and not f.source))]
     if unowned:
         raise ValueError(f"factors need one of {list(owners)} as owner: {unowned}")
-    found = {f.name: [f.owner] if f.owner else [name for name, df in owners.items() if f.name in df.columns] for f in factors}
+    found = {f.name: [f.owner] if f.owner else [name for name, df in owners.items() if (f.source or f.name) in df.columns] for f in factors}
     missing = [f for f, names in found.items() if not names]
     if missing:
         raise ValueError(f"no rating table has the factors {missing}")
     ambiguous = {f: names for f, names in found.items() if len(names) > 1}
     if ambiguous:
         raise ValueError(f"factors in more than one rating table: {ambiguous}; name their owner")
-
-    def of(name):
-        return [F.expr(f.expression or f"`{f.name}`").alias(f.name) for f in factors if found[f.name] == [name]]
-
-    vehicles = reporting.where(F.col("BoundIndicator") == bound).select(
-        "VehicleTermKey", *VEHICLE_KEY, *of("reporting")
-    )
-    return (
-        vehicles.join(rating.select(*VEHICLE_KEY, *of("rating")), VEHICLE_KEY),
-        of("supplement"),
-    )
+    return {name: [f.column.alias(_FACTOR + f.name) for f in factors if found[f.name] == [name]] for name in owners}
 
 
 def premium_factors(
     reporting: DataFrame, rating: DataFrame, rating_sup: DataFrame, factors: Sequence[str | Factor]
 ) -> DataFrame:
     """Rating factors of bound vehicle-terms, keyed by VehicleTermKey."""
-    rows, from_sup = _rating_rows(reporting, rating, rating_sup, factors, bound=1)
-    return rows.join(rating_sup.select(*VEHICLE_KEY, *from_sup), VEHICLE_KEY).select("VehicleTermKey", *factor_names(factors))
+    columns = _factor_columns(reporting, rating, rating_sup, factors)
+    rows = (
+        reporting.where(F.col("BoundIndicator") == 1).select("VehicleTermKey", *VEHICLE_KEY, *columns["reporting"])
+        .join(rating.select(*VEHICLE_KEY, *columns["rating"]), VEHICLE_KEY)
+        .join(rating_sup.select(*VEHICLE_KEY, *columns["supplement"]), VEHICLE_KEY)
+    )
+    return rows.select("VehicleTermKey", *[F.col(_FACTOR + name).alias(name) for name in factor_names(factors)])
 
 
 def quote_factors(
@@ -227,12 +301,9 @@ def quote_factors(
 
     ``constants`` stands in for factors that quotes do not have.
     """
-    rows, from_sup = _rating_rows(reporting, rating, rating_sup, factors, bound=0)
-    versions = _versions_by_vehicle(rating_sup, dim_quote, quoted_from, from_sup)
-    fixed = [F.lit(value).alias(name) for name, value in (constants or {}).items()]
-    return rows.join(versions, VEHICLE_KEY).select(
-        F.col("JobID").alias("RowKey"), F.col("VehicleFixedID").alias("VehicleKey"), *factor_names(factors), *fixed
-    )
+    unbound = reporting.where(F.col("BoundIndicator") == 0)
+    vehicles = quoted_vehicles(unbound, rating, rating_sup, dim_quote, quoted_from, factors)
+    return factors_of(vehicles, factors, constants, quoted_from)
 
 
 def standardise_premium(premium: DataFrame) -> DataFrame:

@@ -13,10 +13,10 @@ ROW_WEIGHT = "RowWeight"
 ADJUSTMENT_KEY = ("PrimAge", "PrimGen", "State", "YearsLic", "YNPMainVehicle", "YNP_Group")
 
 
-def attach_factors(base: DataFrame, factors: DataFrame, key: str | list[str] = "VehicleTermKey") -> DataFrame:
-    """Base rows that have factors, with them. Meant for a key that is unique in ``factors``."""
+def attach_factors(base: DataFrame, factors: DataFrame, key: str | list[str] = "VehicleTermKey", how: str = "inner") -> DataFrame:
+    """Base rows that have factors, with them; all base rows with ``how="left"``. Meant for a key that is unique in ``factors``."""
     _require_new_names(base, factors, key)
-    return base.join(factors, key, "inner")
+    return base.join(factors, key, how)
 
 
 def _require_new_names(base: DataFrame, factors: DataFrame, key) -> None:

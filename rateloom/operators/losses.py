@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,12 +13,13 @@ from rateloom.functions.measures import capped, distinct_with_null, strict_sum
 from rateloom.functions.recode import coverage_code
 
 INCURRED = "NetPaidClaims + NetCaseReserves"
-TOTAL = "TOTAL"
 
 
-def losses_as_of(losses: DataFrame, premium: DataFrame, earned_as_of: date | None = None) -> DataFrame:
+def losses_as_of(losses: DataFrame, premium: DataFrame, earned_as_of: date | Column | None = None) -> DataFrame:
     """Transactions up to the latest earned day of the premium table, looked up if not given."""
-    last_earned = F.lit(earned_as_of) if earned_as_of else premium.agg(F.max("EarnedAsOfDate")).scalar()
+    if earned_as_of is None:
+        earned_as_of = premium.agg(F.max("EarnedAsOfDate")).scalar()
+    last_earned = earned_as_of if isinstance(earned_as_of, Column) else F.lit(earned_as_of)
     return losses.where(F.col("TransactionDate").cast("date") <= last_earned.cast("date"))
 
 
@@ -53,36 +54,30 @@ def _amount_type(*types: T.DataType) -> str:
 def loss_by_vehicle(losses: DataFrame) -> DataFrame:
     """One row per vehicle-term: LOSS_RI_* and LOSS_CC_* per coverage, LOSS_CC_TOTAL.
 
-    Every transaction counts for its coverage and for the total, as two lines. Lines are
-    reduced to claims first, which turns distinct counts into plain counts and spreads a
-    vehicle with very many transactions over its claims; then to one cell per vehicle and
-    line. Only the few cells a vehicle has are moved, and turned into columns last.
+    Transactions are reduced to claims first, which turns distinct counts into plain counts and spreads a vehicle with very
+    many transactions over its claims. A claim carries its amount per coverage and two sets of coverages, as bits: those it
+    has, and those with a missing amount. Claims of a vehicle then add up, within the tasks before they move: two shuffles.
     """
-    code = coverage_code(F.col("CoverageType"))
-    lines = losses.select(
-        "VehicleTermKey", "ClaimNumber", F.expr(INCURRED).alias("incurred"),
-        F.explode(F.array(code, F.lit(TOTAL))).alias("line"),
-    ).where(F.col("line").isin(*LOSS_COVERAGES, TOTAL))
-    claims = lines.groupBy("VehicleTermKey", "line", "ClaimNumber").agg(
-        F.expr("sum(incurred) AS incurred"), F.expr("bool_or(incurred IS NULL) AS unknown")
+    bits = {cov: 1 << i for i, cov in enumerate(LOSS_COVERAGES)}
+    places = ", ".join(f"'{cov}'" for cov in LOSS_COVERAGES)
+    rows = losses.select(
+        "VehicleTermKey", "ClaimNumber", F.expr(INCURRED).alias("incurred"), coverage_code(F.col("CoverageType")).alias("line"),
+    ).selectExpr("VehicleTermKey", "ClaimNumber", "incurred", f"shiftright(shiftleft(1, CAST(coalesce(array_position(array({places}), line), 0) AS INT)), 1) AS bit")
+    claims = rows.groupBy("VehicleTermKey", "ClaimNumber").agg(
+        F.expr("bit_or(bit) AS present"), F.expr("bit_or(IF(incurred IS NULL, bit, 0)) AS unknown"),
+        *[F.expr(f"sum(IF(bit = {bit}, incurred, NULL)) AS ri_{cov}") for cov, bit in bits.items()],
     )
-    cells = claims.groupBy("VehicleTermKey", "line").agg(
-        F.expr("IF(bool_or(unknown), NULL, sum(incurred)) AS ri"), F.expr("count(*) AS cc")
-    )
-    # At most one cell per line name, so these lists are short whatever the data.
-    by_vehicle = cells.groupBy("VehicleTermKey").agg(
-        F.expr("map_from_entries(collect_list(struct(line, struct(ri, cc)))) AS cells")
+    vehicles = claims.groupBy("VehicleTermKey").agg(
+        F.expr("bit_or(unknown) AS unknown"), F.expr("count(*) AS cc_total"),
+        *[F.expr(f"sum(ri_{cov}) AS ri_{cov}") for cov in bits],
+        *[F.expr(f"count_if((present & {bit}) != 0) AS cc_{cov}") for cov, bit in bits.items()],
     )
     amount = _amount_type(losses.schema["NetPaidClaims"].dataType, losses.schema["NetCaseReserves"].dataType)
-
     # A coverage without claims is 0; one with a missing amount stays NULL.
-    def cell(line):
-        return f"try_element_at(cells, '{line}')"
-
-    return by_vehicle.selectExpr(
+    return vehicles.selectExpr(
         "VehicleTermKey",
-        *[f"CAST(IF({cell(cov)} IS NULL, 0, {cell(cov)}.ri) AS {amount}) AS LOSS_RI_{cov}" for cov in LOSS_COVERAGES],
-        *[f"coalesce({cell(line)}.cc, 0) AS LOSS_CC_{line}" for line in (*LOSS_COVERAGES, TOTAL)],
+        *[f"CAST(IF((unknown & {bit}) != 0, NULL, coalesce(ri_{cov}, 0)) AS {amount}) AS LOSS_RI_{cov}" for cov, bit in bits.items()],
+        *[f"cc_{cov} AS LOSS_CC_{cov}" for cov in bits], "cc_total AS LOSS_CC_TOTAL",
     )
 
 

@@ -10,7 +10,7 @@ MAX_RATING_FACTORS = 8
 RUN_KEYS = ("TermType", "UWYear")
 
 
-def _as_date(value: date | str) -> date:
+def as_date(value: date | str) -> date:
     return value if isinstance(value, date) else date.fromisoformat(value)
 
 
@@ -50,9 +50,9 @@ class PricingParams:
 
     def __post_init__(self):
         for name in ("prem_loss_start", "end", "sale_quote_start", "renewal_start"):
-            object.__setattr__(self, name, _as_date(getattr(self, name)))
+            object.__setattr__(self, name, as_date(getattr(self, name)))
         if self.retained_as_of is not None:
-            object.__setattr__(self, "retained_as_of", _as_date(self.retained_as_of))
+            object.__setattr__(self, "retained_as_of", as_date(self.retained_as_of))
         object.__setattr__(self, "rate_factors", tuple(self.rate_factors))
         if len(self.rate_factors) > MAX_RATING_FACTORS:
             raise ValueError(

@@ -17,7 +17,8 @@ from rateloom.params import PricingParams
 
 # Slots, in bit order: counts, fractional numbers, amounts. The row condition of slot i
 # is bit i of a line's ``rows``; bit i of ``unknown`` says that a NULL spoilt slot i.
-COUNT_SLOTS = tuple(f"c{i}" for i in range(1, 10))
+COUNT_SLOTS = tuple(f"c{i}" for i in range(1, 11))
+KEPT_SLOT = "c10"  # only the retained vehicles, whose column may be of any number type
 NUMBER_SLOTS = tuple(f"x{i}" for i in range(1, 5))
 AMOUNT_SLOTS = tuple(f"m{i}" for i in range(1, 8))
 RETAINED = "_retained_as_of"
@@ -113,7 +114,7 @@ VEHICLE_STATS = (
     VehicleStat("Month6Total", "V1", "c6", "six_months", "one"),
     VehicleStat("Total1Year", "V1", "c7", "one_year", "one"),
     VehicleStat("Cancels_NonPay", "V1", "c8", "cancel_non_pay", "one"),
-    VehicleStat("Month6Active", "V1", "c9", "six_months", "Retained6Months"),
+    VehicleStat("Month6Active", "V1", KEPT_SLOT, "six_months", "Retained6Months"),
     VehicleStat("BMAge23_WP_BI", "V1", "x3", "mix_age_known", "PrimaryDriverAge_if_bi", strict=True),
     VehicleStat("BMVeh2015_WP_BI", "V1", "x4", "mix_year_known", "VehicleYearNumber_if_bi", strict=True),
     VehicleStat("Cancels_Fraud", "V2", "c1", "cancel_fraud", "one"),

