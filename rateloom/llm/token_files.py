@@ -21,11 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rateloom.llm.shared import lists, map_batches
+from rateloom.llm.shared import held, lists, map_batches
 
 END_ID = 0
 FILE_SCHEMA = "part int, row_start long, doc_id long, n_tokens long, token_ids array<int>"
@@ -36,92 +37,123 @@ LAYOUT = {
     "parquet.enable.dictionary": "true", "parquet.enable.dictionary#doc_id": "false",
     "parquet.enable.dictionary#row_start": "false",
 }
-#: Mean length of a text's words up to which they are remembered, and how many words a worker keeps; as many older ones
-#: may still be around.
-REMEMBERED_CHARS, REMEMBERED_WORDS = 40, 700_000
-
-#: GPT-2's way to write bytes as characters, and its pattern of words.
+#: Length of words that are remembered, and how many a worker keeps; as many older ones may still be around.
+REMEMBERED_CHARS, REMEMBERED_WORDS = 40, 250_000
+#: New words that the library splits in one go.
+WORDS_AT_ONCE = 5000
+#: Texts that are encoded at once.
+TEXTS_AT_ONCE = 4000
+
+#: GPT-2's way to write bytes as characters, and its pattern of words, here as far as plain texts need it.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _HIDDEN = [b for b in range(256) if b not in _PRINTED]
 _BYTE_CHARS = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
-_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A space between two visible characters: a word of the pattern never reaches over it from the left.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-#: White space beyond space, tab and line ends; libraries differ in what they count in.
-_RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
-#: Beyond these letters the libraries' Unicode tables may differ.
-_KNOWN_LETTERS = "\u024f"
+_PLAIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\n"
+_MARK = "\x01"
+#: What makes a text other than plain: control characters but line ends, white space beyond ASCII, letters for which libraries'
+#: Unicode tables may differ, several spaces or three line ends together, spaces and line ends together or at the end.
+_UNUSUAL = r"[\x00-\x09\x0b-\x1f\x7f-\x{a0}\x{250}-\x{10ffff}]|  |\n | \n|\n\n\n| \z|\n\n\z"
 
 
 class WordEncoder:
     """Encodes by words: the library's model splits each distinct word once, later places look its ids up.
 
     Only for byte-level BPE files with the usual pattern of words and no other added text than special tokens. A text
-    that holds such a token's string or rare white space goes through the library whole, as do words in other scripts.
+    that holds such a token's string, letters of other scripts or unusual white space goes through the library whole.
     """
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(file)
         self.model = self.whole.model
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.words = regex.compile(_WORDS).findall
-        self.known: dict[str, bytes] = {}
+        self.odd = "|".join([_UNUSUAL, *(re.escape(x) for x in self.added)])
+        self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        if word[1:].isalnum() and word.isascii() and word[0] == " ":
-            written = _BYTE_CHARS[32] + word[1:]
-        else:
-            written = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-        return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARS))]).tobytes()
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of a text's start, or of a space and what stands before the next space."""
-        if chunk[1:].isalpha() and chunk[0] == " " and max(chunk) <= _KNOWN_LETTERS:
-            return self._word(chunk)
-        return b"".join(map(self._word, self.words(chunk))) if max(chunk) <= _KNOWN_LETTERS else self._whole(chunk)
-
-    def _missing(self, chunks: list[str]) -> None:
-        for chunk in chunks:
-            if chunk not in self.known:
-                ids = self.older.pop(chunk, None)
-                self.known[chunk] = self._chunk(" " + chunk) if ids is None else ids
-
-    def encode(self, text: str) -> bytes:
-        """The ids as unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if any(x in text for x in self.added) or _RARE_SPACE.search(text):
-            return self._whole(text)
-        odd = any(x in text for x in ("  ", "\n ", " \n", "\t", "\r")) or text[0] == " " or text[-1] == " "
-        cuts = _CUT.split(text) if odd else text.split(" ")
-        first, rest = self._chunk(cuts[0]), cuts[1:]
-        if len(text) > REMEMBERED_CHARS * len(cuts):  # words too long to be remembered
-            return first + b"".join(self._chunk(" " + c) for c in rest)
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words. Those with a space before them are given to the library in one text, which it cuts at just
+        these spaces."""
+        spaced = [w for w in words if w[0] == " "]
+        found = {w: self._word(w) for w in words if w[0] != " "}
+        for k in range(0, len(spaced), WORDS_AT_ONCE):
+            part = spaced[k:k + WORDS_AT_ONCE]
+            coded = self.whole.encode("".join(part), add_special_tokens=False)
+            word = np.array(coded.word_ids, np.int64)
+            ends = np.append(np.flatnonzero(np.diff(word)) + 1, len(word)) * 4
+            raw = np.array(coded.ids, np.uint32).tobytes()
+            found |= zip(part, [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], strict=True)
+        return found
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
         if len(self.known) > REMEMBERED_WORDS:
-            self.known, self.older = {}, self.known
-        try:
-            return first + b"".join(map(self.known.__getitem__, rest))
-        except KeyError:
-            self._missing(rest)
-            return first + b"".join(map(self.known.__getitem__, rest))
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
+            self.known, self.older = {"": b""}, self.known
+        out = list(map(self.known.get, words))
+        new = [k for k, ids in enumerate(out) if ids is None]
+        for k in new:
+            out[k] = self.older.get(words[k])
+        learned = self._learn([words[k] for k in new if out[k] is None])
+        for k in new:
+            if out[k] is None:
+                out[k] = learned[words[k]]
+            if len(words[k]) <= REMEMBERED_CHARS:
+                self.known[words[k]] = out[k]
+        return out
+
+    def encode_all(self, texts: pa.StringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, the end id behind each text's, and how many each has. Missing texts are empty.
+
+        Plain texts are cut at spaces all at once, the distinct chunks among them into words, and the distinct words are looked
+        up; their ids are put in place by array operations.
+        """
+        texts = texts.fill_null("")
+        odd = pc.match_substring_regex(texts, self.odd)
+        others = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        flat, starts = cut.flatten(), np.asarray(cut.offsets)
+        coded = flat.dictionary_encode()
+        code, n = np.array(coded.indices), len(coded.dictionary)
+        # a text's first chunk has no space before it, so it is an entry of its own
+        chunks = pa.concat_arrays([pc.binary_join_element_wise(" ", coded.dictionary, ""), flat.take(pa.array(starts[:-1]))])
+        code[starts[:-1]] = n + np.arange(len(texts))
+        words = pc.split_pattern(pc.replace_substring_regex(chunks, _PLAIN_WORDS, r"\0" + _MARK), _MARK)
+        known = words.flatten().dictionary_encode()
+        ids = self._ids(known.dictionary.to_pylist())
+        by_chunk, sizes = _put(_entries(ids), np.asarray(known.indices), np.asarray(words.offsets))
+        # texts that are not plain, and the end id, are entries too
+        more = [np.frombuffer(self._whole(texts[k].as_py()), np.uint32) for k in others.tolist()] + [np.array([end_id], np.uint32)]
+        code[starts[others]] = len(chunks) + np.arange(len(others))
+        code = np.insert(code, starts[1:], len(chunks) + len(others))
+        entries = np.concatenate([by_chunk, *more]), np.concatenate([sizes, [len(x) for x in more]])
+        return _put(entries, code, starts + np.arange(len(starts)))
+
+
+def _entries(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+
+
+def _put(entries: tuple[np.ndarray, np.ndarray], code: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the entries ``code`` in a row, and how many those between two of ``starts`` have together."""
+    flat, size = entries
+    first = np.cumsum(size) - size
+    sizes = size[code]
+    ends = np.cumsum(sizes)
+    places = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[code] - ends + sizes, sizes)
+    return flat[places], np.diff(np.append(0, ends)[starts])
 
 
 def encoder(file: str) -> WordEncoder:
     """One encoder for a worker's life."""
-    if file not in _ENCODERS:
-        _ENCODERS[file] = WordEncoder(file)
-    return _ENCODERS[file]
+    return held("token_files", file, lambda: WordEncoder(file))
 
 
 def write_tokens(df: DataFrame, path: str, tokenizer_file: str, id_column: str = "doc_id", text_column: str = "text",
@@ -134,21 +166,18 @@ def write_tokens(df: DataFrame, path: str, tokenizer_file: str, id_column: str =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, total = encoder(tokenizer_file), TaskContext.get().partitionId(), 0
-        end = array("I", [end_id]).tobytes()
         for batch in batches:
-            coded = [own.encode(t or "") + end for t in batch.column(1).to_pylist()]
-            counts = np.array([len(c) // 4 for c in coded], np.int64)
-            ids = np.frombuffer(b"".join(coded), np.uint32).astype(np.int32)
+            ids, counts = own.encode_all(batch.column(1), end_id)
             starts = total + np.cumsum(counts) - counts
             total += int(counts.sum())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(counts), part, np.int32)), pa.array(starts), batch.column(0), pa.array(counts),
-                 lists(ids, counts, pa.int32())],
+                 lists(ids.astype(np.int32), counts, pa.int32())],
                 names=["part", "row_start", "doc_id", "n_tokens", "token_ids"])
 
     rows = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    map_batches(ordered, encode, FILE_SCHEMA).write.options(**LAYOUT).parquet(path)
+    map_batches(ordered, encode, FILE_SCHEMA, TEXTS_AT_ONCE).write.options(**LAYOUT).parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -174,8 +203,9 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens = batch.column(3)
-            flat = np.asarray(tokens.values).astype("<u4").tobytes()
+            flat = np.asarray(tokens.flatten()).astype("<u4").tobytes()
             offsets = np.asarray(tokens.offsets, np.int64) * 4
+            offsets -= offsets[0]
             sums = [zlib.crc32(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(np.diff(offsets) // 4), pa.array(sums, pa.int64())],
