@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateloom.llm.shared import map_batches, mix64, stored
+from rateloom.llm.shared import held, map_batches, mix64, stored
 
 WORDS, PERCENT = 5, 75
 #: Hash functions for the groups; most frequent tokens that order the others; members of a group, and how many joined ones
@@ -36,6 +36,8 @@ WORDS, PERCENT = 5, 75
 KEYS, FREQUENT, BLOCK, OWN_GROUPS, COLUMNS = 4, 1 << 20, 1024, 256, 8192
 #: Tokens that are counted before they leave a task, and bits of the filters of wanted texts and of tokens counted twice.
 COUNTED_AT_ONCE, FILTER_BITS, TWICE_BITS = 2_000_000, 1 << 25, 1 << 28
+#: Words whose hashes a worker keeps.
+REMEMBERED_WORDS = 250_000
 #: Pairs of matrix cells that are looked at in one go.
 PAIRS_AT_ONCE = 1_000_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -50,20 +52,18 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 400_000:
+        if len(self) > REMEMBERED_WORDS:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
 
 
-_WORD_HASHES = _WordHashes()
-
-
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
     """The hashes of each text's distinct shingles, ascending. A shorter text is one shingle; without words there is none."""
     found = [(t or "").encode().lower().split() for t in texts]
     counts = np.array([len(f) for f in found], np.int64)
-    h = np.fromiter(map(_WORD_HASHES.__getitem__, chain.from_iterable(found)), np.uint64, int(counts.sum()))
+    hashes = held("near_duplicates", "words", _WordHashes)
+    h = np.fromiter(map(hashes.__getitem__, chain.from_iterable(found)), np.uint64, int(counts.sum()))
     total = np.full(len(h), np.uint64(words))
     with np.errstate(over="ignore"):
         for k in range(words):

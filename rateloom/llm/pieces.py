@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateloom.llm.shared import lists, map_batches, mix64
+from rateloom.llm.shared import held, lists, map_batches, mix64
 
 SCHEMA = "doc_id long, n_pieces long, ids_crc32 long, lossless boolean, ids array<int>"
 #: Units up to so many characters are filtered many at once; longer ones alone, in stretches, with their sums carried along.
@@ -29,11 +29,12 @@ STRETCH = 65_536
 FLAT, BYTE_WEIGHT = 10.0, 1e-8
 #: Factor for every character, so that sums over paths of a unit filtered with others stay within a double's range.
 PER_CHAR = 1e3
-#: Units, and edges of their lattices, that a worker remembers before it starts afresh.
-REMEMBERED, REMEMBERED_EDGES = 400_000, 16_000_000
-LEARNED_AT_ONCE = 10_000
-#: Characters that are worked on at once.
-CHARS_AT_ONCE = 2_000_000
+#: Units, and edges of their lattices (9 bytes each), that a worker remembers before it starts afresh. Long units are not
+#: remembered.
+REMEMBERED, REMEMBERED_EDGES = 150_000, 4_000_000
+LEARNED_AT_ONCE = 5_000
+#: Characters that are worked on at once; what is learned from them comes on top of what is remembered.
+CHARS_AT_ONCE = 500_000
 
 
 class _Grown:
@@ -44,7 +45,7 @@ class _Grown:
 
     def extend(self, values: np.ndarray) -> None:
         if self.n + len(values) > len(self.room):
-            room = np.empty(max(2 * len(self.room), self.n + len(values)), self.room.dtype)
+            room = np.empty(max(len(self.room) * 3 // 2, self.n + len(values)), self.room.dtype)
             room[:self.n] = self.room[:self.n]
             self.room = room
         self.room[self.n:self.n + len(values)] = values
@@ -101,7 +102,7 @@ class PieceLattice:
         self.known: dict[str, int] = {}
         self.first_node, self.length = _Grown(np.int64), _Grown(np.int64)  # of each known unit
         self.first_edge = _Grown(np.int64)  # of each node: the first of the pieces that end there
-        self.share, self.back, self.piece = _Grown(np.float64), _Grown(np.int8), _Grown(np.int32)  # of each edge
+        self.share, self.back, self.piece = _Grown(np.float32), _Grown(np.int8), _Grown(np.int32)  # of each edge
 
     def _edges(self, chars: np.ndarray, left: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
         """Starts, length, ids and weights of the pieces that stand in the units, by length."""
@@ -204,7 +205,8 @@ class PieceLattice:
         if len(self.known) > REMEMBERED or self.share.n > REMEMBERED_EDGES:
             self.forget()
         known, index, counts = self.known, [], np.zeros(len(texts), np.int64)
-        before = len(known)
+        before, columns = len(known), (self.first_node, self.length, self.first_edge, self.share, self.back, self.piece)
+        long: list[str] = []
         for k, text in enumerate(texts):
             if text:
                 units = self.units(text)
@@ -221,7 +223,8 @@ class PieceLattice:
             short = sum(len(u) <= UNIT_CHARS for u in new)
             for k in range(0, short, LEARNED_AT_ONCE):
                 self._learn(new[k:min(short, k + LEARNED_AT_ONCE)])
-            for u in new[short:]:
+            long, remembered = new[short:], [c.n for c in columns]
+            for u in long:
                 self._learn_long(u)
         unit = np.array(index, np.int64)
         if not len(unit):
@@ -247,6 +250,11 @@ class PieceLattice:
             more = np.flatnonzero(at)
             going, at, start = going[more], at[more], start[more]
             own = mix64(own[more])
+        if long:  # they were learned last
+            for u in long:
+                del known[u]
+            for column, n in zip(columns, remembered, strict=True):
+                column.n = n
         ends = np.cumsum(n_pieces)
         out = np.empty(int(ends[-1]), np.int64)
         for step, (who, what) in enumerate(drawn):  # drawn from the end
@@ -269,13 +277,9 @@ class PieceLattice:
         return b"".join(map(self.bytes.__getitem__, ids))[1:]
 
 
-_LATTICES: dict[tuple[str, float], PieceLattice] = {}
-
-
 def lattice(model_file: str, sharpness: float) -> PieceLattice:
-    if (key := (model_file, sharpness)) not in _LATTICES:
-        _LATTICES[key] = PieceLattice(model_file, sharpness)
-    return _LATTICES[key]
+    """One lattice for a worker's life."""
+    return held("pieces", (model_file, sharpness), lambda: PieceLattice(model_file, sharpness))
 
 
 def row_seeds(keys: list[int | None], seed: int) -> np.ndarray:

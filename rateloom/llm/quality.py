@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.llm.labelled import labelled_rows, sampled
-from rateloom.llm.shared import fold, lists, map_batches, ship_package, stored
+from rateloom.llm.shared import BATCH_ROWS, fold, lists, map_batches, ship_package, stored
 
 FEATURES = (
     "log_bytes", "log_words", "word_bytes", "upper", "digits", "commas_stops", "loud", "symbols", "bars", "beyond_ascii", "line_words",
@@ -223,13 +223,20 @@ def score_quality(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
 
 def keep_good(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
               accept: float = ACCEPT) -> DataFrame:
-    """The rows whose text scores at least ``accept``, with the columns they had."""
+    """The rows whose text scores at least ``accept``, with the columns they had.
+
+    Missing and empty texts score as texts whose features are all 0; repeated rows stay or go together; an empty table gives no
+    rows. Where the labels are not of both kinds nothing can be learned, and all rows stay.
+    """
     features = stored(document_features(df, id_column, text_column), "features")
     model = train(features, labels)
+    if not any(t.any() for t in model.tables):
+        return df
 
     def good(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
-            x = np.array([text_features(t) for t in column.to_pylist()], np.float32).astype(np.float64).reshape(-1, len(FEATURES))
+            parts = (column.slice(k, BATCH_ROWS).to_pylist() for k in range(0, len(column), BATCH_ROWS))
+            x = np.array([text_features(t) for p in parts for t in p], np.float32).astype(np.float64).reshape(-1, len(FEATURES))
             yield pa.array(model.scores(x) >= accept)
 
     ship_package(df.sparkSession)

@@ -45,7 +45,8 @@ def shard_documents(df: DataFrame, shards: int = 8, id_column: str = "doc_id", t
                     cells: int = 1024) -> DataFrame:
     """Per row: doc_id, size (UTF-8 bytes of the text plus 1), text_crc32, law, shard, slot, grown_shard.
 
-    ``key`` law: id and number of shards decide, so reruns and other texts change nothing; rows without an id share key -1.
+    ``key`` law: id and number of shards decide, so reruns and other texts change no shard; rows without an id share key -1.
+    Slots also depend on the rows' order in the input, as rows with one id may be very many.
     ``grown_shard`` is the shard among one more. Missing texts have size 1 and the crc32 of an empty text. Repeated rows
     share a shard and have slots of their own; an empty table gives no rows.
 

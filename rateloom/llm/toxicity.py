@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.llm.labelled import labelled_rows, sampled
-from rateloom.llm.shared import fold, lists, map_batches, ship_package, stored
+from rateloom.llm.shared import BATCH_ROWS, fold, held, lists, map_batches, ship_package, stored
 
 #: Documents of each label and runs of tokens of each kind that are learnt from, at most.
 TRAIN_DOCS, TRAIN_RUNS = 4_000, 4_000
@@ -34,7 +34,7 @@ EPOCHS, STEP, DECAY, RUNS_AT_ONCE = 8, 0.5, 1e-5, 256
 #: Rarer than that in clean documents, a feature may mark a token.
 LEAST_LIFT = 4.0
 #: Words that a worker remembers before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 _KINDS = 6
 
@@ -269,7 +269,7 @@ def train(df: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
             yield pa.RecordBatch.from_arrays(
                 [lists(values.reshape(-1), np.full(len(values), 3), pa.float64()), batch.column(1), batch.column(2)], names=["x", "label", "weight"])
 
-    got = map_batches(sample.select("text", "label", "weight"), inputs, "x array<double>, label int, weight double").toArrow()
+    got = map_batches(sample.select("text", "label", "weight"), inputs, "x array<double>, label int, weight double").limit(4 * most_docs).toArrow()
     rows = sorted(zip(got.column("x").to_pylist(), got.column("label").to_pylist(), got.column("weight").to_pylist(), strict=True))
     found = np.array([r[1] for r in rows], np.float64)
     if len(set(found.tolist())) < 2:
@@ -281,14 +281,8 @@ def train(df: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
     return model
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def _scorer(name: str, model: ToxicModel) -> Scorer:
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(model)
-    return _SCORERS[name]
+    return held(f"toxicity {name}", "scorer", lambda: Scorer(model))
 
 
 def score_toxicity(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", folds: int = FOLDS,
@@ -321,14 +315,22 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_column: str = "doc_id",
 
 
 def keep_clean(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", accept: float = 0.5) -> DataFrame:
-    """The rows whose text scores below ``accept``, with the columns they had."""
+    """The rows whose text scores below ``accept``, with the columns they had.
+
+    Missing and empty texts have no toxic word and stay; repeated rows stay or go together; an empty table gives no rows. Where
+    the labels are not of both kinds nothing can be learned, and all rows stay.
+    """
     rows = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     model = train(rows, labels)
+    if not model.document[1:].any():
+        return df
     name = f"{zlib.crc32(model.weights.tobytes())}-{model.document.tolist()}"
 
     def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = _scorer(name, model)
         for column in texts:
-            yield pa.array(_scorer(name, model).scores(column.to_pylist())[0] < accept)
+            parts = (column.slice(k, BATCH_ROWS).to_pylist() for k in range(0, len(column), BATCH_ROWS))
+            yield pa.array(np.concatenate([np.zeros(0, bool), *(scorer.scores(p)[0] < accept for p in parts)]))
 
     ship_package(df.sparkSession)
     return df.where(F.arrow_udf(clean, "boolean")(F.col(text_column).cast("string")))
