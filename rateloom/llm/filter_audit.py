@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateloom.llm.shared import map_batches
+from rateloom.llm.shared import map_batches, stored
 
 FILTERS = "ABCDE"
 LANES = ("kept", "removed", "redundant", "good_lost", "toxic_lost")
@@ -151,6 +151,7 @@ def masks(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     texts = rows.groupBy("digest", "mask", "part", "good", "toxic").agg(
         F.sum("n").alias("n"), F.min("doc_id").alias("least"), F.coalesce(F.min_by("n", "doc_id"), F.lit(0)).alias("at_least"),
         F.coalesce(F.sum(F.when(F.col("doc_id").isNull(), F.col("n"))), F.lit(0)).alias("unnamed"))
+    texts = stored(texts, "audited-texts")  # read twice; few bytes for each text
     least = texts.groupBy("digest").agg(F.min("least").alias("first"), F.count(F.lit(1)).alias("many"))
     least = least.where("many > 1").select("digest", "first")
     texts = texts.join(least, "digest", "left")
