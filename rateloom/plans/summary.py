@@ -34,7 +34,7 @@ from rateloom.plans.branches import (
 )
 from rateloom.sources.tables import require_columns
 
-LINE, ROWS, SPOILT, UNKNOWN, SHARE = "_line", "_rows", "_spoilt", "_unknown", "_share"
+LINE, ROWS, SPOILT, UNKNOWN, SHARE, CELLS = "_line", "_rows", "_spoilt", "_unknown", "_share", "_cells"
 
 # COMP_CAT has losses only and BIFEE premium only, so the lines are the union of both lists.
 COVERAGE_LINES = (*PREMIUM_COVERAGES, *(c for c in LOSS_COVERAGES if c not in PREMIUM_COVERAGES))
@@ -186,7 +186,18 @@ def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
     unpivoted = rows.selectExpr(
         "*", f"{row_bits(by_coverage, conditions)} AS _coverage_rows"
     ).selectExpr(*keys, f"try_divide(1.0D, VehicleCount) AS {SHARE}", f"inline(array({', '.join(lines)}))")
-    return unpivoted.selectExpr(*keys, LINE, *_premium_slots(by_coverage, by_vehicle, strict))
+    first = COVERAGE_LINES[0] if by_coverage else by_vehicle[0].line
+    return unpivoted.where(_tells_something(types, first)).selectExpr(*keys, LINE, *_premium_slots(by_coverage, by_vehicle, strict))
+
+
+def _tells_something(fields, first: str) -> str:
+    """Whether a line adds anything: a coverage without premium, exposure and losses adds nothing to any figure. One line of a
+    row, the ``first``, always stays, as it says that the row's key is there."""
+    without_premium = ", ".join(f"'{c}'" for c in COVERAGE_LINES if c not in PREMIUM_COVERAGES)
+    missing = {f: f"{LINE} NOT IN ({without_premium})" for f in ("wp", "ep")}  # a missing premium can spoil a count
+    used = [f"coalesce({f} != 0, {missing.get(f, 'false')})" for f in fields if f not in (ROWS, SPOILT)]
+    any_row = f"({ROWS} | coalesce({SPOILT}, 0)) != 0"
+    return f"{LINE} = '{first}' OR ({any_row}{' AND (' + ' OR '.join(used) + ')' if used else ''})"
 
 
 _TESTS = {"sold": "wp >= 1", "generated": "wp > 0", "taken": "ep > 0 AND wp > 0", "share": "wp >= 1"}
@@ -271,9 +282,9 @@ def quote_lines(
 
 
 def _figure(line: str, slot: str, strict: bool) -> str:
-    value = f"coalesce(`{line}_{slot}`, 0)"
+    value = f"coalesce(`{line}`.{slot}, 0)"
     if strict:
-        value = f"IF((coalesce(`{line}_{UNKNOWN}`, 0) & {bit_of(slot)}) != 0, 0, {value})"
+        value = f"IF((coalesce(`{line}`.{UNKNOWN}, 0) & {bit_of(slot)}) != 0, 0, {value})"
     return f"CAST({value} AS DOUBLE)" if slot in NUMBER_SLOTS else value
 
 
@@ -306,7 +317,7 @@ def stat_table(
     if unknown:
         raise ValueError(f"no such figures: {unknown}")
     stats = [by_name[name] for name in dict.fromkeys(names)]
-    own = {c.lower() for c in (*output_columns(), *LINE_FIELDS, KEPT, START_MONTH, *SLOTS, LINE, ROWS, SPOILT, UNKNOWN, SHARE, ROW_WEIGHT, "sold")}
+    own = {c.lower() for c in (*output_columns(), *LINE_FIELDS, KEPT, START_MONTH, *SLOTS, LINE, ROWS, SPOILT, UNKNOWN, SHARE, CELLS, *COVERAGE_LINES, "V1", "V2", ROW_WEIGHT, "sold")}
     clashes = [f for f in params.rate_factors if f.lower() in own]
     if clashes:
         raise ValueError(f"{clashes} are names of figures and cannot be rating factors")
@@ -334,11 +345,12 @@ def stat_table(
     if len(sides) > bool(from_premium):
         names_of_lines += [f"Q_{cov}" for cov in PREMIUM_COVERAGES]
     slots = [s for s in SLOTS if s in lines.columns]
-    cells = (
-        lines.groupBy(*params.keys)
-        .pivot(LINE, names_of_lines)
-        .agg(*[F.sum(s).alias(s) for s in slots], F.bit_or(UNKNOWN).alias(UNKNOWN))
-    )
+    # One row per group and line that has rows; then a group's lines as a map, which holds only those there are, and from
+    # it a struct per line.
+    sums = lines.groupBy(*params.keys, LINE).agg(*[F.sum(s).alias(s) for s in slots], F.bit_or(UNKNOWN).alias(UNKNOWN))
+    by_group = sums.groupBy(*params.keys).agg(
+        F.map_from_entries(F.collect_list(F.struct(LINE, F.struct(*slots, UNKNOWN).alias("sums")))).alias(CELLS))
+    cells = by_group.selectExpr(*[_q(k) for k in params.keys], *[f"try_element_at({CELLS}, '{name}') AS `{name}`" for name in names_of_lines])
     available = [s for s in stats if quotes is not None or s not in QUOTE_STATS]
     absent = [f"CAST(0 AS {'DOUBLE' if s.slot in NUMBER_SLOTS else 'BIGINT'}) AS {c}"
               for s in stats if s not in available for c in s.columns]

@@ -2,6 +2,7 @@
 
 from dataclasses import fields, replace
 from datetime import timedelta
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -9,14 +10,16 @@ from pyspark.sql import functions as F
 
 from rateloom.operators.base import by_month, in_months
 from rateloom.operators.checks import guarded_key, require_bounded_growth, worst_keys
+from rateloom.operators.factors import attach_adjustments
 from rateloom.operators.extracts import ColumnOwners, Factor, premium_extract
 from rateloom.operators.losses import loss_by_vehicle
 from rateloom.plans import report as report_plan
 from rateloom.plans.report import FactorPlan, Sources, pricing_inputs, pricing_report, rated_premium, stored_rated_premium
-from rateloom.plans.summary import pricing_summary
+from rateloom.plans.branches import ALL_STATS, QUOTE_STATS
+from rateloom.plans.summary import premium_lines, pricing_summary, stat_table
 from rateloom.sources.sinks import positioned_by_keys, publish_result, read_result, run_label
 from rateloom.sources.store import Store, source_state
-from tests.small import BASE_SCHEMA, frame, random_rows
+from tests.small import BASE_SCHEMA, frame, premium_row, random_rows
 from verification.catalog import REPORT_PARAMS, REPORT_PLAN, Inputs, comparable
 from verification.fixtures import EXTRACT_FLOOR
 
@@ -261,3 +264,41 @@ def test_factors_made_by_functions(spark, sources):
     params = replace(REPORT_PARAMS, rate_factors=("Gap", "State"))
     summary = pricing_report(sources[0], params, FactorPlan(chosen, chosen, accept_growth=True), history_start=EXTRACT_FLOOR)[1]
     assert {r.State for r in summary.collect()} <= {"NATION_3", "CW"} and summary.where("Gap LIKE 'z)%'").count()
+
+
+def test_half_of_all_rows_under_one_tuple(spark):
+    rows = spark.range(40_000).selectExpr(
+        "id AS VehicleTermKey", "CAST(IF(id % 2 = 0, NULL, id % 997) AS INT) AS PrimAge", "IF(id % 2 = 0, 'M', 'F') AS PrimGen")
+    table = spark.range(997).selectExpr("CAST(id AS INT) AS PrimAge", "'F' AS PrimGen", "id / 10 AS ADJ_WP_BI").union(
+        spark.sql("SELECT CAST(NULL AS INT), 'M', 7.0D"))
+    key = ("PrimAge", "PrimGen")
+    small, large = attach_adjustments(rows, table, key), attach_adjustments(rows, table, key, broadcast_rows=100)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(small) == rows_of(large) and small.where("PrimAge IS NULL AND ADJ_WP_BI = 7").count() == 20_000
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        again = attach_adjustments(rows, table, key, broadcast_rows=100)
+        sizes = sorted(r["count"] for r in again.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_idle_coverages_are_not_written(spark):
+    """With a key that every term has its own value of, a group has few lines, and moves no more than those."""
+    base = frame(spark, BASE_SCHEMA, [
+        premium_row(VehicleTermKey=i, PolicyTermKey=i, WP_BI=Decimal("5.00"), EP_BI=Decimal("1.00"), EP_TOTAL=Decimal("1.00")) for i in range(50)])
+    params = replace(REPORT_PARAMS, rate_factors=("PolicyTermKey",))
+    lines = premium_lines(base, params, [s for s in ALL_STATS if s not in QUOTE_STATS])
+    by_row = lines.groupBy("PolicyTermKey").agg(F.collect_set("_line").alias("lines")).collect()
+    assert len(by_row) == 50 and all(set(r.lines) == {"BI", "V1", "V2"} for r in by_row)
+    nothing = frame(spark, BASE_SCHEMA, [premium_row()])
+    assert stat_table(nothing, None, replace(params, rate_factors=()), ["WP_PB"]).count() == 1

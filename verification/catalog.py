@@ -18,7 +18,8 @@ from rateloom.operators.extracts import Factor
 from rateloom.plans import facts as facts_plan
 from rateloom.plans.branches import ALL_STATS, NUMBER_SLOTS
 from rateloom.plans.report import FactorPlan, Sources, pricing_report
-from rateloom.plans.summary import padded_keys, pricing_summary, stat_table
+from rateloom.plans.summary import pricing_summary, stat_table
+from rateloom.sources.sinks import positioned_by_keys
 from rateloom.sources.store import Store
 from verification import oracle as o
 from verification.fixtures import EXTRACT_FLOOR, FIXTURE_PARAMS, fixture, view_ctes
@@ -197,6 +198,7 @@ def _(i):
     return orders.select("o_orderkey", minus_months_or_null(day, 2).alias("same_day"), F.add_months(day, -6).alias("clamped"))
 
 
+# Bands of the difference between two drivers' ages.
 _BANDS = """CASE WHEN a IS NULL THEN 'z) Single Driv' WHEN a < -25 THEN 'a) Less than -25' WHEN a BETWEEN -25 AND -13 THEN 'b) -25 to -13'
  WHEN a BETWEEN -12 AND -8 THEN 'c) -12 to -8' WHEN a BETWEEN -7 AND -6 THEN 'd) -7 to -6' WHEN a BETWEEN -5 AND -4 THEN 'e) -5 to -4'
  WHEN a BETWEEN -3 AND -2 THEN 'f) -3 to -2' WHEN a BETWEEN -1 AND 0 THEN 'g) -1 to 0' WHEN a BETWEEN 1 AND 2 THEN 'h) 1 to 2'
@@ -392,6 +394,18 @@ def _(i):
     return pricing_summary(i.base, i.quotes, P)
 
 
+@query("summary_mixed_types", o.summary_sql())
+def _(i):
+    """The same figures where retained vehicles are doubles and written premium is stored in several types."""
+    types = {"Retained6Months": "DOUBLE", "WP_PD": "DOUBLE", "WP_COL": "DECIMAL(30,10)", "CLEP_BI": "DECIMAL(38,4)"}
+    mixed = i.base.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+    summary = pricing_summary(mixed, i.quotes, P)
+    kept = {c: summary.schema[c].dataType.simpleString() for c in ("LOSS_CC_TOTAL", "LOSS_CC_BI", "Month6Active")}
+    if kept != {"LOSS_CC_TOTAL": "bigint", "LOSS_CC_BI": "bigint", "Month6Active": "double"}:
+        raise TypeError(f"a column's type follows another one's: {kept}")
+    return summary.withColumn("Month6Active", F.col("Month6Active").cast("bigint"))
+
+
 @query("summary_no_quotes", o.summary_sql(quotes=False))
 def _(i):
     return pricing_summary(i.base, None, P)
@@ -483,17 +497,29 @@ def _(i):
                    adjustments=i.view("src_adjustment"), adjustment_key=_ADJ_KEY)
 
 
+def _sorted_sql():
+    keys = ", ".join(f"{k} NULLS FIRST" for k in o.KEYS)
+    return f"SELECT *, row_number() OVER (ORDER BY {keys}) AS position FROM ({o.summary_sql()})"
+
+
+@query("summary_sorted", _sorted_sql())
+def _(i):
+    """The summary as it is stored for readers, with its position in key order."""
+    return positioned_by_keys(pricing_summary(i.base, i.quotes, P), P.keys, Store.temporary(i.spark))
+
+
 # ---------------------------------------------------------------- facts
 
 _BOUNDS_SQL = """SELECT min(PolicyTermStartEffDate) AS p0, max(PolicyTermStartEffDate) AS p1, min(CancellationDate) AS q0 FROM fx_pm"""
 _LABEL = "upper(strftime({}, '%d%b%y'))".format
-_KEY_ROWS = list(enumerate(padded_keys(P), 3))
+_KEY_ROWS = list(enumerate(["TermType", "UWYear", "PolicyStateCode_F", "Segment_F", "var5", "var6", "var7", "var8", "var9", "var10"], 3))
 
 
-def _bounds(i):
-    return i.view("fx_pm").agg(F.min("PolicyTermStartEffDate").alias("prem_loss_start"),
-                               F.max("PolicyTermStartEffDate").alias("end"),
-                               F.min("CancellationDate").alias("sale_quote_start"))
+def _params_of(i):
+    """A run over all terms there are."""
+    days = i.view("fx_pm").agg(F.min("PolicyTermStartEffDate").alias("first"), F.max("PolicyTermStartEffDate").alias("last"),
+                               F.min("CancellationDate").alias("cancelled")).first()
+    return replace(P, prem_loss_start=days["first"], end=days["last"], sale_quote_start=days["cancelled"])
 
 
 @query("facts", o.with_([*view_ctes("fx_pm"), f"b AS ({_BOUNDS_SQL})"], f"""
@@ -501,11 +527,11 @@ SELECT 1 AS position, concat({_LABEL('p0')}, ' - ', {_LABEL('p1')}) AS value FRO
 UNION ALL SELECT 2, concat({_LABEL('q0')}, ' - ', {_LABEL('p1')}) FROM b
 """ + "\n".join(f"UNION ALL SELECT {n}, '{key}'" for n, key in _KEY_ROWS)))
 def _(i):
-    return facts_plan.facts_from_bounds(_bounds(i), padded_keys(P))
+    return facts_plan.facts(i.spark, _params_of(i))
 
 
 @query("facts_row", o.with_([*view_ctes("fx_pm"), f"b AS ({_BOUNDS_SQL})"], f"""
 SELECT concat({_LABEL('p0')}, ' - ', {_LABEL('p1')}) AS fact1, concat({_LABEL('q0')}, ' - ', {_LABEL('p1')}) AS fact2, """
     + ", ".join(f"'{key}' AS fact{n}" for n, key in _KEY_ROWS) + " FROM b"))
 def _(i):
-    return facts_plan.facts_row(facts_plan.facts_from_bounds(_bounds(i), padded_keys(P)))
+    return facts_plan.facts_row(facts_plan.facts(i.spark, _params_of(i)))

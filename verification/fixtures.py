@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateloom.coverages import PREMIUM_COVERAGES, source_column
 from rateloom.params import PricingParams
+from verification.values import PREMIUM_COVERAGES, source_column
 
 BASE_TABLES = ("nation", "customer", "orders", "lineitem")
 
@@ -45,6 +45,7 @@ def _case(subject: str, values: dict, default: str = "NULL") -> str:
     return f"CASE {subject} {arms} ELSE {default} END"
 
 
+# Claim coverages as the transactions spell them, and the IBNR columns.
 _CLAIM_NAMES = (
     "BodilyInjury", "PropertyDamage", "Comprehensive", "Collision", "UMBI", "UMPD",
     "RentalReimbursement", "MedPay", "PIP", "LoanGap", "TowingLabor", "CustomEquipment",

@@ -1,19 +1,13 @@
 """Expected results as SQL, branch by branch.
 
 Written from the definition of each figure: one filtered group-by per branch, all of them
-outer-joined on the keys. It shares the input views with the engine and nothing else.
+outer-joined on the keys. It shares no code and no names with the engine (``values`` has its own).
 """
 
 from __future__ import annotations
 
-from rateloom.coverages import (
-    CLAIM_COVERAGE_CODES,
-    IBNR_COVERAGES,
-    LOSS_COVERAGES,
-    PREMIUM_COVERAGES,
-    source_column,
-)
 from verification.fixtures import EXTRACT_FLOOR, view_ctes
+from verification.values import CLAIM_CODES, IBNR_COVERAGES, LOSS_COVERAGES, PREMIUM_COVERAGES, source_column
 
 PB0, END, QB0, REN0 = "1998-07-01", "2001-07-01", "2000-07-01", "2000-07-01"
 FACTORS = ("PolicyStateCode_F", "Segment_F")
@@ -62,7 +56,7 @@ def premium_cte(source="fx_pm"):
 
 
 def loss_ctes(losses="fx_loss", premium="prem"):
-    code = "CASE CoverageType " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CLAIM_COVERAGE_CODES.items()) + " END"
+    code = "CASE CoverageType " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CLAIM_CODES.items()) + " END"
     return [
         f"""loss0 AS (SELECT * REPLACE (CASE WHEN CatastropheKey <> 1 AND CoverageType='Comprehensive'
  THEN 'COMP_CAT' ELSE CoverageType END AS CoverageType) FROM {losses})""",
