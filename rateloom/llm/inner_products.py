@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.llm.shared import map_batches, stored
-from rateloom.llm.vectors import dealt, matrix, ranked, valid_vectors
+from rateloom.llm.vectors import dealt, length_of, lengths, matrix, ranked, valid_vectors
 
 SCALE = 64.0
 #: Vectors that the rotation is found on; longest candidates that set the first thresholds.
@@ -39,7 +39,7 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Inner products of whole numbers, exact as long as they fit into a long."""
     if not len(q) or not len(x):
         return np.zeros((len(q), len(x)), np.int64)
-    if np.sqrt((q * q).sum(1).max() * (x * x).sum(1).max()) < _EXACT:
+    if lengths(q).max() * lengths(x).max() < _EXACT:
         return (q @ x.T).astype(np.int64)
     whole = [[int(v) for v in row] for row in q], [[int(v) for v in row] for row in x]
     return np.array([[max(-_LONG, min(_LONG, sum(a * b for a, b in zip(r, c, strict=True)))) for c in whole[1]] for r in whole[0]], np.int64)
@@ -47,29 +47,33 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def rotation(sample: np.ndarray) -> np.ndarray:
     """Right singular vectors, the strongest first."""
+    sample = sample / max(np.abs(sample).max(initial=0.0), 1e-300)
     return np.linalg.svd(sample.T @ sample)[0] if len(sample) else np.eye(sample.shape[1])
 
 
+@np.errstate(over="ignore", invalid="ignore")
 def block_search(ids: np.ndarray, x: np.ndarray, who: np.ndarray, q: np.ndarray, floor: np.ndarray, turn: np.ndarray, k: int):
-    """(query, candidate, score) for every query's k best in the block that reach its threshold."""
+    """(query, candidate, score) for every query's k best in the block that reach its threshold.
+
+    Bounds beyond a double's range are infinite or undefined; such candidates are multiplied out.
+    """
     head = max(1, int(HEAD * x.shape[1]))
-    length = np.sqrt((x * x).sum(1))
+    length = lengths(x)
     order = np.argsort(-length, kind="stable")
     ids, x, length = ids[order], x[order], length[order]
-    turned, asked, own = x @ turn, q @ turn, np.sqrt((q * q).sum(1))
-    rest = np.sqrt((turned[:, head:] ** 2).sum(1))
-    open_rest = np.sqrt((asked[:, head:] ** 2).sum(1))
+    turned, asked, own = x @ turn, q @ turn, lengths(q)
+    rest, open_rest = lengths(turned[:, head:]), lengths(asked[:, head:])
     top = np.full((len(q), k), -np.inf)
     limit = floor.copy()
     slack = 1e-9 * (1 + own * (length[0] if len(length) else 0))
     found = []
     for a in range(0, len(x), STEP):
-        going = np.flatnonzero(own * length[a] >= limit - slack)
+        going = np.flatnonzero(~(own * length[a] < limit - slack))
         if not len(going):
             break
         b = min(len(x), a + STEP)
         bound = asked[going, :head] @ turned[a:b, :head].T + np.outer(open_rest[going], rest[a:b])
-        maybe = (bound >= (limit - slack)[going, None]) & (ids[None, a:b] != who[going, None])
+        maybe = ~(bound < (limit - slack)[going, None]) & (ids[None, a:b] != who[going, None])
         rows, columns = np.nonzero(maybe)
         if not len(rows):
             continue
@@ -110,8 +114,7 @@ def largest_products(df: DataFrame, is_query, k: int = 20, id_column: str = "vec
     """
     spark = df.sparkSession
     vectors = valid_vectors(df, id_column, vector_column, k, lambda x: floored(x * scale))
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    vectors = stored(vectors.withColumn("length", length), "whole")
+    vectors = stored(vectors.withColumn("length", length_of("vector")), "whole")
     shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width")).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not shape["n"]:
@@ -141,12 +144,13 @@ def largest_products(df: DataFrame, is_query, k: int = 20, id_column: str = "vec
     def asked(batches):
         for batch in batches:
             ids, q = np.asarray(batch.column(0)), matrix(batch.column(1), width)
-            own = np.sqrt((q * q).sum(1))
+            own = lengths(q)
             scores = products(q, first_x).astype(np.float64)
             scores[ids[:, None] == first_ids[None, :]] = -np.inf
             floor = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] > k else np.full(len(q), -np.inf)
             for bucket, (parts, longest) in bounds.items():
-                open_ones = np.flatnonzero(own * longest * (1 + 1e-9) >= floor)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    open_ones = np.flatnonzero(~(own * longest * (1 + 1e-9) < floor))
                 for part in range(parts):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(open_ones), bucket, np.int32)), pa.array(np.full(len(open_ones), part, np.int32)),

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.llm.shared import lists, map_batches, stored
-from rateloom.llm.vectors import best, dealt, matrix, ranked, valid_vectors
+from rateloom.llm.vectors import best, dealt, length_of, lengths, matrix, ranked, valid_vectors
 
 TABLES, PROJECTIONS, WIDTH = 6, 8, 1.5
 #: How many buckets a table's visit may take, tried in this order on the sample until it reaches the recall.
@@ -85,7 +85,7 @@ class ProbeIndex:
 
     def visits(self, table: int, queries: np.ndarray, order: np.ndarray) -> np.ndarray:
         """Bucket numbers that each query visits, a column a query, in their order."""
-        unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
+        unit = queries / lengths(queries)[:, None]
         place = self.slabs(table, np.hstack([unit, np.zeros((len(unit), 1))]))
         floor = np.clip(np.floor(place), 2 - _BASE // 2, _BASE // 2 - 3)
         below = place - floor
@@ -124,7 +124,8 @@ def fit(vectors: DataFrame, k: int, recall: float = RECALL, seed: int = 7) -> Pr
     if len(x) < 2:
         return index
     asked = np.sort(rng.permutation(len(x))[:SAMPLE_QUERIES])
-    scores = x[asked] @ x.T
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores = x[asked] @ x.T
     scores[ids[asked][:, None] == ids[None, :]] = -np.inf
     wanted = np.argpartition(-scores, min(k, len(x) - 1) - 1, axis=1)[:, :min(k, len(x) - 1)]
     others = np.take_along_axis(scores, wanted, 1) > -np.inf
@@ -157,8 +158,7 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vec
     fewer than k vectors of a part scores all of the part; all queries do if the sample's recall stays too low.
     """
     spark = df.sparkSession
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    vectors = stored(valid_vectors(df, id_column, vector_column, k).withColumn("length", length).where("length > 0"), "vectors")
+    vectors = stored(valid_vectors(df, id_column, vector_column, k).withColumn("length", length_of("vector")).where("length > 0"), "vectors")
     index = fit(vectors, k)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -193,10 +193,11 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vec
                 met |= _visited(*tables[t], index.visits(t, q, order))
             met[(met & (ids[None, :] != who[:, None])).sum(1) < k] = True
             some_met = np.flatnonzero(met.any(0))
-            rough = q @ x[some_met].T
+            with np.errstate(over="ignore", invalid="ignore"):
+                rough = q @ x[some_met].T
             for row, name in enumerate(who):
                 of_met = np.flatnonzero(met[row, some_met] & (ids[some_met] != name))
-                if len(of_met) > k:  # a margin for the order of addition
+                if len(of_met) > k and np.isfinite(rough[row, of_met]).all():  # a margin for the order of addition
                     s = rough[row, of_met]
                     of_met = of_met[s >= np.partition(s, len(s) - k)[len(s) - k] - 1e-9 * (1 + np.abs(s).max())]
                 if len(of_met):

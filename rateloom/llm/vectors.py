@@ -26,6 +26,21 @@ def valid_vectors(df: DataFrame, id_column: str, vector_column: str, k: int, cha
     return copies.select("vec_id", "vector", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
 
 
+def length_of(vector: str) -> Column:
+    """A vector's length; numbers are divided by the largest first, so that no square leaves a double's range. A length beyond
+    the range is its end."""
+    most = F.array_max(F.transform(vector, F.abs))
+    squares = F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x / most) * (x / most))
+    return F.when(most > 0, F.least(most * F.sqrt(squares), F.lit(1.7e308))).otherwise(F.lit(0.0))
+
+
+def lengths(x: np.ndarray) -> np.ndarray:
+    """The same for the rows of a matrix."""
+    most = np.abs(x).max(1, initial=0.0)
+    with np.errstate(over="ignore"):
+        return np.minimum(most * np.sqrt(((x / np.where(most > 0, most, 1.0)[:, None]) ** 2).sum(1)), 1.7e308)
+
+
 def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     """List values as rows of a matrix; shorter vectors end in zeros."""
     if isinstance(column, pa.ChunkedArray):
