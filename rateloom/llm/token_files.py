@@ -42,7 +42,7 @@ REMEMBERED_CHARS, REMEMBERED_WORDS = 40, 250_000
 #: New words that the library splits in one go.
 WORDS_AT_ONCE = 5000
 #: Texts that are encoded at once.
-TEXTS_AT_ONCE = 4000
+TEXTS_AT_ONCE = 2000
 
 #: GPT-2's way to write bytes as characters, and its pattern of words, here as far as plain texts need it.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
