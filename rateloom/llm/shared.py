@@ -31,8 +31,19 @@ def shared_folder(spark: SparkSession) -> str:
     return "/tmp/checkpoints"
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_folder(spark)}/rateloom-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/rateloom-{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables, once its results are written: lazy results still read them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -190,3 +190,14 @@ def test_sessions_keep_their_settings(spark):
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     QUERIES["op5_licenses"](spark, SF).agg(F.count(F.lit(1))).collect()
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_intermediate_tables_are_in_one_folder(spark):
+    from rateloom.llm import shared
+
+    path = fresh_path(spark, "test")
+    assert path.startswith(shared.run_folder(spark) + "/test-")
+    table = stored(spark.range(3), "test")
+    assert table.count() == 3 and all(shared.run_folder(spark) in f for f in table.inputFiles())
+    shared.clean_up(spark)
+    assert not Path(shared.run_folder(spark)).exists()
