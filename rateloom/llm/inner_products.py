@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.llm.shared import map_batches, stored
-from rateloom.llm.vectors import dealt, length_of, lengths, matrix, ranked, valid_vectors
+from rateloom.llm.vectors import dealt, lengths, matrix, ranked, valid_vectors, with_length
 
 SCALE = 64.0
 #: Vectors that the rotation is found on; longest candidates that set the first thresholds.
@@ -114,7 +114,7 @@ def largest_products(df: DataFrame, is_query, k: int = 20, id_column: str = "vec
     """
     spark = df.sparkSession
     vectors = valid_vectors(df, id_column, vector_column, k, lambda x: floored(x * scale))
-    vectors = stored(vectors.withColumn("length", length_of("vector")), "whole")
+    vectors = stored(with_length(vectors), "whole")
     shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width")).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not shape["n"]:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.llm.shared import lists, map_batches, stored
-from rateloom.llm.vectors import best, dealt, length_of, lengths, matrix, ranked, valid_vectors
+from rateloom.llm.vectors import best, dealt, lengths, matrix, ranked, valid_vectors, with_length
 
 TABLES, PROJECTIONS, WIDTH = 6, 8, 1.5
 #: How many buckets a table's visit may take, tried in this order on the sample until it reaches the recall.
@@ -158,7 +158,7 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vec
     fewer than k vectors of a part scores all of the part; all queries do if the sample's recall stays too low.
     """
     spark = df.sparkSession
-    vectors = stored(valid_vectors(df, id_column, vector_column, k).withColumn("length", length_of("vector")).where("length > 0"), "vectors")
+    vectors = stored(with_length(valid_vectors(df, id_column, vector_column, k)).where("length > 0"), "vectors")
     index = fit(vectors, k)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

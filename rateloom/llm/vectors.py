@@ -26,12 +26,13 @@ def valid_vectors(df: DataFrame, id_column: str, vector_column: str, k: int, cha
     return copies.select("vec_id", "vector", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
 
 
-def length_of(vector: str) -> Column:
-    """A vector's length; numbers are divided by the largest first, so that no square leaves a double's range. A length beyond
-    the range is its end."""
-    most = F.array_max(F.transform(vector, F.abs))
-    squares = F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x / most) * (x / most))
-    return F.when(most > 0, F.least(most * F.sqrt(squares), F.lit(1.7e308))).otherwise(F.lit(0.0))
+def with_length(df: DataFrame) -> DataFrame:
+    """The rows with their vector's length; numbers are divided by the largest first, so that no square leaves a double's
+    range. A length beyond the range is its end."""
+    rows = df.withColumn("most", F.array_max(F.transform("vector", F.abs)))  # a column of its own: found once, not for every number
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.col("most")) * (x / F.col("most")))
+    length = F.when(F.col("most") > 0, F.least(F.col("most") * F.sqrt(squares), F.lit(1.7e308))).otherwise(F.lit(0.0))
+    return rows.withColumn("length", length).drop("most")
 
 
 def lengths(x: np.ndarray) -> np.ndarray:
