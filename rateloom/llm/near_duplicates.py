@@ -4,14 +4,18 @@ Texts with the same set of word shingles form a class; classes are compared, by
 
 1. *Groups.* Classes that share a least shingle under one of some hash functions compare themselves with the first class
    that has it; verified links join them. Classes with the same first class go into the same group, a block of bounded size;
-   many that are joined already get blocks of their own.
-2. *Matrix.* Tokens are ordered, those that few documents have first. Two linked sets share one of the first quarter of
-   their tokens, or their overlap would be too small; so the matrix holds, for each token, the groups that have it in that
-   part of a member. Groups that share a row and have members of fitting sizes there are candidates, and so is a group with
-   two such members; where all of them are joined already, they are not.
-3. *Bound and open.* For a candidate pair the overlap of every member with the other group's token union bounds its overlap
-   with any member of that group. Only members that reach the threshold are compared, exactly, by one product of the two
-   groups' token matrices; what comes out are links that join the members, not all pairs.
+   many that are joined already get blocks of their own. Classes left alone that share the least of their first tokens with
+   enough others are grouped by it.
+2. *Matrix.* Tokens are ordered, those that few documents have first. A group's row cells are the union of its members'
+   first tokens, about a quarter of each set, without those that one document has: each cell holds the range of sizes and
+   of components of the members that have the token.
+3. *Bound.* Of two linked sets, all shared tokens up to the end of one's first tokens are cells of both; what is behind them
+   is too short for the threshold by itself. So a pair of groups (or a group with itself) must share a number of cells that
+   follows from the sizes. Shared cells are added up per pair, in each part of the matrix and then by a keyed sum, and only
+   pairs that reach the number qualify. Cells whose members are all joined already don't count.
+4. *Open.* For a qualifying pair the overlap of every member with the other group's whole token union bounds its overlap with
+   any member of that group. Only members that reach the threshold are compared, exactly, by one product of the two groups'
+   token matrices; what comes out are links that join the members, not all pairs.
 
 Rows travel as packed arrays of token hashes. Exact copies are counted once; groups with many members are dealt to blocks.
 The order of tokens is a hint only: it is made of a bounded list of the most frequent tokens, and any order gives the same
@@ -34,6 +38,9 @@ WORDS, PERCENT = 5, 75
 #: Hash functions for the groups; most frequent tokens that order the others; members of a group, and how many joined ones
 #: get groups of their own; columns of a token matrix that are multiplied at once.
 KEYS, FREQUENT, BLOCK, OWN_GROUPS, COLUMNS = 4, 1 << 20, 1024, 256, 8192
+#: Lone classes with a first token in common that make a group; tokens of all classes for each part of the matrix, which has
+#: 2 ** PART_BITS parts at least.
+TOGETHER, PART_TOKENS, PART_BITS = 16, 1 << 21, 11
 #: Tokens that are counted before they leave a task, and bits of the filters of wanted texts and of tokens counted twice.
 COUNTED_AT_ONCE, FILTER_BITS, TWICE_BITS = 2_000_000, 1 << 25, 1 << 28
 #: Words whose hashes a worker keeps.
@@ -41,7 +48,7 @@ REMEMBERED_WORDS = 250_000
 #: Pairs of matrix cells that are looked at in one go.
 PAIRS_AT_ONCE = 1_000_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
-_SHIFT = np.uint64(21)  # a token's number in counts and matrix: its upper 43 bits, 11 of them for the part
+_SHIFT = np.uint64(21)  # a token's number in counts: its upper 43 bits, 11 of them for the part
 _HALF = np.uint64(1 << 63)  # tokens below are counted
 _PART_BITS = TWICE_BITS >> 10  # counted tokens have 1024 parts
 
@@ -193,7 +200,7 @@ def _marks(twice: dict[int, bytes]) -> np.ndarray:
 
 
 def first_tokens(tokens: np.ndarray, numbers: np.ndarray, orders: np.ndarray, twice: np.ndarray, percent: int) -> np.ndarray:
-    """Numbers of a set's first tokens: those counted once, then unlisted ones, then frequent ones by the order of their
+    """A set's first tokens: those counted once, then unlisted ones, then frequent ones by the order of their
     count, each by hash; uncounted ones last. So many that a linked set must share one of its own first tokens with them.
     Those counted once, which nobody shares, are left out again."""
     own = (tokens >> _SHIFT).astype(np.int64)
@@ -208,7 +215,17 @@ def first_tokens(tokens: np.ndarray, numbers: np.ndarray, orders: np.ndarray, tw
         order[:len(known)][listed] = orders[at[listed]] + 1
     length = len(own) - -(-percent * len(own) // 100) + 1
     first = np.argsort(order, kind="stable")[:length]
-    return own[first[order[first] > 0]]
+    return tokens[first[order[first] > 0]]
+
+
+def cells_needed(small: np.ndarray, large: np.ndarray, percent: int) -> np.ndarray:
+    """How many first tokens two linked sets of these sizes share at least, smaller one first. Never more for a smaller
+    ``small`` or a larger ``large``, so the ends of ranges of sizes give a bound for all sizes in them.
+
+    Sets of sizes s <= l share p(s + l) / (100 + p) tokens at least, and fewer than p * l / 100 of them come after the end of
+    the first tokens of the one whose first tokens end first.
+    """
+    return np.maximum(percent * (100 * small - percent * large) // (100 * (100 + percent)) + 1, 1)
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -335,7 +352,7 @@ def _star_links(classes: DataFrame, texts: DataFrame, words: int, percent: int)
 
 
 def _groups(classes: DataFrame, pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """node, doc_id, text_hash, n, component (by the links so far) and group, stored."""
+    """node, doc_id, text_hash, n, component (by the links so far), group and whether it is alone there, stored."""
     first = pairs.groupBy("node").agg(F.min("leader").alias("leader"))
     rows = classes.select("node", "doc_id", "text_hash", "n").join(first, "node", "left").join(joined, "node", "left").select(
         "node", "doc_id", "text_hash", "n", F.coalesce("leader", "node").alias("leader"), F.coalesce("component", "node").alias("component"))
@@ -346,7 +363,8 @@ def _groups(classes: DataFrame, pairs: DataFrame, joined: DataFrame) -> DataFram
     rows = rows.join(large, "component", "left").join(small, "leader", "left")
     group = F.when(F.col("own").isNotNull(), F.xxhash64(F.lit(1), "component", F.pmod(F.xxhash64("node"), F.col("own")))).otherwise(
         F.xxhash64(F.lit(2), "leader", F.pmod(F.xxhash64("component"), F.coalesce("shared", F.lit(1)))))
-    return stored(rows.select("node", "doc_id", "text_hash", "n", "component", group.alias("group")), "groups")
+    alone = F.col("own").isNull() & F.col("shared").isNull()
+    return stored(rows.select("node", "doc_id", "text_hash", "n", "component", group.alias("group"), alone.alias("alone")), "groups")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -378,21 +396,37 @@ def components(links: DataFrame) -> DataFrame:
     return found.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def _candidates(texts: DataFrame, classes: DataFrame, counts: tuple[np.ndarray, np.ndarray, dict[int, bytes]], words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of groups that are to be opened, stored. ``classes`` are those of ``_groups``."""
+def _members(texts: DataFrame, classes: DataFrame, counts: tuple[np.ndarray, np.ndarray, dict[int, bytes]], words: int, percent: int) -> DataFrame:
+    """group, component, doc_id, text_hash, n and tokens (first ones, packed) of classes that have first tokens, stored; others
+    are linked with nothing that they aren't joined with. ``classes`` are those of ``_groups``; TOGETHER lone ones or more that
+    have the same least first token get a group, in blocks."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, orders, twice = counts
         marks = _marks(twice)
         for batch in batches:
-            sets = shingle_sets(batch.column(2).to_pylist(), words)
-            firsts = [first_tokens(s, numbers, orders, marks, percent).tobytes() or None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(firsts, pa.binary())], names=["doc_id", "text_hash", "tokens"])
+            firsts = [first_tokens(s, numbers, orders, marks, percent) for s in shingle_sets(batch.column(2).to_pylist(), words)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([f.tobytes() or None for f in firsts], pa.binary()),
+                 pa.array([int(_signed(mix64(f).min(keepdims=True))[0]) if len(f) else None for f in firsts], pa.int64())],
+                names=["doc_id", "text_hash", "tokens", "least"])
 
-    rows = map_batches(texts.select("doc_id", "text_hash", "text"), prefixes, "doc_id long, text_hash long, tokens binary").where("tokens IS NOT NULL")
-    ids = classes.select("group", "component", "n", F.col("doc_id").alias("of"), F.col("text_hash").alias("of_text"))
-    rows = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_text")))
-    rows = rows.select("group", "component", "n", "tokens")
+    rows = map_batches(texts.select("doc_id", "text_hash", "text"), prefixes, "doc_id long, text_hash long, tokens binary, least long").where("tokens IS NOT NULL")
+    # repeated rows of one id and text count once; one shuffle serves both steps
+    named = [F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("number"), F.col("text_hash")]
+    rows = rows.select(*named, "tokens", "least").groupBy("unnamed", "number", "text_hash").agg(F.first("tokens").alias("tokens"), F.first("least").alias("least"))
+    rows = rows.join(classes.select(*named, "doc_id", "node", "group", "alone", "component", "n"), ["unnamed", "number", "text_hash"])
+    rows = stored(rows.drop("unnamed", "number"), "first-tokens")
+    blocks = rows.where("alone").groupBy("least").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") >= TOGETHER).select(
+        "least", F.lit(True).alias("alone"), F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"))
+    group = F.when(F.col("blocks").isNotNull(), F.xxhash64(F.lit(3), "least", F.pmod(F.xxhash64("node"), F.col("blocks")))).otherwise(F.col("group"))
+    return stored(rows.join(blocks, ["least", "alone"], "left").select(group.alias("group"), "component", "doc_id", "text_hash", "n", "tokens"), "members")
+
+
+def _candidates(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of groups that share as many cells as linked members would, stored. ``members`` are those of ``_members``."""
+    total = members.agg(F.sum(F.length("tokens") / 8)).first()[0] or 0
+    shift = np.uint64(64 - max(PART_BITS, int(total // PART_TOKENS).bit_length()))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, held = [], 0
@@ -404,13 +438,13 @@ def _candidates(texts: DataFrame, classes: DataFrame, counts: tuple[np.ndarray,
             order = np.lexsort((n, c, g, t))
             t, g, c, n = t[order], g[order], c[order], n[order]
             new = np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1]) | (c[1:] != c[:-1]) | (n[1:] != n[:-1])])
-            parts, columns = _packed((t[new] >> 32).astype(np.int32), t[new].astype(np.uint32), g[new], c[new], n[new].astype(np.int32))
+            parts, columns = _packed((t[new] >> shift).astype(np.int64), t[new], g[new], c[new], n[new])
             return pa.RecordBatch.from_arrays([pa.array(parts), *(pa.array(x, pa.binary()) for x in columns)],
                                               names=["part", "tokens", "groups", "components", "sizes"])
 
         for batch in batches:
             for group, component, n, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                waiting.append((np.frombuffer(tokens, np.int64), group, component, n))
+                waiting.append((np.frombuffer(tokens, np.uint64), group, component, n))
                 held += len(waiting[-1][0])
                 if held > COUNTED_AT_ONCE:
                     yield out()
@@ -418,36 +452,47 @@ def _candidates(texts: DataFrame, classes: DataFrame, counts: tuple[np.ndarray,
         if held:
             yield out()
 
-    matrix = map_batches(rows, deal, "part int, tokens binary, groups binary, components binary, sizes binary", 2000)
+    matrix = map_batches(members.select("group", "component", "n", "tokens"), deal,
+                         "part long, tokens binary, groups binary, components binary, sizes binary", 2000)
 
     def meet(some: pa.Table) -> pa.Table:
         t, g, c, n = (np.concatenate([np.frombuffer(x, kind) for x in some.column(name).to_pylist()]) for name, kind in (
-            ("tokens", np.uint32), ("groups", np.int64), ("components", np.int64), ("sizes", np.int32)))
+            ("tokens", np.uint64), ("groups", np.int64), ("components", np.int64), ("sizes", np.int64)))
         order = np.lexsort((g, t))
-        t, g, c, n = t[order], g[order], c[order], n[order].astype(np.int64)
+        t, g, c, n = t[order], g[order], c[order], n[order]
         heads = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])]))
         least, most = (f.reduceat(n, heads) for f in (np.minimum, np.maximum))
         low, high = (f.reduceat(c, heads) for f in (np.minimum, np.maximum))
-        t, g = t[heads], g[heads]  # a matrix cell each
-        found = [np.stack([g[low != high]] * 2, 1)]
-        last = np.searchsorted(t, t, side="right")
-        partners = last - np.arange(len(t)) - 1
-        for part in np.array_split(np.arange(len(t)), int(partners.sum()) // PAIRS_AT_ONCE + 1):
-            i = np.repeat(part, partners[part])
-            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(partners[part]) - partners[part], partners[part])
+        t, (names, g) = t[heads], np.unique(g[heads], return_inverse=True)  # a matrix cell each
+        partners = np.searchsorted(t, t, side="right") - np.arange(len(t))  # itself included
+        ends = np.cumsum(partners)
+        cuts = np.unique(np.searchsorted(ends, np.arange(0, int(ends[-1]), PAIRS_AT_ONCE)))
+        keys, shared, need = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for a, b in zip(cuts, np.append(cuts[1:], len(t)), strict=True):
+            i = np.repeat(np.arange(a, b), partners[a:b])
+            j = i + np.arange(len(i)) - np.repeat(ends[a:b] - partners[a:b] - (ends[a] - partners[a]), partners[a:b])
             fits = (100 * most[i] >= percent * least[j]) & (100 * most[j] >= percent * least[i])
-            fits &= (np.minimum(low[i], low[j]) != np.maximum(high[i], high[j]))
-            found.append(np.unique(np.stack([g[i[fits]], g[j[fits]]], 1), axis=0))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
-    return stored(matrix.groupBy("part").applyInArrow(meet, "a long, b long").distinct(), "candidates")
-
-
-def _group_links(classes: DataFrame, candidates: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+            fits &= np.minimum(low[i], low[j]) != np.maximum(high[i], high[j])
+            i, j = i[fits], j[fits]
+            every = np.concatenate([keys, g[i] * len(names) + g[j]])
+            ones = np.concatenate([shared, np.ones(len(i), np.int64)])
+            needs = np.concatenate([need, cells_needed(np.minimum(least[i], least[j]), np.maximum(most[i], most[j]), percent)])
+            order = np.argsort(every, kind="stable")
+            every = every[order]
+            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+            if len(first):
+                keys, shared, need = every[first], np.add.reduceat(ones[order], first), np.minimum.reduceat(needs[order], first)
+        return pa.table({"a": pa.array(names[keys // len(names)]), "b": pa.array(names[keys % len(names)]), "shared": pa.array(shared), "need": pa.array(need)})
+
+    pairs = matrix.groupBy("part").applyInArrow(meet, "a long, b long, shared long, need long").groupBy("a", "b").agg(
+        F.sum("shared").alias("shared"), F.min("need").alias("need"))
+    return stored(pairs.where("shared >= need").select("a", "b"), "candidates")
+
+
+def _group_links(grouped: DataFrame, candidates: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) of components that have linked members in candidate groups, stored."""
     involved = candidates.select(F.col("a").alias("group")).union(candidates.select(F.col("b").alias("group"))).distinct()
-    members = classes.join(involved, "group", "left_semi").select("group", "component", "doc_id", "text_hash")
+    members = grouped.join(involved, "group", "left_semi").select("group", "component", "doc_id", "text_hash")
     sets = _token_sets(texts, members, words, "group-sets")
     # the smaller groups that one group meets are opened against it together, so its members are sent once for many of them
     many = members.groupBy("group").agg(F.count(F.lit(1)).alias("many"))
@@ -493,8 +538,8 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     counts = _frequent(sketches)
     pairs, stars = _star_links(classes, texts, words, percent)
     grouped = _groups(classes, pairs, stored(components(stars), "joined"))
-    candidates = _candidates(texts, grouped, counts, words, percent)
-    links = _group_links(grouped, candidates, texts, words, percent)
+    members = _members(texts, grouped, counts, words, percent)
+    links = _group_links(members, _candidates(members, percent), texts, words, percent)
     joined = stored(components(links), "joined").select(F.col("node").alias("component"), F.col("component").alias("whole"))
     member = classes.select("node", "set_a", "set_b", "least").join(grouped.select("node", "component"), "node").join(
         joined, "component", "left").select("set_a", "set_b", "least", F.coalesce("whole", "component").alias("component"))
