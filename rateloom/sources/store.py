@@ -3,12 +3,14 @@
 A store is a folder that all executors share:
 
 * ``data/``: a folder per stored table, named by a random part; never changed once written,
+* ``claims/``: an empty file per name that can be published a single time, named by a hash of it,
 * ``manifest/``: a folder per publication with one Parquet row that names the tables, their schemas, what they were made of
   (the fingerprint) and a few facts found on the way, such as the latest earned date.
 
 Tables are written first, the row last. Spark moves the row's single file into place when its job commits, so a publication
 is there as a whole or not at all; a run that dies half-way leaves data that no row names, and what was published before it
-stays readable. Several writers don't disturb each other. ``clean`` removes data that no row names.
+stays readable. Several writers don't disturb each other; of those that publish one name a single time, the one that creates
+the claim goes on, whatever their clocks say. ``clean`` removes data and claims that no row names.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,6 +71,10 @@ def source_state(df: DataFrame, version: str | None = None) -> dict | None:
     return state | {"files": row.asDict()}
 
 
+def _claimed(name: str) -> str:
+    return hashlib.sha256(name.encode()).hexdigest()
+
+
 @dataclass(frozen=True)
 class Entry:
     """One publication."""
@@ -132,6 +139,7 @@ class Store:
         """Make written tables known, all of them with one row. With ``once`` a name can be published a single time."""
         if once and self.find(name):
             raise FileExistsError(f"{name} is published in {self.path} already")
+        claim = self._claim(name) if once else None
         entry = uuid.uuid4().hex
 
         def texts(values: Mapping[str, object]):
@@ -143,22 +151,36 @@ class Store:
             F.current_timestamp().alias("published"), F.lit(fmt).alias("format"),
             texts({k: folder for k, (folder, _) in tables.items()}).alias("tables"),
             texts({k: df.schema.json() for k, (_, df) in tables.items()}).alias("schemas"), texts(facts or {}).alias("facts"))
-        row.write.parquet(f"{self.path}/manifest/{entry}")
-        published = self.entries(name)
-        if once and published[0].entry != entry:
-            self._remove(f"{self.path}/manifest/{entry}")
-            raise FileExistsError(f"{name} was published in {self.path} at the same time")
-        return next(e for e in published if e.entry == entry)
+        try:
+            row.write.parquet(f"{self.path}/manifest/{entry}")
+        except BaseException:
+            if claim:
+                self._remove(claim)
+            raise
+        return next(e for e in self.entries(name) if e.entry == entry)
+
+    def _claim(self, name: str) -> str:
+        """Take a name for a single publication: the file system creates a file for one writer only."""
+        files, path = self._files()
+        claim = f"{self.path}/claims/{_claimed(name)}"
+        try:
+            files.create(path(claim), False).close()
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            raise FileExistsError(f"{name} is being published in {self.path}, or its writer died; clean() frees it in time") from error
+        return claim
 
     def _remove(self, folder: str) -> None:
         files, path = self._files()
         files.delete(path(folder), True)
 
     def clean(self, older_than: timedelta = timedelta(days=7)) -> list[str]:
-        """Remove data that no publication names and that was last changed before; returns the folders."""
-        named = {folder.rsplit("/", 1)[-1] for e in self.entries() for folder in e.tables.values()}
+        """Remove data and claims that no publication names and that were last changed before; returns their paths."""
+        entries = self.entries()
+        named = {folder.rsplit("/", 1)[-1] for e in entries for folder in e.tables.values()} | {_claimed(e.name) for e in entries}
         before = (datetime.now(timezone.utc) - older_than).timestamp() * 1000
-        gone = [str(s.getPath()) for s in self._children("data")
+        gone = [str(s.getPath()) for s in (*self._children("data"), *self._children("claims"))
                 if s.getPath().getName() not in named and s.getModificationTime() <= before]
         for folder in gone:
             self._remove(folder)

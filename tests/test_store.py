@@ -234,6 +234,34 @@ def test_results_are_published_together_and_once(spark, tmp_path, monkeypatch):
     assert len({run_label("me") for _ in range(20)}) == 20
 
 
+def test_one_of_several_writers_publishes_a_name(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    table = {"t": store.write(spark.range(3), "t")}
+    first = store.publish("run", table, once=True)
+    with monkeypatch.context() as patched:
+        patched.setattr(Store, "find", lambda self, *args: None)  # as one sees it that looked before the other was done
+        patched.setattr(Store, "entries", lambda self, *args: [])
+        with pytest.raises(FileExistsError):
+            store.publish("run", table, once=True)
+    assert [e.entry for e in store.entries("run")] == [first.entry]
+    assert store.publish("other", table).name == store.publish("other", table).name  # names without a claim can come again
+
+
+def test_a_name_whose_writer_failed_can_be_published(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    table = {"t": store.write(spark.range(3), "t")}
+    (tmp_path / "manifest").write_text("in the way")
+    with pytest.raises(Exception):
+        store.publish("run", table, once=True)
+    (tmp_path / "manifest").unlink()
+    store.publish("run", table, once=True)
+    store._claim("died")  # a writer that is gone without a word
+    with pytest.raises(FileExistsError):
+        store.publish("died", table, once=True)
+    assert [p.rsplit("/", 2)[-2] for p in store.clean(timedelta(0))] == ["claims"]
+    assert store.publish("died", table, once=True).read("t").count() == 3
+
+
 def test_positions_follow_the_keys(spark, tmp_path):
     made = spark.range(500).selectExpr("CAST(id * 7919 % 500 AS INT) AS k", "IF(id % 3 = 0, NULL, id) AS f").repartition(7)
     got = positioned_by_keys(made, ["f", "k"], Store(spark, str(tmp_path))).orderBy("position").collect()
