@@ -204,3 +204,22 @@ def test_retention_date_is_looked_up_or_given(spark):
     row = premium_row(PolicyTermStartEffDate=date(2000, 3, 1), RetainedAsOfDate=date(2000, 8, 1))
     assert figures(spark, [row], ["Month6Total", "Total1Year", "EP"])[0].Month6Total == 0
     assert figures(spark, [row], ["Month6Total", "EP"], retained_as_of="2001-08-01")[0].Month6Total == 1
+
+
+@pytest.mark.parametrize("names, lines", [(["WP_PB", "LOSS_RI"], 1), (["TPQ_QB"], 1), (["WP_PB", "TPQ_QB"], 2)])
+def test_lines_are_made_as_a_column(spark, names, lines):
+    """Inside ``inline`` the expression of all lines would be walked for every row."""
+    base, quotes = frame(spark, BASE_SCHEMA, [premium_row()]), frame(spark, QUOTE_SCHEMA, [quote_row()])
+    plan = stat_table(base, quotes, replace(P, rate_factors=()), names)._jdf.queryExecution().optimizedPlan().toString()
+    taken_apart = [row for row in plan.splitlines() if "Generate inline" in row]
+    assert len(taken_apart) == lines
+    assert all("Generate inline(_lines#" in row for row in taken_apart)
+
+
+def test_lines_that_add_nothing_leave_the_groups_and_sums(spark):
+    """A row without any amount keeps its group; one with a missing premium spoils its count; losses alone count."""
+    none = {c: D(0) for c in (*named("WP"), *named("EP"), *named("CLEP"))} | {c: 0.0 for c in named("EE")}
+    rows = [premium_row(**none), premium_row(**(none | {"WP_BI": None})), premium_row(**(none | {"LOSS_RI_COMP_CAT": D(7)}))]
+    got = stat_table(frame(spark, BASE_SCHEMA, rows), None, replace(P, rate_factors=()), ["WP_PB", "LOSS_RI", "TVS_PB"]).collect()
+    assert len(got) == 1
+    assert got[0]["LOSS_RI_COMP_CAT"] >= 7 and got[0]["WP_PDPB"] == 0 and got[0]["TVS_BIPB"] == 0
