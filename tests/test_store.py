@@ -1,7 +1,7 @@
 """Stored inputs, published results, and the plans of a staged report."""
 
 from dataclasses import fields, replace
-from datetime import timedelta
+from datetime import date, timedelta
 from decimal import Decimal
 from pathlib import Path
 
@@ -13,10 +13,11 @@ from rateloom.operators.checks import guarded_key, require_bounded_growth, worst
 from rateloom.operators.factors import attach_adjustments
 from rateloom.operators.extracts import ColumnOwners, Factor, premium_extract
 from rateloom.operators.losses import loss_by_vehicle
+from rateloom.params import PricingParams
 from rateloom.plans import report as report_plan
 from rateloom.plans.report import FactorPlan, Sources, pricing_inputs, pricing_report, rated_premium, stored_rated_premium
 from rateloom.plans.branches import ALL_STATS, QUOTE_STATS
-from rateloom.plans.summary import premium_lines, pricing_summary, stat_table
+from rateloom.plans.summary import premium_lines, pricing_summary, reach, stat_table
 from rateloom.sources.sinks import positioned_by_keys, publish_result, read_result, run_label
 from rateloom.sources.store import Store, source_state
 from tests.small import BASE_SCHEMA, frame, premium_row, random_rows
@@ -330,3 +331,20 @@ def test_idle_coverages_are_not_written(spark):
     assert len(by_row) == 50 and all(set(r.lines) == {"BI", "V1", "V2"} for r in by_row)
     nothing = frame(spark, BASE_SCHEMA, [premium_row()])
     assert stat_table(nothing, None, replace(params, rate_factors=()), ["WP_PB"]).count() == 1
+
+
+def test_a_run_without_a_store_keeps_the_rows_in_reach_and_the_dates_of_all(spark, tmp_path):
+    params = PricingParams(prem_loss_start="2016-09-30", end="2019-09-30", sale_quote_start="2018-09-30", renewal_start="2018-09-30")
+    schema = "VehicleTermKey long, PolicyTermStartEffDate date, PolicyTermExpirationEffDate date, EarnedAsOfDate date, RetainedAsOfDate date, _rated boolean"
+    day = date.fromisoformat
+    rows = [
+        (1, day("2017-01-01"), day("2017-07-01"), day("2019-01-01"), day("2019-01-01"), True),
+        (2, day("2010-01-01"), day("2010-07-01"), day("2019-02-01"), day("2019-02-01"), True),
+        (3, day("2017-01-01"), day("2017-07-01"), day("2019-03-01"), day("2019-03-01"), None),
+        (4, day("2019-09-30"), day("2020-03-30"), None, None, True),
+        (5, day("2019-10-30"), day("2019-01-30"), None, None, True),
+        (6, None, day("2017-07-01"), None, None, True),
+    ]
+    stored, latest = stored_rated_premium(Store(spark, str(tmp_path)), spark.createDataFrame(rows, schema), reach(params))
+    assert sorted(r["VehicleTermKey"] for r in stored.collect()) == [1, 5]
+    assert latest == {"earned": day("2019-03-01"), "retained": day("2019-02-01")}
