@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rateloom.coverages import IBNR_COVERAGES, LOSS_CAPS, LOSS_COVERAGES, named
-from rateloom.functions.measures import capped, distinct_with_null, strict_sum
+from rateloom.functions.measures import Parts, capped, distinct_with_null, strict_sum
 from rateloom.functions.recode import coverage_code
 
 INCURRED = "NetPaidClaims + NetCaseReserves"
@@ -57,26 +57,36 @@ def loss_by_vehicle(losses: DataFrame) -> DataFrame:
     Transactions are reduced to claims first, which turns distinct counts into plain counts and spreads a vehicle with very
     many transactions over its claims. A claim carries its amount per coverage and two sets of coverages, as bits: those it
     has, and those with a missing amount. Claims of a vehicle then add up, within the tasks before they move: two shuffles.
+    Decimals are added up in two parts, as longs.
     """
     bits = {cov: 1 << i for i, cov in enumerate(LOSS_COVERAGES)}
     places = ", ".join(f"'{cov}'" for cov in LOSS_COVERAGES)
     rows = losses.select(
         "VehicleTermKey", "ClaimNumber", F.expr(INCURRED).alias("incurred"), coverage_code(F.col("CoverageType")).alias("line"),
     ).selectExpr("VehicleTermKey", "ClaimNumber", "incurred", f"shiftright(shiftleft(1, CAST(coalesce(array_position(array({places}), line), 0) AS INT)), 1) AS bit")
+    parts = Parts.of(rows.schema["incurred"].dataType)
+    if parts:
+        rows = rows.withColumn("high", F.expr(parts.high("incurred"))).withColumn("low", F.expr(parts.low("incurred", "high")))
+    added = ("high", "low") if parts else ("incurred",)
     claims = rows.groupBy("VehicleTermKey", "ClaimNumber").agg(
         F.expr("bit_or(bit) AS present"), F.expr("bit_or(IF(incurred IS NULL, bit, 0)) AS unknown"),
-        *[F.expr(f"sum(IF(bit = {bit}, incurred, NULL)) AS ri_{cov}") for cov, bit in bits.items()],
+        *[F.expr(f"sum(IF(bit = {bit}, {part}, NULL)) AS {part}_{cov}") for cov, bit in bits.items() for part in added],
     )
+    if parts:  # the low parts of a claim add up to more digits than a long sum takes, and are taken apart once more
+        carry = Parts.of(claims.schema[f"low_{LOSS_COVERAGES[0]}"].dataType)
+        claims = claims.selectExpr("VehicleTermKey", "present", "unknown", *[sql for cov in bits for sql in (
+            f"high_{cov} + {carry.high(f'low_{cov}')} AS high_{cov}", f"{carry.low(f'low_{cov}', carry.high(f'low_{cov}'))} AS low_{cov}")])
     vehicles = claims.groupBy("VehicleTermKey").agg(
         F.expr("bit_or(unknown) AS unknown"), F.expr("count(*) AS cc_total"),
-        *[F.expr(f"sum(ri_{cov}) AS ri_{cov}") for cov in bits],
+        *[F.expr(f"sum({part}_{cov}) AS {part}_{cov}") for cov in bits for part in added],
         *[F.expr(f"count_if((present & {bit}) != 0) AS cc_{cov}") for cov, bit in bits.items()],
     )
+    ri = {cov: parts.total(f"high_{cov}", f"low_{cov}") if parts else f"incurred_{cov}" for cov in bits}
     amount = _amount_type(losses.schema["NetPaidClaims"].dataType, losses.schema["NetCaseReserves"].dataType)
     # A coverage without claims is 0; one with a missing amount stays NULL.
     return vehicles.selectExpr(
         "VehicleTermKey",
-        *[f"CAST(IF((unknown & {bit}) != 0, NULL, coalesce(ri_{cov}, 0)) AS {amount}) AS LOSS_RI_{cov}" for cov, bit in bits.items()],
+        *[f"CAST(IF((unknown & {bit}) != 0, NULL, coalesce({ri[cov]}, 0)) AS {amount}) AS LOSS_RI_{cov}" for cov, bit in bits.items()],
         *[f"cc_{cov} AS LOSS_CC_{cov}" for cov in bits], "cc_total AS LOSS_CC_TOTAL",
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from rateloom.coverages import LOSS_COVERAGES, PREMIUM_COVERAGES
 from rateloom.functions.dates import lookback_year
+from rateloom.functions.measures import Parts
 from rateloom.functions.recode import term_type
 from rateloom.operators.base import START_MONTH, in_months
 from rateloom.operators.factors import ROW_WEIGHT, folded_factors
@@ -74,6 +76,10 @@ def _q(name: str) -> str:
     return f"`{name}`"
 
 
+def _high(slot: str) -> str:
+    return f"_{slot}_high"
+
+
 def _named_struct(values: dict[str, str]) -> str:
     return "struct(" + ", ".join(f"{value} AS {_q(name)}" for name, value in values.items()) + ")"
 
@@ -159,7 +165,11 @@ def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
         known = params.retained_as_of
         latest = F.lit(known) if known else base.agg(F.max("RetainedAsOfDate")).scalar()
         rows = rows.withColumn(RETAINED, latest)
-    rows = rows.selectExpr("*", *[f"{sql} AS {name}" for name, sql in shared_conditions(params).items()])
+    # The bits of the coverage lines stand beside the shared conditions, with those written out: the row is as wide as the base
+    # and every step over it copies all its amounts.
+    shared = shared_conditions(params)
+    bits = re.sub(r"\b_(?:pb|qb|sale|renewal)\b", lambda found: f"({shared[found[0]]})", row_bits(by_coverage, conditions))
+    rows = rows.selectExpr("*", *[f"{sql} AS {name}" for name, sql in shared.items()], f"{bits} AS _coverage_rows")
     rows = rows.where(any_of(conditions[s.rows] for s in stats))
 
     fields = [f for f in (*LINE_FIELDS, KEPT)
@@ -195,8 +205,7 @@ def premium_lines(base: DataFrame, params: PricingParams, stats) -> DataFrame:
         lines.append(line(name, _vehicle_line(name, by_vehicle, conditions, strict)))
 
     unpivoted = rows.selectExpr(
-        "*", f"{row_bits(by_coverage, conditions)} AS _coverage_rows"
-    ).selectExpr(*keys, f"try_divide(1.0D, VehicleCount) AS {SHARE}", f"array({', '.join(lines)}) AS {LINES}"
+        *keys, f"try_divide(1.0D, VehicleCount) AS {SHARE}", f"array({', '.join(lines)}) AS {LINES}"
     ).selectExpr(*keys, SHARE, f"inline_outer({LINES})")
     return unpivoted.where(f"{LINE} IS NOT NULL").selectExpr(*keys, LINE, *_premium_slots(by_coverage, by_vehicle, strict))
 
@@ -329,7 +338,7 @@ def stat_table(
     if unknown:
         raise ValueError(f"no such figures: {unknown}")
     stats = [by_name[name] for name in dict.fromkeys(names)]
-    own = {c.lower() for c in (*output_columns(), *LINE_FIELDS, KEPT, START_MONTH, *SLOTS, LINE, ROWS, SPOILT, UNKNOWN, SHARE, CELLS, LINES, *COVERAGE_LINES, "V1", "V2", ROW_WEIGHT, "sold")}
+    own = {c.lower() for c in (*output_columns(), *LINE_FIELDS, KEPT, START_MONTH, *SLOTS, *map(_high, SLOTS), LINE, ROWS, SPOILT, UNKNOWN, SHARE, CELLS, LINES, *COVERAGE_LINES, "V1", "V2", ROW_WEIGHT, "sold")}
     clashes = [f for f in params.rate_factors if f.lower() in own]
     if clashes:
         raise ValueError(f"{clashes} are names of figures and cannot be rating factors")
@@ -358,8 +367,14 @@ def stat_table(
         names_of_lines += [f"Q_{cov}" for cov in PREMIUM_COVERAGES]
     slots = [s for s in SLOTS if s in lines.columns]
     # One row per group and line that has rows; then a group's lines as a map, which holds only those there are, and from
-    # it a struct per line.
-    sums = lines.groupBy(*params.keys, LINE).agg(*[F.sum(s).alias(s) for s in slots], F.bit_or(UNKNOWN).alias(UNKNOWN))
+    # it a struct per line. Amounts add up in two parts where those are longs.
+    kinds = {s: lines.schema[s].dataType for s in slots}
+    parts = {s: Parts.of(kind) for s, kind in kinds.items() if Parts.of(kind)}
+    taken_apart = [sql for s, p in parts.items() for sql in (f"{p.high(s)} AS {_high(s)}", f"{p.low(s, p.high(s))} AS {s}")]
+    lines = lines.selectExpr(*map(_q, params.keys), LINE, UNKNOWN, *[s for s in slots if s not in parts], *taken_apart)
+    totals = {s: f"CAST({p.total(f'sum({_high(s)})', f'sum({s})')} AS {p.sum_type})" for s, p in parts.items()}
+    sums = lines.groupBy(*params.keys, LINE).agg(
+        *[F.expr(totals.get(s, f"sum({s})")).alias(s) for s in slots], F.bit_or(UNKNOWN).alias(UNKNOWN))
     by_group = sums.groupBy(*params.keys).agg(
         F.map_from_entries(F.collect_list(F.struct(LINE, F.struct(*slots, UNKNOWN).alias("sums")))).alias(CELLS))
     cells = by_group.selectExpr(*[_q(k) for k in params.keys], *[f"try_element_at({CELLS}, '{name}') AS `{name}`" for name in names_of_lines])

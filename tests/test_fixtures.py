@@ -47,3 +47,9 @@ def test_line_items_move_once(spark, tables, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     moved = [line.split("hashpartitioning(")[1].split("#")[0] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert sorted(moved) == ["c_custkey", "c_nationkey", "l_orderkey", "n_nationkey", "o_custkey", "o_orderkey"]
+
+
+def test_premium_is_made_after_terms_are_counted(spark, tables):
+    """The count of a term's vehicles carries the price only, and an amount is made once."""
+    above, _, below = fixture(spark, tables, "fx_pm")._jdf.queryExecution().optimizedPlan().toString().partition("Window [count(1)")
+    assert "amount_2#" in above and "amount_2#" not in below and "WP_BI#" not in below

@@ -72,6 +72,27 @@ def test_development_and_caps(losses, ibnr):
         develop(ibnr, losses, orphan_losses="maybe")
 
 
+def test_losses_add_up_exactly_as_longs(spark):
+    """Large, negative and broken amounts, within a claim and over claims; no sum is over a wide decimal."""
+    day, top = date(2001, 1, 1), D("9999999999999999.99")
+    given = [("A", top, top), ("A", D("-0.01"), D("0.00")), ("B", D("-1000000.00"), D("999999.99")), ("B", -top, D("0.07")), ("C", top, top)]
+    rows = [(1, claim, day, "BodilyInjury", paid, reserve) for claim, paid, reserve in given for _ in range(3)]
+    found = loss_by_vehicle(spark.createDataFrame(rows, LOSS))
+    assert found.schema["LOSS_RI_BI"].dataType.simpleString() == "decimal(37,2)"
+    assert found.first()["LOSS_RI_BI"] == 3 * sum(paid + reserve for _, paid, reserve in given)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(unscaledvalue(low_" in plan.lower() and "sum(incurred" not in plan
+
+
+def test_losses_of_more_digits_and_doubles_add_up_as_they_are(spark):
+    day = date(2001, 1, 1)
+    for kind, one, other, total in (("decimal(30,10)", D("1234567890123456789.0000000001"), D("0.0000000009"), D("2469135780246913578.000000002")),
+                                    ("double", 0.5, 0.25, 1.5)):
+        rows = [(1, "A", day, "BodilyInjury", one, other)] * 2
+        found = loss_by_vehicle(spark.createDataFrame(rows, LOSS.replace("decimal(18,2)", kind)))
+        assert found.first()["LOSS_RI_BI"] == total
+
+
 def test_as_of_cut(spark, losses):
     premium = spark.createDataFrame([(date(2000, 12, 31),), (None,)], "EarnedAsOfDate date")
     assert losses_as_of(losses, premium).count() == 0

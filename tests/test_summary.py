@@ -223,3 +223,20 @@ def test_lines_that_add_nothing_leave_the_groups_and_sums(spark):
     got = stat_table(frame(spark, BASE_SCHEMA, rows), None, replace(P, rate_factors=()), ["WP_PB", "LOSS_RI", "TVS_PB"]).collect()
     assert len(got) == 1
     assert got[0]["LOSS_RI_COMP_CAT"] >= 7 and got[0]["WP_PDPB"] == 0 and got[0]["TVS_BIPB"] == 0
+
+
+@pytest.mark.parametrize("amounts", [["9999999999999999.99"] * 3, ["-9999999999999999.99", "1.01"], ["1000000.00", "-0.01", "999999.99"]])
+def test_amounts_add_up_exactly_as_longs(spark, amounts):
+    rows = [premium_row(WP_BI=D(a), CLEP_PD=-D(a)) for a in amounts]
+    table = stat_table(frame(spark, BASE_SCHEMA, rows), None, replace(P, rate_factors=()), ["WP_PB", "CLEP"])
+    assert table.schema["WP_BIPB"].dataType.simpleString() == "decimal(28,2)"
+    got = table.first()
+    assert got["WP_BIPB"] == sum(map(D, amounts)) and got["CLEP_PD"] == -sum(map(D, amounts)) and got["WP_COLPB"] == 0
+    assert "sum(unscaledvalue(m2" in table._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_a_base_row_is_copied_once_before_its_lines(spark):
+    """One step with keys, conditions and bits, one that makes the lines."""
+    plan = stat_table(frame(spark, BASE_SCHEMA, [premium_row()]), None, P, ["WP_PB", "LOSS_RI"])._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[plan.index("Generate inline"):].splitlines()
+    assert "_coverage_rows#" in above[1] and " AS _lines#" in above[1] and "THEN NB" in above[2]

@@ -25,10 +25,13 @@ EXTRACT_FLOOR = "1996-01-01"
 _NOT_EARNED = "sk%4=0 AND o_orderstatus='F'"
 
 
+_AMOUNTS = {f"amount_{i + 1}": f"CAST(price*{i + 1} AS DECIMAL(18,2))" for i in range(len(PREMIUM_COVERAGES))}
+
+
 def _premium_columns() -> str:
     columns = []
-    for i, cov in enumerate(PREMIUM_COVERAGES):
-        idle, amount = f"(pk+{i})%3=0", f"CAST(price*{i + 1} AS DECIMAL(18,2))"
+    for i, (cov, amount) in enumerate(zip(PREMIUM_COVERAGES, _AMOUNTS.values())):
+        idle = f"(pk+{i})%3=0"
         zero = "CAST(0 AS DECIMAL(18,2))"
         wp_null = "pk%500=0" if cov == "TOW" else "1=0"
         columns += [
@@ -201,10 +204,21 @@ def view_ctes(*names: str) -> list[str]:
 
 # How Spark builds the views. Line items move once, by their order: what is grouped by order and line, joined with the order
 # and counted by policy term stays where it is. Customers and nations are joined to the orders, of which there are fewer. Each
-# view is built on its own, so that it carries its own columns only.
+# view is built on its own, so that it carries its own columns only. Policy terms are counted before the premium is made from
+# the price: the count carries no premium, a term that a run does not look at gets none, and an amount is made once, not in
+# each of the three columns that hold it.
 _BY_ORDER = {"fx_term", "fx_ibnr"}  # the views that group line items, and nothing but that
 _LINE_BY_LINE = "FROM fx_term JOIN orders ON PolicyTermKey=o_orderkey JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey"
 _ORDER_BY_ORDER = "FROM fx_term JOIN (orders JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey) ON PolicyTermKey=o_orderkey"
+_VEHICLES = "count(*) OVER (PARTITION BY PolicyTermKey)"
+
+
+def _counted_first(view: str) -> str:
+    for name, amount in _AMOUNTS.items():
+        view = view.replace(amount, name)
+    amounts = ", ".join(f"{amount} AS {name}" for name, amount in _AMOUNTS.items())
+    counted = f"FROM (SELECT *, {amounts} FROM (SELECT *, {_VEHICLES} AS vehicles {_ORDER_BY_ORDER}))"
+    return view.replace(_VEHICLES, "vehicles").replace(_LINE_BY_LINE, counted)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -212,7 +226,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     moved = name not in _BY_ORDER and any(v.startswith("fx_term ") for v in views)
     hints = {"lineitem": "/*+ REPARTITION(l_orderkey) */ "} if moved else {}
     tables = [f"{t} AS (SELECT {hints.get(t, '')}* FROM parquet.`{sf_dir}/{t}.parquet`)" for t in BASE_TABLES]
-    ctes = [v.replace(_LINE_BY_LINE, _ORDER_BY_ORDER) for v in views]
+    ctes = [_counted_first(v) if _LINE_BY_LINE in v else v for v in views]
     return spark.sql("WITH " + ",\n".join(tables + ctes) + f"\nSELECT * FROM {name}")
 
 
