@@ -1,5 +1,6 @@
 """Stored inputs, published results, and the plans of a staged report."""
 
+import time
 from dataclasses import fields, replace
 from datetime import date, timedelta
 from decimal import Decimal
@@ -348,3 +349,42 @@ def test_a_run_without_a_store_keeps_the_rows_in_reach_and_the_dates_of_all(spar
     stored, latest = stored_rated_premium(Store(spark, str(tmp_path)), spark.createDataFrame(rows, schema), reach(params))
     assert sorted(r["VehicleTermKey"] for r in stored.collect()) == [1, 5]
     assert latest == {"earned": day("2019-03-01"), "retained": day("2019-02-01")}
+
+
+def test_bucketed_rows_join_without_moving_and_leave_no_table(spark, tmp_path):
+    made = spark.range(1000).selectExpr("id AS k", "id * 2 AS a")
+    before = {t.name for t in spark.catalog.listTables()}
+    folder, stored = Store(spark, str(tmp_path)).write(made, "t", bucket_by="k")
+    assert {t.name for t in spark.catalog.listTables()} == before
+    joined = stored.join(spark.range(0, 2000, 2).selectExpr("id AS k", "id AS b"), "k")
+    assert plan_of(joined).count("Exchange hashpartitioning") == 1
+    assert rows_of(joined) == rows_of(made.where("k % 2 = 0").selectExpr("k", "a", "k AS b"))
+    assert spark.read.parquet(folder).count() == 1000
+    assert Store(spark, str(tmp_path)).write(made.limit(0), "t", bucket_by="k")[1].count() == 0
+
+
+def test_what_a_stored_table_shuffled_is_removed(spark, tmp_path):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {b.name() for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllBlocks()) if b.isShuffle()}
+
+    before, settings = shuffled(), dict(spark.sparkContext._conf.getAll())
+    Store(spark, str(tmp_path)).write(spark.range(1000).repartition("id"), "t")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert dict(spark.sparkContext._conf.getAll()) == settings
+
+
+def test_capped_losses_are_made_after_the_move_by_month(spark, sources, tmp_path, monkeypatch):
+    moved = []
+    monkeypatch.setattr(report_plan, "by_month", lambda base: moved.append(base.columns) or by_month(base))
+    store = Store(spark, str(tmp_path))
+    run(sources[0], store=store)
+    assert len(moved) == 1 and "LOSS_RI_BI" in moved[0] and not [c for c in moved[0] if c.startswith(("LOSS_25_", "LOSS_100_"))]
+    base = store.entries()[-1].read("premium_base")
+    losses = base.where("LOSS_RI_COMP > 0").selectExpr("LOSS_25_COMP <=> least(LOSS_RI_COMP, 25000) AND LOSS_100_COMP <=> least(LOSS_RI_COMP, 100000)")
+    assert losses.count() and all(r[0] for r in losses.collect())
