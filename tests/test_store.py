@@ -388,3 +388,34 @@ def test_capped_losses_are_made_after_the_move_by_month(spark, sources, tmp_path
     base = store.entries()[-1].read("premium_base")
     losses = base.where("LOSS_RI_COMP > 0").selectExpr("LOSS_25_COMP <=> least(LOSS_RI_COMP, 25000) AND LOSS_100_COMP <=> least(LOSS_RI_COMP, 100000)")
     assert losses.count() and all(r[0] for r in losses.collect())
+
+
+def test_rows_out_of_reach_come_without_amounts(spark, sources):
+    tables, _ = sources
+    wanted = "PolicyTermStartEffDate >= DATE'1999-01-01' AND PolicyTermExpirationEffDate < DATE'2001-07-01'"
+    full = premium_extract(tables.pm, tables.reporting, EXTRACT_FLOOR)
+    lean = premium_extract(tables.pm, tables.reporting, EXTRACT_FLOOR, wanted)
+    assert lean.columns == full.columns and rows(lean.where(wanted)) == rows(full.where(wanted)) != []
+    keys = ["VehicleTermKey", "PolicyTermStartEffDate", "PolicyTermExpirationEffDate", "EarnedAsOfDate", "PrimaryDriverAge"]
+    out = f"NOT ({wanted})"
+    assert rows(lean.where(out).select(keys)) == rows(full.where(out).select(keys)) != []
+    assert lean.where(out).where("coalesce(WP_BI, CLEP_BI, EE_BI, TermType, TransactionJobID) IS NOT NULL").count() == 0
+
+
+def test_a_run_without_a_store_keeps_what_its_figures_need(spark, sources, monkeypatch):
+    kept, write = {}, Store.write
+
+    def noted(self, df, table, *args, **kwargs):
+        folder, kept[table] = write(self, df, table, *args, **kwargs)
+        return folder, kept[table]
+
+    monkeypatch.setattr(Store, "write", noted)
+    run(sources[0])
+    assert not {"OrigCorePolicyNumber", "CorePolicyNumber", "TransactionDateTime"} & set(kept["rated_premium"].columns)
+    start, end = REPORT_PARAMS.sale_quote_start, REPORT_PARAMS.end
+    inside = f"QuoteVersionDateTime >= DATE'{start}' AND QuoteVersionDateTime < DATE'{end}'"
+    vehicles = kept["quoted_vehicles"]
+    assert vehicles.where(inside).where("WP_BI IS NOT NULL AND QuoteID IS NOT NULL").count() > 0
+    assert vehicles.where(f"NOT ({inside})").count() > 0 == vehicles.where(f"NOT ({inside})").where("WP_BI IS NOT NULL OR QuoteID IS NOT NULL").count()
+    with pytest.raises(ValueError, match="keeps all"):
+        pricing_inputs(sources[0], PLAN, EXTRACT_FLOOR, store=Store.temporary(spark), quoted="false")
