@@ -5,7 +5,8 @@ from decimal import Decimal
 
 import pytest
 
-from verification.fixtures import BASE_TABLES, VIEWS, fixture, view_ctes
+from verification.catalog import Inputs
+from verification.fixtures import BASE_TABLES, VIEWS, fixture, stored_terms, view_ctes
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +54,22 @@ def test_premium_is_made_after_terms_are_counted(spark, tables):
     """The count of a term's vehicles carries the price only, and an amount is made once."""
     above, _, below = fixture(spark, tables, "fx_pm")._jdf.queryExecution().optimizedPlan().toString().partition("Window [count(1)")
     assert "amount_2#" in above and "amount_2#" not in below and "WP_BI#" not in below
+
+
+def test_views_of_stored_terms_have_the_same_rows(spark, tables):
+    """Also where terms lack line items' orders, and keys repeat or are missing."""
+    terms = stored_terms(spark, tables)
+    for name in VIEWS:
+        found, expected = fixture(spark, tables, name, terms), fixture(spark, tables, name)
+        assert [(f.name, f.dataType) for f in found.schema] == [(f.name, f.dataType) for f in expected.schema]
+        rows = sorted(map(repr, found.collect()))
+        assert rows and rows == sorted(map(repr, expected.collect())), name
+
+
+def test_line_items_of_several_views_are_put_together_once(spark, tables):
+    s = Inputs(spark, tables).sources
+    for df in (s.pm, s.reporting, s.rating, s.rating_sup):
+        assert not [f for f in df.inputFiles() if "/lineitem.parquet/" in f]
+    base = Inputs(spark, tables)
+    assert base.base.count() == fixture(spark, tables, "fx_pm").count()
+    assert not [f for f in base.view("fx_pm").inputFiles() if "/lineitem.parquet/" in f]
